@@ -308,7 +308,7 @@ def preview_incidents(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    return views.table(spark, sf_dir, "documents")
+    return views.table(spark, sf_dir, "documents", spread_by="doc_id")
 
 
 def _register_steps():
@@ -876,3 +876,294 @@ def rca_analysis(spark, sf_dir):
         F.col("duration_analysis.resolution_hours").alias("hours"),
         F.col("priority_justification").alias("justification"),
     )
+
+
+# --- Reports ----------------------------------------------------------------------
+
+CLOCK = "2025-01-15 12:00:00"
+TIMELINE_HEADER = (
+    "| Timestamp | Event Type | Actor | Description |' || chr(10) || "
+    "'|-----------|------------|-------|-------------|"
+)
+
+
+def _as_of():
+    return F.lit(CLOCK).cast("timestamp_ntz")
+
+
+def _tables(spark, sf_dir):
+    tables = {
+        "incidents": views.incidents(spark, sf_dir),
+        "journal": views.journal(spark, sf_dir),
+        "problems": views.problems(spark, sf_dir),
+        "changes": views.changes(spark, sf_dir),
+    }
+    return tuple(views.landed(rows, name) for name, rows in tables.items())
+
+
+@check("executive_summary", "SELECT number, summary FROM summaries")
+def executive_summary(spark, sf_dir):
+    found = reports.summary_of(_analysis(spark, sf_dir), views.incidents(spark, sf_dir))
+    return found.select("number", "summary")
+
+
+@check("recommendations", "SELECT number, recommendations FROM advice")
+def recommendations(spark, sf_dir):
+    found = reports.summary_of(_analysis(spark, sf_dir), views.incidents(spark, sf_dir))
+    return found.select("number", "recommendations")
+
+
+def _markdown_sql(report: str) -> str:
+    return f"""SELECT number, 0::BIGINT AS part, {report} AS report FROM (
+        SELECT i.number, '# Root Cause Analysis Report' || chr(10) || chr(10)
+            || '**Incident Number:** ' || i.number || chr(10) || '**Report Generated:** {CLOCK}' || chr(10) || chr(10)
+            || '---' || chr(10) || chr(10)
+            || '## Executive Summary' || chr(10) || chr(10) || summary || chr(10) || chr(10)
+            || '## Incident Details' || chr(10) || chr(10)
+            || '- **Title:** ' || coalesce(short_description, 'N/A') || chr(10)
+            || '- **Priority:** ' || priority || chr(10) || '- **Impact:** ' || impact || chr(10)
+            || '- **Urgency:** ' || urgency || chr(10) || '- **State:** ' || state || chr(10)
+            || '- **Category:** ' || category || chr(10) || '- **Assignment Group:** ' || assignment_group || chr(10)
+            || '- **Opened:** ' || strftime(opened_at, '%Y-%m-%d %H:%M:%S') || chr(10)
+            || '- **Resolved:** ' || coalesce(strftime(resolved_at, '%Y-%m-%d %H:%M:%S'), 'N/A') || chr(10) || chr(10)
+            || '## Root Cause Analysis' || chr(10) || chr(10) || '**Identified Root Cause:**' || chr(10) || chr(10)
+            || root_cause || chr(10)
+            || CASE WHEN factors <> '' THEN chr(10) || '**Contributing Factors:**' || chr(10) || chr(10)
+                    || '- ' || replace(factors, chr(10), chr(10) || '- ') || chr(10) ELSE '' END || chr(10)
+            || '## Impact Assessment' || chr(10) || chr(10)
+            || '**Business Impact:** ' || business_impact || chr(10) || chr(10)
+            || '**Technical Impact:** ' || technical_impact || chr(10) || chr(10)
+            || '**User Impact:** ' || user_impact || chr(10) || chr(10)
+            || '## Duration Analysis' || chr(10) || chr(10)
+            || CASE WHEN hours IS NOT NULL THEN '- **Time to Resolution:** ' || hours_text || chr(10)
+                    || '- **Total Downtime:** ' || hours_text || chr(10)
+                    || '- **Resolution Efficiency:** ' || efficiency || chr(10) ELSE '' END || chr(10)
+            || '## Priority Classification' || chr(10) || chr(10) || justification || chr(10) || chr(10)
+            || CASE WHEN event_lines IS NOT NULL THEN '## Timeline of Events' || chr(10) || chr(10)
+                    || '{TIMELINE_HEADER}' || chr(10) || event_lines || chr(10)
+                    || CASE WHEN total > 20 THEN '| ... | ... | ... | *(' || (total - 20)::VARCHAR
+                            || ' more events)* |' || chr(10) ELSE '' END || chr(10) ELSE '' END
+            || CASE WHEN coalesce(incident_lines, problem_lines, change_lines) IS NOT NULL THEN
+                    '## Related Records' || chr(10) || chr(10)
+                    || coalesce('**Related Incidents:**' || chr(10) || incident_lines || chr(10) || chr(10), '')
+                    || coalesce('**Related Problems:**' || chr(10) || problem_lines || chr(10) || chr(10), '')
+                    || coalesce('**Related Changes:**' || chr(10) || change_lines || chr(10) || chr(10), '') ELSE '' END
+            || '## Recommendations' || chr(10) || chr(10) || recommendations || chr(10) || chr(10)
+            || '---' || chr(10) || chr(10) || '*Report generated by incident RCA job on {CLOCK}*' AS report
+        FROM incidents i JOIN summaries USING (sys_id) JOIN root_causes USING (sys_id) JOIN factors USING (sys_id)
+        JOIN impacts USING (sys_id) JOIN durations USING (sys_id) JOIN justifications USING (sys_id)
+        JOIN advice USING (sys_id)
+        LEFT JOIN (SELECT sys_id, any_value(total) AS total,
+                string_agg('| ' || strftime(ts, '%Y-%m-%d %H:%M:%S') || ' | ' || event_type || ' | ' || substr(actor, 1, 30)
+                           || ' | ' || substr(description, 1, 50) || ' |', chr(10) ORDER BY position) AS event_lines
+            FROM events_ranked WHERE position <= 20 GROUP BY sys_id) USING (sys_id)
+        LEFT JOIN (SELECT sys_id,
+                string_agg('- ' || related_number || ': ' || short_description, chr(10) ORDER BY position)
+                    FILTER (kind = 'incident') AS incident_lines,
+                string_agg('- ' || related_number || ': ' || short_description, chr(10) ORDER BY position)
+                    FILTER (kind = 'problem') AS problem_lines,
+                string_agg('- ' || related_number || ': ' || short_description, chr(10) ORDER BY position)
+                    FILTER (kind = 'change') AS change_lines
+            FROM related_ranked WHERE position <= 5 GROUP BY sys_id) USING (sys_id))"""
+
+
+@check("report_markdown", _markdown_sql("report"))
+def report_markdown(spark, sf_dir):
+    return reports.generate_report("markdown", *_tables(spark, sf_dir), as_of=_as_of())
+
+
+@check(
+    "report_text",
+    _markdown_sql("replace(replace(replace(report, '**', ''), '#', ''), '|', ' | ')"),
+)
+def report_text(spark, sf_dir):
+    return reports.generate_report("text", *_tables(spark, sf_dir), as_of=_as_of())
+
+
+def _record_json() -> str:
+    fields = ", ".join(
+        f"{name} := strftime(i.{name}, '%Y-%m-%d %H:%M:%S')" if name.endswith("_at") else f"{name} := i.{name}"
+        for name in views.INCIDENT_COLUMNS
+    )
+    return f"to_json(struct_pack({fields}))::VARCHAR"
+
+
+@check(
+    "report_json",
+    f"""SELECT i.number, 0::BIGINT AS part,
+               '{{"metadata":{{"generated_at":"{CLOCK.replace(' ', 'T')}","incident_number":"' || i.number || '"}},"incident":'
+               || {_record_json()}
+               || ',"analysis":' || to_json(struct_pack(root_cause := root_cause,
+                    contributing_factors := CASE WHEN factors = '' THEN []::VARCHAR[] ELSE string_split(factors, chr(10)) END,
+                    impact_assessment := struct_pack(business_impact := business_impact, technical_impact := technical_impact,
+                        user_impact := user_impact, affected_users_estimate := affected),
+                    duration_analysis := struct_pack(time_to_detection := NULL::VARCHAR, time_to_resolution := hours_text,
+                        total_downtime := hours_text, resolution_efficiency := efficiency),
+                    priority_justification := justification))::VARCHAR
+               || ',"timeline":' || {TIMELINE_JSON}
+               || ',"related_records":{{"incidents":' || {_related_json('child', 'resolved_at')}
+               || ',"problems":' || {_related_json('problem', 'resolved_at')}
+               || ',"changes":' || {_related_json('change', 'closed_at')} || '}}}}' AS report
+        FROM incidents i JOIN root_causes USING (sys_id) JOIN factors USING (sys_id) JOIN impacts USING (sys_id)
+        JOIN durations USING (sys_id) JOIN justifications USING (sys_id)""",
+)
+def report_json(spark, sf_dir):
+    return reports.generate_report("json", *_tables(spark, sf_dir), as_of=_as_of())
+
+
+# --- Stages -----------------------------------------------------------------------
+
+
+def _stages(spark, sf_dir):
+    original = views.incidents(
+        spark, sf_dir, "number", "state", "short_description", "caller_id", "opened_at", "resolved_at", "close_notes"
+    )
+    masked = redact.redact_frame(original, SALT, drop_raw_ids=False)
+    return {"original": original, "redacted": masked, "processed": enrich.enrich_incidents(masked)}
+
+
+def _stage_sql() -> str:
+    """(column, expression over ``enriched``, first and last stage, looks derived)."""
+    kept = [("number", "number", 0, 2), ("state", "state", 0, 2), ("close_notes", "close_notes", 0, 2),
+            ("short_description", "short_description", 0, 2), ("caller_id", "caller_id", 0, 0),
+            ("opened_at", "opened_at", 0, 1), ("resolved_at", "resolved_at", 0, 1),
+            ("number_hash", "number", 1, 2)]
+    added = [("openedDate", "opened_at"), ("resolvedDate", "resolved_at"), ("isActive", "active"),
+             ("isHighImpact", "high"), ("patternCategory", "pattern"), ("resolutionTimeHrs", "hours"),
+             ("slaBreach", "breach"), ("userImpactEstimate", "users"), ("week", "week")]
+    words = ("active", "impact", "pattern", "resolution", "sla", "week")
+    names = ("original", "redacted", "processed")
+    selects = []
+    for column, expression, first, last in kept + [(a, b, 2, 2) for a, b in added]:
+        counts = []
+        for position, stage in enumerate(names):
+            present = first <= position <= last
+            counts.append(f"{'count(*)' if present else 'NULL::BIGINT'} AS {stage}_rows")
+            counts.append(f"{f'count({expression})' if present else 'NULL::BIGINT'} AS {stage}_non_null")
+        changes = ([f"added in {names[first]}"] if first else []) + ([f"removed in {names[last + 1]}"] if last < 2 else [])
+        derived = any(word in column.lower() for word in words)
+        selects.append(
+            f"SELECT '{column}' AS column_name, {', '.join(counts)}, '{', '.join(changes)}' AS change, "
+            f"{str(derived).upper()} AS derived FROM enriched"
+        )
+    return " UNION ALL ".join(selects)
+
+
+@check("stage_profile", _stage_sql())
+def stage_profile(spark, sf_dir):
+    return stages.stage_profile(_stages(spark, sf_dir))
+
+
+@check(
+    "stage_sizes",
+    """SELECT 'original' AS stage, count(*) AS rows, 7 AS columns FROM incidents
+       UNION ALL SELECT 'redacted', count(*), 7 FROM incidents
+       UNION ALL SELECT 'processed', count(*), 14 FROM incidents""",
+)
+def stage_sizes(spark, sf_dir):
+    return stages.stage_sizes(_stages(spark, sf_dir))
+
+
+# --- Files ------------------------------------------------------------------------
+
+EXPORT_SQL = """SELECT number, short_description, description, priority, state AS incident_state,
+                       assignment_group, strftime(opened_at, '%Y-%m-%d %H:%M:%S') AS opened,
+                       strftime(resolved_at, '%Y-%m-%d %H:%M:%S') AS resolved, caller_id, location, ci_type
+                FROM incidents"""
+
+
+def _export(spark, sf_dir):
+    """Incidents under the names and in the order of a standard CSV export."""
+    rows = as_text(
+        views.incidents(
+            spark, sf_dir, "number", "short_description", "description", "priority", "state",
+            "assignment_group", "opened_at", "resolved_at", "caller_id", "location", "ci_type",
+        )
+    )
+    return rows.withColumnsRenamed({"state": "incident_state", "opened_at": "opened", "resolved_at": "resolved"})
+
+
+@check("scan_csv", EXPORT_SQL)
+def scan_csv(spark, sf_dir):
+    path = scratch_folder(spark, "export")
+    files.sink_csv(_export(spark, sf_dir), path)
+    return files.scan_csv(spark, path, schemas.STANDARD_EXPORT)
+
+
+@check(
+    "sink_csv",
+    f"SELECT number, short_description, {redacted('text')} AS text FROM incidents, LATERAL (SELECT description || chr(10) || '\"' || state || '\",' AS text)",
+)
+def sink_csv(spark, sf_dir):
+    """Texts with quotes, commas and line breaks survive the round trip."""
+    path = scratch_folder(spark, "redacted")
+    noted = F.concat("description", F.lit("\n\""), "state", F.lit("\",")).alias("text")
+    rows = views.incidents(spark, sf_dir, "number", "short_description", "description", "state")
+    masked = redact.redact_frame(rows.select("number", "short_description", noted), SALT, text=("text",), ids=())
+    files.sink_csv(masked, path)
+    return files.scan_csv(spark, path, masked.schema)
+
+
+@check(
+    "scan_json_envelope",
+    """SELECT number, short_description, strftime(opened_at, '%Y-%m-%d %H:%M:%S') AS opened_at,
+              CASE WHEN o_odd THEN caller_id ELSE '{"display_value":"' || caller_id || '"}' END AS assigned_to
+       FROM (SELECT *, NOT starts_with(assigned_to, '{') AS o_odd FROM incidents)""",
+)
+def scan_json_envelope(spark, sf_dir):
+    """One landed response per incident; every other reference field is an object."""
+    path = scratch_folder(spark, "landed")
+    rows = as_text(views.incidents(spark, sf_dir, "number", "short_description", "opened_at", "assigned_to"))
+    is_object = F.col("assigned_to").startswith("{")
+    name = F.when(is_object, F.struct(text.display_value("assigned_to", "").alias("display_value")))
+    plain = ("number", "short_description", "opened_at")
+    with_object = F.to_json(F.struct(F.array(F.struct(*plain, name.alias("assigned_to"))).alias("result")))
+    with_text = F.to_json(F.struct(F.array(F.struct(*plain, "assigned_to")).alias("result")))
+    rows.select(F.when(is_object, with_object).otherwise(with_text).alias("value")).write.text(path)
+    return files.scan_json_envelope(spark, path, rows.schema)
+
+
+@check(
+    "sink_json",
+    "SELECT assignment_group, count(*) AS n, 100::DOUBLE * count(*) / (SELECT count(*) FROM incidents) AS pct FROM incidents GROUP BY assignment_group",
+)
+def sink_json(spark, sf_dir):
+    path = scratch_folder(spark, "analysis")
+    shares = profile.distribution(views.incidents(spark, sf_dir, "assignment_group"), "assignment_group")
+    files.sink_json(shares, path)
+    return spark.read.schema(shares.schema).json(path)
+
+
+@check(
+    "sink_metrics_append",
+    " UNION ALL ".join(
+        f"""SELECT '{AS_OF}' AS timestamp, count(*) AS raw_record_count, count(*) AS processed_record_count,
+                   7 AS columns_added, count(*) FILTER (active) AS active_incidents,
+                   count(*) FILTER (high) AS high_impact_incidents, count(*) FILTER (breach) AS sla_breaches
+            FROM enriched"""
+        for _ in range(2)
+    ),
+)
+def sink_metrics_append(spark, sf_dir):
+    """Two runs leave two rows."""
+    path = scratch_folder(spark, "metrics")
+    metrics = run_metrics(spark, sf_dir)
+    files.sink_metrics(metrics, path)
+    files.sink_metrics(metrics, path)
+    return spark.read.schema(metrics.schema).option("header", True).csv(path)
+
+
+@check(
+    "sink_reports",
+    """SELECT number, 0::BIGINT AS part, number || '.md' AS file_name, 'markdown' AS format, summary AS report FROM summaries
+       UNION ALL SELECT number, 0, number || '.txt', 'text', recommendations FROM advice""",
+)
+def sink_reports(spark, sf_dir):
+    """Summaries and recommendations written as two formats, read back together."""
+    path = scratch_folder(spark, "reports")
+    found = reports.summary_of(_analysis(spark, sf_dir), views.incidents(spark, sf_dir))
+    for format, column in (("markdown", "summary"), ("text", "recommendations")):
+        part = F.lit(0).cast("bigint").alias("part")
+        files.sink_reports(found.select("number", part, F.col(column).alias("report")), path, format)
+    schema = "number string, part bigint, report string, file_name string, format string"
+    return spark.read.schema(schema).json(path)

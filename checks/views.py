@@ -10,10 +10,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from outagelens.sources.files import scan_parquet
+from outagelens.sources.scratch import scratch_folder
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A driver table. Its schema is read from the file footer once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return scan_parquet(spark, path, _SCHEMAS[path], spread_by)
 
 
 def _number(key: str) -> Column:
@@ -70,6 +81,7 @@ INCIDENT_COLUMNS = (
     "assignment_group", "caller_id", "assigned_to", "category", "cmdb_ci", "impact",
     "urgency", "close_notes",
 )
+_HASHED = {"sys_id", "parent"}
 _NEED_EFFORT = {"resolved_at", "reassignment_count"}
 _NEED_CUSTOMER = {
     "description", "location", "ci_type", "assignment_group", "caller_id", "assigned_to",
@@ -83,7 +95,7 @@ def incidents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """One row per order; all columns unless some are named."""
     wanted = columns or INCIDENT_COLUMNS
     needs = set(wanted)
-    rows = table(spark, sf_dir, "orders")
+    rows = table(spark, sf_dir, "orders", "o_orderkey" if needs & _HASHED else None)
     if needs & _NEED_EFFORT:
         effort = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
             F.sum("l_quantity").cast("int").alias("_qty"), F.count("*").cast("int").alias("_lines")
@@ -148,7 +160,7 @@ def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
     )
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    rows = table(spark, sf_dir, "lineitem").join(orders, "l_orderkey").join(supplier, "l_suppkey", "left")
+    rows = table(spark, sf_dir, "lineitem", spread_by="l_orderkey").join(orders, "l_orderkey").join(supplier, "l_suppkey", "left")
     return rows.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("entry_id"),
         _sys_id("l_orderkey").alias("element_id"),
@@ -209,6 +221,14 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written to the scratch folder and read back, as a service desk's own tables
+    would be. Work that reads a view many times does not derive it anew each time."""
+    path = scratch_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text per customer with every kind of personal data."""
     key = F.col("c_custkey")

@@ -211,6 +211,41 @@ VIEWS = {
             || 'Recommendations for prevention have been identified and are detailed in this report.' AS summary
         FROM incidents i JOIN root_causes r ON r.sys_id = i.sys_id JOIN impacts m ON m.sys_id = i.sys_id
         JOIN durations d ON d.sys_id = i.sys_id""",
+    "advice": """
+        SELECT r.number, r.sys_id, CASE WHEN advice_lines = '' THEN
+            '**Documentation:** Ensure all incidents have comprehensive documentation for future reference.' || chr(10)
+            || '**Post-Incident Review:** Conduct post-incident review to identify process improvements.' || chr(10)
+            || '**Monitoring:** Enhance monitoring and alerting to detect similar issues earlier.'
+            ELSE advice_lines END AS recommendations
+        FROM (SELECT number, sys_id, concat_ws(chr(10), CASE
+            WHEN regexp_matches(lower(root_cause), 'configuration|misconfigured') THEN
+                '**Configuration Management:** Implement automated configuration validation and change tracking to prevent misconfigurations.' || chr(10)
+                || '**Change Control:** Ensure all configuration changes go through proper change management process with testing.'
+            WHEN regexp_matches(lower(root_cause), 'hardware|device') THEN
+                '**Hardware Monitoring:** Enhance hardware monitoring and proactive replacement schedules.' || chr(10)
+                || '**Redundancy:** Consider implementing redundant systems for critical infrastructure components.'
+            WHEN regexp_matches(lower(root_cause), 'software|application|bug') THEN
+                '**Software Testing:** Improve testing procedures and quality assurance before deployment.' || chr(10)
+                || '**Error Handling:** Enhance application error handling and logging for faster issue detection.'
+            WHEN regexp_matches(lower(root_cause), 'network|connectivity') THEN
+                '**Network Monitoring:** Strengthen network monitoring and alerting capabilities.' || chr(10)
+                || '**Documentation:** Maintain up-to-date network documentation and diagrams.'
+            WHEN regexp_matches(lower(root_cause), 'human|error|mistake') THEN
+                '**Training:** Provide additional training to reduce human error.' || chr(10)
+                || '**Process Automation:** Automate manual processes where possible to reduce error risk.' || chr(10)
+                || '**Checklists:** Implement standardized checklists for critical operations.'
+            WHEN regexp_matches(lower(root_cause), 'capacity|resource') THEN
+                '**Capacity Planning:** Implement proactive capacity planning and monitoring.' || chr(10)
+                || '**Resource Scaling:** Consider auto-scaling solutions for variable workloads.'
+            WHEN regexp_matches(lower(root_cause), 'security|breach|unauthorized') THEN
+                '**Security Controls:** Review and strengthen security controls and access management.' || chr(10)
+                || '**Security Monitoring:** Enhance security monitoring and incident response capabilities.' END,
+            CASE WHEN starts_with(efficiency, 'Needs Improvement') THEN
+                '**Response Time:** Review incident response procedures to improve resolution times.' || chr(10)
+                || '**Escalation:** Ensure proper escalation procedures are followed for complex incidents.' END,
+            CASE WHEN contains(lower(factors), 'reassignment') THEN
+                '**Routing:** Improve incident routing and assignment processes to reduce reassignments.' END) AS advice_lines
+            FROM root_causes JOIN durations USING (sys_id, number) JOIN factors USING (sys_id, number)) r""",
     "contacts": """
         SELECT c_custkey, 'Anna Berg-' || c_name || ' mail a.b+' || c_custkey::VARCHAR
             || '@mail.example.com call +1 (555) ' || substr(digits, 5, 3) || '-0' || substr(digits, 7, 3)

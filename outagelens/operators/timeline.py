@@ -81,7 +81,10 @@ EVENT_ORDER = ("timestamp", "seq", "entry_id")
 
 
 def event_rows(incidents: DataFrame, journal: DataFrame) -> DataFrame:
-    """Created, journal and resolved events, keyed by sys_id, in one union without a join."""
+    """Created, journal and resolved events, keyed by sys_id, without a join.
+
+    Each table is read once: an incident row unfolds into its two events.
+    """
 
     def event(seq, entry_id, timestamp, event_type, actor, description, details) -> list[Column]:
         return [
@@ -94,17 +97,23 @@ def event_rows(incidents: DataFrame, journal: DataFrame) -> DataFrame:
             details.alias("details"),
         ]
 
-    created = incidents.select(
-        "sys_id",
-        *event(
-            0, F.lit(""), "opened_at", "Incident Created",
-            display_value("caller_id", "Unknown"),
-            F.concat(F.lit("Incident "), F.col("number"), F.lit(" created")),
-            text_or("short_description"),
-        ),
+    created = event(
+        0, F.lit(""), "opened_at", "Incident Created",
+        display_value("caller_id", "Unknown"),
+        F.concat(F.lit("Incident "), F.col("number"), F.lit(" created")),
+        text_or("short_description"),
+    )
+    closing = F.coalesce(
+        optional(incidents, "resolution_notes"), optional(incidents, "close_notes"), F.lit("")
     )
-    entries = incident_journal(journal)
-    logged = entries.select(
+    resolved = event(
+        2, F.lit(""), "resolved_at", "Incident Resolved",
+        display_value("assigned_to", "Unknown"), F.lit("Incident resolved"), closing,
+    )
+    ends = incidents.select(
+        "sys_id", F.inline(F.array(F.struct(*created), F.struct(*resolved)))
+    ).filter(F.col("timestamp").isNotNull())
+    logged = incident_journal(journal).select(
         F.col("element_id").alias("sys_id"),
         *event(
             1, F.col("entry_id"), "sys_created_on", "Journal Entry",
@@ -113,18 +122,7 @@ def event_rows(incidents: DataFrame, journal: DataFrame) -> DataFrame:
             F.col("name"),
         ),
     )
-    closing = F.coalesce(
-        optional(incidents, "resolution_notes"), optional(incidents, "close_notes"), F.lit("")
-    )
-    resolved = incidents.select(
-        "sys_id",
-        *event(
-            2, F.lit(""), "resolved_at", "Incident Resolved",
-            display_value("assigned_to", "Unknown"), F.lit("Incident resolved"), closing,
-        ),
-    )
-    dated = F.col("timestamp").isNotNull()
-    return created.filter(dated).unionByName(logged).unionByName(resolved.filter(dated))
+    return ends.unionByName(logged)
 
 
 def timeline(incidents: DataFrame, journal: DataFrame) -> DataFrame:

@@ -21,6 +21,28 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType, limit: int | No
     return rows if limit is None else rows.limit(limit)
 
 
+# Up to this many bytes per core a table may be moved to use all cores.
+SPREAD_BYTES = 32 * 1024 * 1024
+
+
+def scan_parquet(
+    spark: SparkSession, path: str, schema: StructType | None = None, spread_by: str | None = None
+) -> DataFrame:
+    """Parquet table, by default as its files are split.
+
+    ``spread_by`` is for CPU-bound work such as masking: a table too small to give every
+    core a split is first distributed over all cores by this column. Its size is checked,
+    so large tables, which have splits enough, are never moved.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    rows = reader.parquet(path)
+    if spread_by is None:
+        return rows
+    cores = spark.sparkContext.defaultParallelism
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return rows.repartition(cores, spread_by) if size < cores * SPREAD_BYTES else rows
+
+
 def scan_stage(spark: SparkSession, path: str, schema: StructType, limit: int | None = None) -> DataFrame:
     """One stage of the pipeline, or an empty table with its schema if the path is missing."""
     try:

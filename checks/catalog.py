@@ -22,7 +22,7 @@ from outagelens.operators import (
 )
 from outagelens.session import configure
 from outagelens.sources import files, schemas
-from outagelens.sources.scratch import scratch_folder
+from outagelens.sources.scratch import scratch_folder, stored
 
 from . import views
 from .views_sql import hashed, hits, redacted, with_views
@@ -892,13 +892,14 @@ def _as_of():
 
 
 def _tables(spark, sf_dir):
+    """The views as stored tables, as a service desk would have them."""
     tables = {
         "incidents": views.incidents(spark, sf_dir),
         "journal": views.journal(spark, sf_dir),
         "problems": views.problems(spark, sf_dir),
         "changes": views.changes(spark, sf_dir),
     }
-    return tuple(views.landed(rows, name) for name, rows in tables.items())
+    return tuple(stored(rows, name) for name, rows in tables.items())
 
 
 @check("executive_summary", "SELECT number, summary FROM summaries")

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from outagelens.sources.files import scan_parquet
-from outagelens.sources.scratch import scratch_folder
 
 
 _SCHEMAS: dict[str, StructType] = {}
@@ -221,14 +220,6 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landed(rows: DataFrame, name: str) -> DataFrame:
-    """The rows written to the scratch folder and read back, as a service desk's own tables
-    would be. Work that reads a view many times does not derive it anew each time."""
-    path = scratch_folder(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text per customer with every kind of personal data."""
     key = F.col("c_custkey")

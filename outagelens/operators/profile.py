@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import stored
 from .quantile import exact_median
 
+
 def percent(part: Column, whole: Column) -> Column:
     return F.lit(100.0) * part / whole
 
@@ -130,8 +132,9 @@ ANALYSIS_COLUMNS = (
 def analyze_incidents(df: DataFrame, columns: Sequence = ANALYSIS_COLUMNS) -> DataFrame:
     """The whole analysis as rows of metric, key, n and value.
 
-    Scalars have no key. One pass counts all distributions by grouping sets, so the
-    enriched table is read once for them and once for the median.
+    Scalars have no key. One pass counts all distributions by grouping sets; its small
+    result is stored when the plan is built, as several metrics read it. The enriched
+    table is read once more for the median.
     """
     shown = [entry for entry in columns if entry[0] in df.columns]
     names = [name for name, _, _ in shown]
@@ -146,6 +149,7 @@ def analyze_incidents(df: DataFrame, columns: Sequence = ANALYSIS_COLUMNS) -> Da
         F.count_if("slaBreach").alias("_breached"),
         F.avg(hours).alias("avg_resolution_hours"),
     )
+    grouped = stored(grouped, "analysis")
     all_rows = 2 ** len(names) - 1
     overall = grouped.filter(F.col("_set") == all_rows)
     total = overall.select("total_incidents").scalar()

@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import hours_of_micros
+from ..sources.scratch import stored
 
 MICROS_PER_HOUR = 3_600_000_000.0
 # Values are narrowed down by 20 bits at a time: 60 bits hold every span between two
 # timestamps in microseconds, and one level has at most about a million steps.
 STEP_BITS = 20
 LEVELS = 3
+# Most groups whose state is broadcast.
+BROADCAST_GROUPS = 10_000
+# Group column where there is no other.
+ALL_ROWS = "_all"
 
 
 def exact_median(df: DataFrame, hours: Column, by: Sequence[str], name: str = "median") -> DataFrame:
@@ -21,17 +26,18 @@ def exact_median(df: DataFrame, hours: Column, by: Sequence[str], name: str = "m
 
     The built-in ``median`` keeps all distinct values of a group in one task. Here the
     values are first counted, then the middle one is found by counting ranges that get
-    finer with each level. ``by`` must take few values (categories, or nothing), as the
-    state of one row per group is broadcast. Hours are whole microseconds.
+    finer with each level. The state of one row per group meets the counts by broadcast if
+    the groups, which are counted, are few, else by a shuffled join. Without ``by`` all rows
+    are one group. The counts are stored when the plan is built, as every level reads them.
+    Hours are whole microseconds.
     """
-    if not by:
-        whole = exact_median(df.withColumn("_all", F.lit(1)), hours, ["_all"], name)
-        return whole.drop("_all")
-
     micros = F.round(hours * MICROS_PER_HOUR).cast("bigint").alias("_value")
-    counts = (
-        df.filter(hours.isNotNull()).groupBy(*by, micros).agg(F.count("*").alias("_n"))
-    )
+    keys = [F.col(name) for name in by] or [F.lit(0).alias(ALL_ROWS)]
+    counted = df.filter(hours.isNotNull()).groupBy(*keys, micros).agg(F.count("*").alias("_n"))
+    counts = stored(counted, "median")
+    by = list(by) or [ALL_ROWS]
+    groups = counts.select(*by).distinct().limit(BROADCAST_GROUPS + 1).count()
+    few = groups <= BROADCAST_GROUPS
     # _rank: how many values come before the lower middle one.
     state = counts.groupBy(*by).agg(F.sum("_n").alias("_total")).select(
         *by,
@@ -40,22 +46,23 @@ def exact_median(df: DataFrame, hours: Column, by: Sequence[str], name: str = "m
         F.lit(None).cast("bigint").alias("_prefix"),
     )
     for level in reversed(range(LEVELS)):
-        state = _narrow(counts, state, list(by), level * STEP_BITS)
-    return _middle(counts, state, list(by), name)
+        state = _narrow(counts, state, by, few, level * STEP_BITS)
+    return _middle(counts, state, by, few, name).drop(ALL_ROWS)
 
 
-def _with_state(counts: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
+def _with_state(counts: DataFrame, state: DataFrame, by: list[str], few: bool) -> DataFrame:
     same = [F.col(f"c.{name}").eqNullSafe(F.col(f"s.{name}")) for name in by]
-    joined = counts.alias("c").join(F.broadcast(state).alias("s"), same)
+    side = F.broadcast(state) if few else state
+    joined = counts.alias("c").join(side.alias("s"), same)
     return joined.drop(*[F.col(f"s.{name}") for name in by])
 
 
-def _narrow(counts: DataFrame, state: DataFrame, by: list[str], shift: int) -> DataFrame:
+def _narrow(counts: DataFrame, state: DataFrame, by: list[str], few: bool, shift: int) -> DataFrame:
     """Find the range of 2**shift values that holds the wanted rank."""
     prefix = F.shiftright("_value", shift)
     in_range = F.col("_prefix").isNull() | (F.shiftright(prefix, STEP_BITS) == F.col("_prefix"))
     ranges = (
-        _with_state(counts, state, by)
+        _with_state(counts, state, by, few)
         .filter(in_range)
         .groupBy(*by, "_even", "_rank", prefix.alias("_range"))
         .agg(F.sum("_n").alias("_size"))
@@ -74,11 +81,11 @@ def _narrow(counts: DataFrame, state: DataFrame, by: list[str], shift: int) -> D
     )
 
 
-def _middle(counts: DataFrame, state: DataFrame, by: list[str], name: str) -> DataFrame:
+def _middle(counts: DataFrame, state: DataFrame, by: list[str], few: bool, name: str) -> DataFrame:
     """The lower middle value, averaged with the next one for an even count."""
     value, lower = F.col("_value"), F.col("_prefix")
     ends = (
-        _with_state(counts, state, by)
+        _with_state(counts, state, by, few)
         .groupBy(*by, "_even", "_rank", "_prefix")
         .agg(
             F.sum(F.when(value == lower, F.col("_n"))).alias("_same"),

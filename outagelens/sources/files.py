@@ -9,15 +9,25 @@ from pyspark.sql.types import StructType
 
 from .schemas import envelope
 
-# Writer and reader use the same quoting, so quotes and line breaks in texts survive;
-# an empty text is written as "" and a NULL as nothing.
-CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "emptyValue": '""'}
-CSV_READ = {**CSV_OPTIONS, "emptyValue": "", "enforceSchema": False}
+# Writer and reader use the same quoting, so quotes, commas and line breaks in texts
+# survive. An empty text is read as NULL, like a missing one.
+CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType, limit: int | None = None) -> DataFrame:
-    """CSV with a header line; ``limit`` keeps the first rows only, as a sample."""
-    rows = spark.read.schema(schema).options(**CSV_READ).csv(path)
+def scan_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    limit: int | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
+    """CSV with a header line; ``limit`` keeps the first rows only, as a sample.
+
+    Texts may hold line breaks, so by default each file is read by one task. For exports
+    with one record per line pass ``multi_line=False``, and large files are split.
+    """
+    options = {**CSV_OPTIONS, "multiLine": multi_line, "enforceSchema": False}
+    rows = spark.read.schema(schema).options(**options).csv(path)
     return rows if limit is None else rows.limit(limit)
 
 
@@ -53,9 +63,14 @@ def scan_stage(spark: SparkSession, path: str, schema: StructType, limit: int |
         return spark.createDataFrame([], schema)
 
 
-def scan_json_envelope(spark: SparkSession, path: str, record: StructType) -> DataFrame:
-    """Records of landed responses. A reference field may be an object or a text."""
-    landed = spark.read.schema(envelope(record)).json(path)
+def scan_json_envelope(
+    spark: SparkSession, path: str, record: StructType, multi_line: bool = False
+) -> DataFrame:
+    """Records of landed responses, one per line, or one per file with ``multi_line``.
+
+    A reference field may be an object or a text.
+    """
+    landed = spark.read.schema(envelope(record)).json(path, multiLine=multi_line)
     return landed.select(F.inline("result"))
 
 

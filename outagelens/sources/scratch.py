@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -15,8 +15,16 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 
     Only where no folder is named, as in local tests, a temporary one is made.
     """
-    base = spark.conf.get(SETTING, None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="outagelens-")
-        spark.conf.set(SETTING, base)
+    base = spark.conf.get(SETTING, None) or tempfile.mkdtemp(prefix="outagelens-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written to a scratch folder now and read back.
+
+    For intermediate results that are read several times: they are derived once, and what
+    follows does not depend on the executors that derived them.
+    """
+    path = scratch_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -39,7 +39,7 @@ def cause_sentences(journal: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFra
 
     order = ["kind", "sys_created_on", "entry_id"]
     joined = F.array_join(ordered_list(order, F.col("text")), " ")
-    normal, hot = split_hot(texts, "sys_id", "entry_id", piece_rows)
+    normal, hot = split_hot(texts, "sys_id", "entry_id", piece_rows, counted=notes)
     found = normal.groupBy("sys_id").agg(cause.cause_sentence(joined).alias("sentence"))
     if hot is not None:
         pieces = (

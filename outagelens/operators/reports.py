@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import report_text as rt
 from ..functions.text import display_value, join_lines, text_or
 from ..functions.times import timestamp_text, to_timestamp
+from ..sources.scratch import stored
 from .bundle import incident_bundle
 from .packing import ordered_list
 from .rca import rca_analysis
@@ -90,9 +91,13 @@ def report_markdown(
     as_of: datetime | Column | None = None,
     generator: str = GENERATOR,
 ) -> DataFrame:
-    """number, part (always 0) and the Markdown report of every incident."""
+    """number, part (always 0) and the Markdown report of every incident.
+
+    The analysis is stored first unless it is given: its texts appear in several sections
+    and would be built anew for each.
+    """
     if analysis is None:
-        analysis = rca_analysis(incidents, journal, problems)
+        analysis = stored(rca_analysis(incidents, journal, problems), "analysis")
     rows = (
         incidents.join(analysis.drop("number"), "sys_id")
         .join(_timeline_blocks(incidents, journal), "sys_id", "left")
@@ -198,7 +203,7 @@ def report_json(
     documents of higher part, see ``incident_bundle``.
     """
     if analysis is None:
-        analysis = rca_analysis(incidents, journal, problems, piece_rows=piece_rows)
+        analysis = stored(rca_analysis(incidents, journal, problems, None, piece_rows), "analysis")
     results = analysis.select(
         "sys_id",
         F.struct(
@@ -210,9 +215,8 @@ def report_json(
             .alias("duration_analysis"),
             "priority_justification",
         ).alias("analysis"),
-        F.lit(0).cast("bigint").alias("part"),
     )
-    bundle = incident_bundle(incidents, journal, problems, changes, piece_rows)
+    bundle = incident_bundle(incidents, journal, problems, changes, piece_rows, results)
     document = F.struct(
         F.struct(
             F.date_format(_clock(as_of), "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"),
@@ -228,9 +232,7 @@ def report_json(
         ).alias("related_records"),
     )
     options = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
-    return bundle.join(results, ["sys_id", "part"], "left").select(
-        "number", "part", F.to_json(document, options).alias("report")
-    )
+    return bundle.select("number", "part", F.to_json(document, options).alias("report"))
 
 
 FORMATS = {"markdown": report_markdown, "json": report_json, "text": report_text}

@@ -50,6 +50,10 @@ def enrich_incidents(df: DataFrame) -> DataFrame:
     priority = F.col("priority") if has("priority") else nothing
     text = F.col("short_description") if has("short_description") else nothing
     ci_type = F.col("ci_type") if has("ci_type") else nothing
+    # Only repeatable estimates need a key; without a number the whole row serves.
+    key = F.col("number") if has("number") else F.concat_ws(
+        "|", *[F.col(name).cast("string") for name in rows.columns]
+    )
     both_dates = has("openedDate") and has("resolvedDate")
     rows = rows.withColumns(
         {
@@ -59,7 +63,7 @@ def enrich_incidents(df: DataFrame) -> DataFrame:
             "resolutionTimeHrs": times.hours_between("openedDate", "resolvedDate")
             if both_dates
             else F.lit(None).cast("double"),
-            "userImpactEstimate": inc.user_impact_estimate("number", ci_type),
+            "userImpactEstimate": inc.user_impact_estimate(key, ci_type),
             "week": times.iso_week("openedDate")
             if has("openedDate")
             else F.lit(None).cast("int"),

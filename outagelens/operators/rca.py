@@ -34,16 +34,21 @@ def cause_sentences(journal: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFra
     )
     start = fixed.CAUSE_PHRASE.split(" ")[0]
     possible = F.col("text").contains(fixed.CAUSE_PHRASE) | F.col("text").endswith(start)
-    candidates = notes.filter(possible).select("sys_id").distinct()
-    texts = notes.join(candidates, "sys_id", "left_semi")
 
+    def candidates(rows: DataFrame) -> DataFrame:
+        keys = rows.filter(possible).select("sys_id").distinct()
+        return rows.join(keys, "sys_id", "left_semi")
+
+    # Hot incidents leave before any shuffle by sys_id.
+    normal, hot = split_hot(notes, "sys_id", "entry_id", piece_rows)
     order = ["kind", "sys_created_on", "entry_id"]
     joined = F.array_join(ordered_list(order, F.col("text")), " ")
-    normal, hot = split_hot(texts, "sys_id", "entry_id", piece_rows, counted=notes)
-    found = normal.groupBy("sys_id").agg(cause.cause_sentence(joined).alias("sentence"))
+    found = (
+        candidates(normal).groupBy("sys_id").agg(cause.cause_sentence(joined).alias("sentence"))
+    )
     if hot is not None:
         pieces = (
-            ordered_pieces(hot, "sys_id", order, piece_rows)
+            ordered_pieces(candidates(hot), "sys_id", order, piece_rows)
             .groupBy("sys_id", "_range", "_piece")
             .agg(cause.sentence_pieces(joined).alias("pieces"))
         )

@@ -26,17 +26,15 @@ def split_hot(
     piece_rows: int = PIECE_ROWS,
     broadcast_keys: int = BROADCAST_KEYS,
     salts: int = SALTS,
-    counted: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of normal keys, and rows of keys with more than ``piece_rows`` rows.
 
     The second part is None if there is no hot key, which is found by one count over the
     key column when the plan is built. At most ``broadcast_keys`` + 1 keys come back. Up
     to that number they are broadcast; beyond it the rows meet them on the key and a salt
-    taken from ``spread_by``, so that a hot key spreads over ``salts`` tasks. ``counted``
-    may name a cheaper table to count, with at least the rows of each key.
+    taken from ``spread_by``, so that a hot key spreads over ``salts`` tasks.
     """
-    counts = (rows if counted is None else counted).groupBy(key).agg(F.count("*").alias("_n"))
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
     hot = counts.filter(F.col("_n") > piece_rows).select(key)
     found = [row[0] for row in hot.limit(broadcast_keys + 1).collect()]
     if not found:

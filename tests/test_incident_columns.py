@@ -133,3 +133,8 @@ def test_fill_defaults(spark):
     assert enrich.fill_defaults(df).first().asDict() == {
         "number": "x", "reassignment_count": 7, "ci_type": "Unknown", "assigned_to": "Unassigned"
     }
+
+
+def test_enrichment_without_number(spark):
+    rows = enrich.enrich_incidents(spark.createDataFrame([("a", "New"), ("b", "New")], "id_hash string, state string"))
+    assert all(1 <= r.userImpactEstimate < 50 for r in rows.collect())

@@ -62,8 +62,9 @@ def cells_of(docs: DataFrame) -> DataFrame:
 def tempered_targets(cells: DataFrame, dimension: str, alpha: float = ALPHA) -> DataFrame:
     """dimension, share: the shares of the cells' tokens to the power of alpha, adding up to 1."""
     sums = cells.groupBy(dimension).agg(F.sum("tokens").cast("double").alias("_sum"))
-    total = sums.agg(F.sum(F.pow("_sum", F.lit(alpha))).alias("_total"))  # one row
-    return sums.join(F.broadcast(total)).select(dimension, (F.pow("_sum", F.lit(alpha)) / F.col("_total")).alias("share"))
+    total = sums.agg(F.sum(F.pow("_sum", F.lit(alpha)))).first()[0] or 0.0
+    share = F.pow("_sum", F.lit(alpha)) / total if total else F.lit(0.0)
+    return sums.select(dimension, share.alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], iterations: int = ITERATIONS, most: float = 1 / SHARE) -> DataFrame:
@@ -74,16 +75,13 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], iterations: int = ITER
     target get weight 0. Cells without tokens keep the factors of their other dimensions.
     """
     cells = kept(cells.withColumn("weight", F.lit(1.0)), "cells")
-    total = cells.agg(F.sum("tokens").cast("double").alias("_all"))
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     wanted = {}
     for dimension, shares in targets.items():
         present = cells.groupBy(dimension).agg(F.sum("tokens").alias("_tokens")).filter("_tokens > 0")
-        shares = shares.join(present, dimension, "left_semi")
-        sums = shares.agg(F.sum("share").alias("_shares")).join(F.broadcast(total))  # one row
-        wanted[dimension] = kept(
-            shares.join(F.broadcast(sums)).select(dimension, (F.col("share") / F.col("_shares") * F.col("_all")).alias("wanted")),
-            f"targets-{dimension}",
-        )
+        shares = kept(shares.join(present, dimension, "left_semi"), f"targets-{dimension}")
+        sums = shares.agg(F.sum("share")).first()[0] or 1.0
+        wanted[dimension] = shares.select(dimension, (F.col("share") / sums * total).alias("wanted"))
     for _ in range(iterations):
         for dimension in targets:
             now = cells.groupBy(dimension).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from outagelens.session import configure
 from outagelens.sources.scratch import scratch_folder
 
-from . import bottom_k, bpe, golay_dedup, language, mixing, sharding, token_counts, toxicity
+from . import bit_sliced, bottom_k, bpe, chat_template, golay_dedup, language, mixing, sharding, token_counts, toxicity
 from .common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,14 @@ def op10_toxicity(spark, sf_dir):
 @register("op1_mixing", mixing.mixture_sql())
 def op1_mixing(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+@register("op4_bit_sliced", bit_sliced.TOP_SQL)
+def op4_bit_sliced(spark, sf_dir):
+    return bit_sliced.top_products(table(spark, sf_dir, "embeddings"))
+
+
+@register("op5_chat_template", chat_template.DIGEST_SQL)
+def op5_chat_template(spark, sf_dir):
+    rows = chat_template.with_control_conversation(table(spark, sf_dir, "conversations"))
+    return chat_template.read_back(chat_template.format_conversations(rows))

@@ -50,15 +50,15 @@ def byte_shards(
         F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_bytes_before"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
     )
-    total = totals.agg(F.sum("_bytes").alias("_total"))
+    total = totals.agg(F.sum("_bytes")).first()[0] or 0
 
     inside = Window.partitionBy("_range").orderBy(*keys)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = dealt.withColumns(
         {"_in_range": F.sum(size).over(running), "_place": F.row_number().over(inside)}
     )
-    placed = placed.join(starts, "_range").join(F.broadcast(total))  # the total is one row
-    cut = _shard_of(F.col("_bytes_before") + F.col("_in_range"), F.col(size), F.col("_total"), shards)
+    placed = placed.join(starts, "_range")
+    cut = _shard_of(F.col("_bytes_before") + F.col("_in_range"), F.col(size), total, shards)
     placed = placed.select(
         *rows.columns,
         cut.alias("shard"),
@@ -70,13 +70,13 @@ def byte_shards(
     return slots.select(*rows.columns, "shard", (F.col("_place") - F.col("_first")).alias("slot"))
 
 
-def _shard_of(end: Column, size: Column, total: Column, shards: int) -> Column:
+def _shard_of(end: Column, size: Column, total: int, shards: int) -> Column:
     """The shard of the middle byte of a row that ends at ``end`` on the line of all bytes.
 
     Twice the middle is whole, so that the cut is exact in whole numbers.
     """
     doubled = (end * 2 - size).cast("decimal(38,0)") * shards
-    shard = F.floor(doubled / F.greatest(total * 2, F.lit(1)).cast("decimal(38,0)"))
+    shard = F.floor(doubled / F.lit(max(2 * total, 1)).cast("decimal(38,0)"))
     return F.least(shard.cast("int"), F.lit(shards - 1))
 
 

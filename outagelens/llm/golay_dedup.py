@@ -26,7 +26,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import free_name, kept, whole_text
 from .components import components
@@ -45,32 +44,50 @@ LENGTH, INFORMATION = 23, 12
 # --- Fingerprints -------------------------------------------------------------------
 
 
-def simhash(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The fingerprint of a whole text as an unsigned number; zero if it has no word."""
+def simhashes(text: str, shingle: int = SHINGLE, seed: int = SEED, count: int = 1) -> list[int]:
+    """Fingerprints of a whole text as unsigned numbers; zero if it has no word.
+
+    The first is made of the shingles' XXH64, each further one of those values mixed once more.
+    """
     words = text.encode("utf-8").lower().split()  # both touch ASCII only
     if not words:
-        return 0
+        return [0] * count
     joined = memoryview(b" ".join(words))
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     size = min(shingle, len(words))
     starts, ends = starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, dtype=np.int64)
+    ones = np.zeros((count, 64), dtype=np.int64)
     for i in range(0, len(starts), _HASHES_AT_ONCE):
         some = zip(starts[i : i + _HASHES_AT_ONCE], ends[i : i + _HASHES_AT_ONCE], strict=True)
         hashes = np.array([digest(joined[a:b], seed) for a, b in some], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, 64)
-        ones += bits.sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
+        for place in range(count):
+            bits = np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, 64)
+            ones[place] += bits.sum(0, dtype=np.int64)
+            hashes = _mixed(hashes)
+    return np.packbits(2 * ones > len(starts), axis=1, bitorder="little").view("<u8")[:, 0].tolist()
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """Other values of 64 bits, one for each."""
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return values ^ (values >> np.uint64(32))
+
+
+def simhash(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    return simhashes(text, shingle, seed)[0]
 
 
-def simhash_column(shingle: int = SHINGLE):
-    """Text to fingerprint, its top bit as the sign."""
+def simhash_columns(count: int = 1, shingle: int = SHINGLE):
+    """Text to (fp0, fp1, ...): fingerprints, their top bit as the sign."""
 
-    @F.pandas_udf("long")
-    def prints(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([simhash(text, shingle) for text in texts], dtype=np.uint64).astype(np.int64))
+    @F.pandas_udf(", ".join(f"fp{i} long" for i in range(count)))
+    def prints(texts: pd.Series) -> pd.DataFrame:
+        rows = np.array([simhashes(text, shingle, count=count) for text in texts], dtype=np.uint64)
+        rows = rows.reshape(-1, count).astype(np.int64)
+        return pd.DataFrame({f"fp{i}": rows[:, i] for i in range(count)})
 
     return prints
 
@@ -162,13 +179,19 @@ def near_links(members: np.ndarray, bits: int = BITS) -> list[tuple[int, int]]:
     return links
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])))
-def _links_column(groups: pd.Series) -> pd.Series:
-    return pd.Series([[{"a": a, "b": b} for a, b in near_links(np.asarray(x))] for x in groups], dtype=object)
+def _links_column(bits: int):
+    @F.pandas_udf("array<struct<a: long, b: long>>")
+    def links(groups: pd.Series) -> pd.Series:
+        return pd.Series([[{"a": a, "b": b} for a, b in near_links(np.asarray(x), bits)] for x in groups], dtype=object)
+
+    return links
+
 
+def fingerprint_links(nodes: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
+    """nodes (fp: distinct longs) to links (a, b) that connect all fingerprints within 3 bits.
 
-def fingerprint_links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """nodes (fp: distinct longs) to links (a, b) that connect all fingerprints within 3 bits."""
+    With more ``bits``, those that share a key are linked up to that distance too.
+    """
     keys = kept(nodes.select("fp").mapInPandas(_key_rows, "key long, fp long"), "golay-keys")
     sizes = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = keys.join(sizes, "key")
@@ -178,7 +201,7 @@ def fingerprint_links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
     others = F.sequence(F.lit(0), parts - 1)
     paired = shared.select("key", "fp", own.alias("own"), F.explode(others).alias("other"))
     groups = paired.groupBy("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    found = groups.agg(F.collect_list("fp").alias("members")).select(_links_column("members").alias("links"))
+    found = groups.agg(F.collect_list("fp").alias("members")).select(_links_column(bits)("members").alias("links"))
     return found.select(F.inline("links")).distinct()
 
 
@@ -200,28 +223,35 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     Repeated rows keep a row each. Null ids are no candidates for the smallest; a component of
     only such rows has a null id. Other columns are ignored; an empty table gives no rows.
     """
-    prints = docs.select(docs[key].alias("id"), simhash_column()(whole_text(docs["text"])).alias("fp"))
-    prints = kept(prints, "simhash")
+    made = simhash_columns()(whole_text(docs["text"])).alias("made")
+    prints = kept(docs.select(docs[key].alias("id"), made).select("id", F.col("made.fp0").alias("fp")), "simhash")
     found = prints.join(_classes(prints), "fp", "left")
     return found.select(F.col("id").alias(key), fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", shingle: int = 5) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", bits: int = 8) -> DataFrame:
     """One document of each component stays, the one of the smallest id, with all its columns.
 
-    Among repeated rows of that id with one fingerprint, one stays. A null id counts as the
-    largest. Texts are treated as in `near_duplicates`; further columns may have any names.
+    Two fingerprints are linked each by itself, up to ``bits`` bits: all links of up to 3 bits,
+    and of the wider ones those that share a key in one of the two. A document ties its two
+    fingerprints together. Of repeated rows with that id and those fingerprints one stays. A
+    null id counts as the largest. Texts are treated as in `near_duplicates`; further columns
+    may have any names.
     """
-    fp, order = free_name(docs, "fp"), free_name(docs, "order")
+    prints, order = free_name(docs, "prints"), free_name(docs, "order")
     last = F.lit((1 << 63) - 1)
     marked = docs.withColumns(
-        {fp: simhash_column(shingle)(whole_text(docs["text"])), order: F.coalesce(docs[key].cast("long"), last)}
+        {prints: simhash_columns(2)(whole_text(docs["text"])), order: F.coalesce(docs[key].cast("long"), last)}
     )
     marked = kept(marked, "simhash-rows")
-    prints = marked.select(F.col(order).alias("id"), F.col(fp).alias("fp"))
-    classes = _classes(prints)
-    ids = prints.groupBy("fp").agg(F.min("id").alias("id"))
-    first = classes.join(ids, "fp").groupBy("root").agg(F.min(F.struct("id", "fp")).alias("first"))
-    first = first.select(F.col("first.id").alias(order), F.col("first.fp").alias(fp))
-    stay = marked.join(first, [order, fp], "left_semi").dropDuplicates([order, fp])
+    rows = marked.select(F.col(order).alias("id"), f"{prints}.fp0", f"{prints}.fp1")
+    nodes = kept(rows.groupBy("fp0", "fp1").agg(F.min("id").alias("id")), "fingerprints")
+    links = nodes.select(F.col("fp0").alias("a"), F.col("fp1").alias("b"))
+    for name in ("fp0", "fp1"):
+        links = links.unionByName(fingerprint_links(nodes.select(F.col(name).alias("fp")).distinct(), bits))
+    roots = components(links).withColumnRenamed("node", "fp0")
+    placed = nodes.join(roots, "fp0", "left").withColumn("root", F.coalesce("root", "fp0"))
+    first = placed.groupBy("root").agg(F.min(F.struct("id", "fp0", "fp1")).alias("first")).select("first.*")
+    first = first.select(F.col("id").alias(order), F.struct("fp0", "fp1").alias(prints))
+    stay = marked.join(first, [order, prints], "left_semi").dropDuplicates([order, prints])
     return stay.select(*(stay[name] for name in docs.columns))

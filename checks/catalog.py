@@ -260,6 +260,16 @@ def filter_priority_at_most(spark, sf_dir):
         ORDER BY incidents.opened_at DESC, number LIMIT 500""",
 )
 def filter_recent(spark, sf_dir):
+    rows = views.incidents(spark, sf_dir, "number", "opened_at")
+    return as_text(filters.filter_recent(rows, 30, F.lit(AS_OF).cast("timestamp_ntz"), 500, "opened_at"))
+
+
+@check(
+    "filter_recent_all",
+    f"""SELECT number, strftime(opened_at, '%Y-%m-%d %H:%M:%S') AS opened_at FROM incidents
+        WHERE opened_at >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY""",
+)
+def filter_recent_all(spark, sf_dir):
     rows = views.incidents(spark, sf_dir, "number", "opened_at")
     return as_text(filters.filter_recent(rows, 30, F.lit(AS_OF).cast("timestamp_ntz"), opened="opened_at"))
 
@@ -308,7 +318,7 @@ def preview_incidents(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    return views.table(spark, sf_dir, "documents", spread_by="doc_id")
+    return views.table(spark, sf_dir, "documents")
 
 
 def _register_steps():
@@ -540,6 +550,14 @@ def user_impact_totals(spark, sf_dir):
     "SELECT week, count(*) AS n FROM enriched WHERE week IS NOT NULL GROUP BY week ORDER BY week LIMIT 5",
 )
 def weekly_trend(spark, sf_dir):
+    return profile.weekly_trend(enriched(spark, sf_dir, "number", "state", "opened_at"), 5)
+
+
+@check(
+    "weekly_trend_all",
+    "SELECT week, count(*) AS n FROM enriched WHERE week IS NOT NULL GROUP BY week",
+)
+def weekly_trend_all(spark, sf_dir):
     return profile.weekly_trend(enriched(spark, sf_dir, "number", "state", "opened_at"))
 
 
@@ -549,7 +567,7 @@ def weekly_trend(spark, sf_dir):
 )
 def weekly_trend_events(spark, sf_dir):
     events = views.table(spark, sf_dir, "events").select(times.iso_week("ts").alias("week"))
-    return profile.weekly_trend(events)
+    return profile.weekly_trend(events, 5)
 
 
 @check(
@@ -584,6 +602,13 @@ def _scalar(metric: str, count: str = "NULL::BIGINT", value: str = "NULL::DOUBLE
             _scalar("active_incidents", "count(*) FILTER (active)"),
             _scalar("resolved_incidents", "count(*) FILTER (NOT active)"),
             _scalar("high_impact_incidents", "count(*) FILTER (high)"),
+            _scalar("sla_breached", "count(*) FILTER (breach)"),
+            _scalar("within_sla", "count(*) FILTER (NOT breach AND hours IS NOT NULL)"),
+            _scalar("total_users", "sum(users)::BIGINT"),
+            _scalar("avg_users", value="avg(users)"),
+            _scalar("fastest_resolution_hours", value="min(hours)"),
+            _scalar("longest_resolution_hours", value="max(hours)"),
+            "(SELECT 'weekly_trend' AS metric, week::VARCHAR AS key, count(*) AS n, 100::DOUBLE * count(*) / (SELECT count(*) FROM enriched) AS value FROM enriched WHERE week IS NOT NULL GROUP BY week)",
             _scalar("sla_breach_rate", value="100::DOUBLE * count(*) FILTER (breach) / count(hours)"),
             _scalar("avg_resolution_hours", value="avg(hours)"),
             _scalar("median_resolution_hours", value="median(hours)"),
@@ -686,7 +711,7 @@ def timeline_query(spark, sf_dir):
 
 
 @check(
-    "timeline_top20",
+    "timeline_top5",
     """SELECT number, position, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, event_type,
               substr(actor, 1, 30) AS actor, substr(description, 1, 50) AS description
        FROM events_ranked WHERE position <= 5
@@ -694,12 +719,54 @@ def timeline_query(spark, sf_dir):
        SELECT DISTINCT number, 6, '...', '...', '...', '*(' || (total - 5)::VARCHAR || ' more events)*'
        FROM events_ranked WHERE total > 5""",
 )
-def timeline_top20(spark, sf_dir):
-    """With 5 in place of 20 events, as no incident of the test data has more than 20."""
+def timeline_top5(spark, sf_dir):
     rows = views.incidents(spark, sf_dir, *EVENT_INPUT)
     return timeline.timeline_top(rows, views.journal(spark, sf_dir), 5)
 
 
+@check(
+    "timeline_top20",
+    """WITH cases AS (
+           SELECT 'CUS' || c_custkey AS number, md5('CUS' || c_custkey) AS sys_id FROM customer),
+       entries AS (
+           SELECT md5('CUS' || o_custkey) AS sys_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS entry_id,
+                  o_orderdate + to_hours(l_linenumber) AS ts, s_name AS actor, 'Work Note Added' AS event_type,
+                  CASE l_partkey % 2 WHEN 0 THEN 'Checked the logs.' ELSE 'Waiting for the vendor.' END AS description
+           FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN supplier ON s_suppkey = l_suppkey),
+       ranked AS (
+           SELECT *, row_number() OVER (PARTITION BY sys_id ORDER BY ts, entry_id) AS position,
+                  count(*) OVER (PARTITION BY sys_id) AS total
+           FROM entries JOIN cases USING (sys_id))
+       SELECT number, position, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, event_type, substr(actor, 1, 30) AS actor,
+              substr(description, 1, 50) AS description
+       FROM ranked WHERE position <= 20
+       UNION ALL
+       SELECT DISTINCT number, 21, '...', '...', '...', '*(' || (total - 20)::VARCHAR || ' more events)*'
+       FROM ranked WHERE total > 20""",
+)
+def timeline_top20(spark, sf_dir):
+    """Work notes of all orders of a customer as one case: most have far more than 20."""
+    customers = views.table(spark, sf_dir, "customer")
+    number = F.concat(F.lit("CUS"), F.col("c_custkey").cast("string"))
+    nothing = F.lit(None).cast("string")
+    cases = customers.select(number.alias("number"), F.md5(number.cast("binary")).alias("sys_id"))
+    cases = cases.withColumns({name: nothing for name in EVENT_INPUT if name not in ("number", "sys_id")})
+    orders = views.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    suppliers = views.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    lines = views.table(spark, sf_dir, "lineitem").join(orders, "l_orderkey").join(suppliers, "l_suppkey", "left")
+    owner = F.concat(F.lit("CUS"), F.col("o_custkey").cast("string")).cast("binary")
+    entries = lines.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("entry_id"),
+        F.md5(owner).alias("element_id"),
+        F.lit("incident").alias("name"),
+        F.lit("work_notes").alias("element"),
+        (F.col("o_orderdate") + F.make_dt_interval(hours=F.col("l_linenumber"))).alias("sys_created_on"),
+        F.col("s_name").alias("author"),
+        F.when(F.col("l_partkey") % 2 == 0, "Checked the logs.").otherwise("Waiting for the vendor.").alias("value"),
+    )
+    return timeline.timeline_top(cases, entries, 20)
+
+
 @check(
     "related_top5",
     """SELECT number, kind, related_number, short_description, position

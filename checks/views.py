@@ -18,12 +18,12 @@ from outagelens.sources.files import scan_parquet
 _SCHEMAS: dict[str, StructType] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. Its schema is read from the file footer once per process."""
     path = f"{sf_dir}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
-    return scan_parquet(spark, path, _SCHEMAS[path], spread_by)
+    return scan_parquet(spark, path, _SCHEMAS[path])
 
 
 def _number(key: str) -> Column:
@@ -159,7 +159,7 @@ def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
     )
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    rows = table(spark, sf_dir, "lineitem", spread_by="l_orderkey").join(orders, "l_orderkey").join(supplier, "l_suppkey", "left")
+    rows = table(spark, sf_dir, "lineitem").join(orders, "l_orderkey").join(supplier, "l_suppkey", "left")
     return rows.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("entry_id"),
         _sys_id("l_orderkey").alias("element_id"),

@@ -1,10 +1,12 @@
 """Timestamps, durations and their text form.
 
-Timestamps are naive (``timestamp_ntz``), as exports carry no zone.
+Timestamps are naive (``timestamp_ntz``) and mean UTC where a text names a zone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,9 +19,16 @@ SECONDS_PER_HOUR = 3600.0
 _HALVES = 134217729.0
 
 
-def to_timestamp(value: Column | str) -> Column:
-    """Naive timestamp from text or a timestamp; NULL where the text is no timestamp."""
-    return col(value).try_cast("timestamp_ntz")
+def to_timestamp(value: Column | str, formats: Sequence[str] = ()) -> Column:
+    """Naive timestamp from text or a timestamp; NULL where the text is no timestamp.
+
+    Text with a zone offset is brought to UTC, which is the session's zone. ``formats`` are
+    further patterns, tried in order where the text is not in ISO form.
+    """
+    naive = col(value).try_cast("timestamp_ntz")
+    read = F.when(naive.isNotNull(), col(value).try_cast("timestamp").cast("timestamp_ntz"))
+    others = [F.try_to_timestamp(col(value).cast("string"), F.lit(x)).cast("timestamp_ntz") for x in formats]
+    return F.coalesce(read, *others) if others else read
 
 
 def timestamp_text(value: Column | str) -> Column:

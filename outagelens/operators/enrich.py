@@ -31,14 +31,32 @@ def fill_defaults(df: DataFrame, defaults: Mapping = fixed.COLUMN_DEFAULTS) -> D
 
 
 def coerce_timestamps(
-    df: DataFrame, columns: Sequence[str] = ("openedDate", "resolvedDate")
+    df: DataFrame,
+    columns: Sequence[str] = ("openedDate", "resolvedDate"),
+    formats: Sequence[str] = (),
 ) -> DataFrame:
-    """Turn the columns into naive timestamps; text that is none becomes NULL."""
+    """Turn the columns into naive timestamps; text that is none becomes NULL.
+
+    ``formats`` are patterns besides the ISO form, such as ``dd/MM/yyyy HH:mm``.
+    """
     return df.withColumns(
-        {name: times.to_timestamp(name) for name in columns if name in df.columns}
+        {name: times.to_timestamp(name, formats) for name in columns if name in df.columns}
     )
 
 
+def unread_timestamps(
+    df: DataFrame,
+    columns: Sequence[str] = ("openedDate", "resolvedDate"),
+    formats: Sequence[str] = (),
+) -> DataFrame:
+    """One row: for each column how many texts are no timestamp in any known form."""
+    there = [name for name in columns if name in df.columns]
+    unread = {
+        name: (F.trim(F.col(name).cast("string")) != "") & times.to_timestamp(name, formats).isNull() for name in there
+    }
+    return df.agg(*[F.count_if(condition).alias(name) for name, condition in unread.items()])
+
+
 def enrich_incidents(df: DataFrame) -> DataFrame:
     """The incident table with its seven derived columns.
 
@@ -51,9 +69,8 @@ def enrich_incidents(df: DataFrame) -> DataFrame:
     text = F.col("short_description") if has("short_description") else nothing
     ci_type = F.col("ci_type") if has("ci_type") else nothing
     # Only repeatable estimates need a key; without a number the whole row serves.
-    key = F.col("number") if has("number") else F.concat_ws(
-        "|", *[F.col(name).cast("string") for name in rows.columns]
-    )
+    whole_row = F.concat_ws("|", *[F.col(name).cast("string") for name in rows.columns])
+    key = F.coalesce("number", whole_row) if has("number") else whole_row
     both_dates = has("openedDate") and has("resolvedDate")
     rows = rows.withColumns(
         {

@@ -23,7 +23,8 @@ def filter_group(df: DataFrame, word: str = "network") -> DataFrame:
 
 def filter_open(df: DataFrame, word: str = "network", closed: Sequence[str] = ("6", "Resolved")) -> DataFrame:
     """Incidents of matching groups whose state is none of the closed ones."""
-    return df.filter(group_contains(word) & ~F.col("state").isin(*closed))
+    is_closed = F.coalesce(F.col("state").isin(*closed), F.lit(False))  # no state is not closed
+    return df.filter(group_contains(word) & ~is_closed)
 
 
 def filter_priority_in(df: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -39,11 +40,14 @@ def filter_recent(
     df: DataFrame,
     days: int = 7,
     as_of: datetime | Column | None = None,
-    limit: int | None = 500,
+    limit: int | None = None,
     opened: str = "openedDate",
     key: str = "number",
 ) -> DataFrame:
-    """Latest incidents opened in the last ``days`` days before ``as_of`` (default now)."""
+    """Incidents opened in the last ``days`` days before ``as_of`` (default now).
+
+    With a ``limit`` only the latest ones.
+    """
     if as_of is None:
         as_of = F.localtimestamp()
     elif not isinstance(as_of, Column):
@@ -66,9 +70,17 @@ def project_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return df.select(*[name for name in fields if name in df.columns])
 
 
-def page_incidents(df: DataFrame, size: int = 1000, offset: int = 0, key: str = "number") -> DataFrame:
-    """One page in key order."""
-    return df.orderBy(key).offset(offset).limit(size)
+def page_incidents(
+    df: DataFrame, size: int, offset: int = 0, key: str = "number", after: str | None = None
+) -> DataFrame:
+    """One page in key order.
+
+    ``after`` names the last key of the page before: deep pages then cost no more than the
+    first, while an offset sorts and carries all rows up to its page.
+    """
+    rows = df if after is None else df.filter(F.col(key) > after)
+    rows = rows.orderBy(key)
+    return (rows.offset(offset) if offset else rows).limit(size)
 
 
 def preview_incidents(df: DataFrame, rows: int = 3, width: int = 50) -> DataFrame:

@@ -37,9 +37,10 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """Rows per value and their percentage of all rows, NULL values included in the total."""
-    total = df.agg(F.count("*")).scalar()
-    counts = value_counts(df, column)
-    return counts.withColumn("pct", percent(F.col("n"), total))
+    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()  # of the same counts, which are made once
+    shares = counts.withColumn("pct", percent(F.col("n"), total))
+    return shares.filter(F.col(column).isNotNull())
 
 
 def top_values(df: DataFrame, column: str, k: int = 5) -> DataFrame:
@@ -76,9 +77,10 @@ def user_impact_totals(df: DataFrame) -> DataFrame:
     )
 
 
-def weekly_trend(df: DataFrame, weeks: int = 5) -> DataFrame:
-    """Incidents per week number, first weeks only. Years fall together."""
-    return value_counts(df, "week").orderBy("week").limit(weeks)
+def weekly_trend(df: DataFrame, weeks: int | None = None) -> DataFrame:
+    """Incidents per week number, with ``weeks`` the first ones only. Years fall together."""
+    trend = value_counts(df, "week").orderBy("week")
+    return trend if weeks is None else trend.limit(weeks)
 
 
 def run_metrics(raw: DataFrame, processed: DataFrame, at: Column | None = None) -> DataFrame:
@@ -132,10 +134,13 @@ ANALYSIS_COLUMNS = (
 def analyze_incidents(df: DataFrame, columns: Sequence = ANALYSIS_COLUMNS) -> DataFrame:
     """The whole analysis as rows of metric, key, n and value.
 
-    Scalars have no key. One pass counts all distributions by grouping sets; its small
-    result is stored when the plan is built, as several metrics read it. The enriched
-    table is read once more for the median.
+    Scalars have no key and are there for an empty table too, counts as 0. One pass counts
+    all distributions by grouping sets; its small result is stored when the plan is built,
+    as several metrics read it. The enriched table is read once more for the median.
     """
+    columns = [*columns, ("week", "weekly_trend", None)]
+    if "week" in df.columns:
+        df = df.withColumn("week", F.col("week").cast("string"))
     shown = [entry for entry in columns if entry[0] in df.columns]
     names = [name for name, _, _ in shown]
     hours = F.col("resolutionTimeHrs")
@@ -146,12 +151,26 @@ def analyze_incidents(df: DataFrame, columns: Sequence = ANALYSIS_COLUMNS) -> Da
         F.count_if(~F.col("isActive")).alias("resolved_incidents"),
         F.count_if("isHighImpact").alias("high_impact_incidents"),
         F.count(hours).alias("_resolved"),
-        F.count_if("slaBreach").alias("_breached"),
+        F.count_if("slaBreach").alias("sla_breached"),
+        F.count_if(~F.col("slaBreach") & hours.isNotNull()).alias("within_sla"),
         F.avg(hours).alias("avg_resolution_hours"),
+        F.min(hours).alias("fastest_resolution_hours"),
+        F.max(hours).alias("longest_resolution_hours"),
+        F.sum("userImpactEstimate").alias("total_users"),
+        F.avg("userImpactEstimate").alias("avg_users"),
     )
     grouped = stored(grouped, "analysis")
     all_rows = 2 ** len(names) - 1
-    overall = grouped.filter(F.col("_set") == all_rows)
+    whole_numbers = [
+        "total_incidents", "active_incidents", "resolved_incidents", "high_impact_incidents", "_resolved",
+        "sla_breached", "within_sla", "total_users",
+    ]
+    reals = ["avg_resolution_hours", "fastest_resolution_hours", "longest_resolution_hours", "avg_users"]
+    # A plain aggregate has a row even where there is nothing to group.
+    overall = grouped.filter(F.col("_set") == all_rows).agg(
+        *[F.coalesce(F.max(name), F.lit(0).cast("bigint")).alias(name) for name in whole_numbers],
+        *[F.max(name).alias(name) for name in reals],
+    )
     total = overall.select("total_incidents").scalar()
 
     whole = F.lit(None).cast("bigint")
@@ -163,18 +182,21 @@ def analyze_incidents(df: DataFrame, columns: Sequence = ANALYSIS_COLUMNS) -> Da
             "active_incidents",
             "resolved_incidents",
             "high_impact_incidents",
+            "sla_breached",
+            "within_sla",
+            "total_users",
         )
     ]
-    rate = F.when(F.col("_resolved") > 0, percent(F.col("_breached"), F.col("_resolved")))
+    rate = F.when(F.col("_resolved") > 0, percent(F.col("sla_breached"), F.col("_resolved")))
     measured = [
         F.struct(F.lit(name).alias("metric"), whole.alias("n"), value.alias("value"))
         for name, value in (
             ("sla_breach_rate", rate),
-            ("avg_resolution_hours", F.col("avg_resolution_hours")),
+            *((name, F.col(name)) for name in reals),
         )
     ]
     scalars = overall.select(F.inline(F.array(*counted, *measured)))
-    median = exact_median(df, hours, [], "value").select(
+    median = exact_median(df, hours, [], "value").agg(F.max("value").alias("value")).select(
         F.lit("median_resolution_hours").alias("metric"), whole.alias("n"), "value"
     )
     scalars = scalars.unionByName(median).select(

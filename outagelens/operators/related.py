@@ -18,7 +18,7 @@ KINDS = {"incident": "resolved_at", "problem": "resolved_at", "change": "closed_
 
 def children_of(incidents: DataFrame) -> DataFrame:
     """Child incidents keyed by the sys_id of their parent."""
-    return incidents.filter(F.col("parent").isNotNull()).select(
+    return incidents.filter(F.col("parent") != "").select(
         F.col("parent").alias("sys_id"), *_record("resolved_at")
     )
 
@@ -32,6 +32,7 @@ def linked_to(records: DataFrame, ended: str) -> DataFrame:
     if not isinstance(records.schema["incidents"].dataType, ArrayType):
         listed = F.split(listed, ",")
     ids = F.array_distinct(F.transform(listed, lambda entry: F.trim(entry)))
+    ids = F.filter(ids, lambda entry: entry != "")
     return records.select(F.explode(ids).alias("sys_id"), *_record(ended))
 
 

@@ -90,6 +90,7 @@ def report_markdown(
     analysis: DataFrame | None = None,
     as_of: datetime | Column | None = None,
     generator: str = GENERATOR,
+    landed_events: DataFrame | None = None,
 ) -> DataFrame:
     """number, part (always 0) and the Markdown report of every incident.
 
@@ -97,7 +98,7 @@ def report_markdown(
     and would be built anew for each.
     """
     if analysis is None:
-        analysis = stored(rca_analysis(incidents, journal, problems), "analysis")
+        analysis = stored(rca_analysis(incidents, journal, problems, landed_events), "analysis")
     rows = (
         incidents.join(analysis.drop("number"), "sys_id")
         .join(_timeline_blocks(incidents, journal), "sys_id", "left")
@@ -196,6 +197,7 @@ def report_json(
     analysis: DataFrame | None = None,
     as_of: datetime | Column | None = None,
     piece_rows: int = PIECE_ROWS,
+    landed_events: DataFrame | None = None,
 ) -> DataFrame:
     """number, part and one JSON document per row.
 
@@ -203,7 +205,7 @@ def report_json(
     documents of higher part, see ``incident_bundle``.
     """
     if analysis is None:
-        analysis = stored(rca_analysis(incidents, journal, problems, None, piece_rows), "analysis")
+        analysis = stored(rca_analysis(incidents, journal, problems, landed_events, piece_rows), "analysis")
     results = analysis.select(
         "sys_id",
         F.struct(

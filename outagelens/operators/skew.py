@@ -32,8 +32,10 @@ def split_hot(
     The second part is None if there is no hot key, which is found by one count over the
     key column when the plan is built. At most ``broadcast_keys`` + 1 keys come back. Up
     to that number they are broadcast; beyond it the rows meet them on the key and a salt
-    taken from ``spread_by``, so that a hot key spreads over ``salts`` tasks.
+    taken from ``spread_by``, so that a hot key spreads over ``salts`` tasks. Rows whose
+    key is NULL or empty belong to nothing and are left out.
     """
+    rows = rows.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
     counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
     hot = counts.filter(F.col("_n") > piece_rows).select(key)
     found = [row[0] for row in hot.limit(broadcast_keys + 1).collect()]

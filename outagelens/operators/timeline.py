@@ -25,9 +25,10 @@ def incident_journal(journal: DataFrame) -> DataFrame:
     entry_id = (
         F.col("entry_id")
         if "entry_id" in journal.columns
-        else F.sha2(F.concat_ws("|", "element_id", "sys_created_on", "element", "value"), 256)
+        else F.hex(F.xxhash64("element_id", "sys_created_on", "element", "value"))
     )
-    return journal.filter(F.col("name") == INCIDENT_TABLE).withColumns(
+    about = (F.col("name") == INCIDENT_TABLE) & (F.col("element_id") != "")  # entries of no incident go
+    return journal.filter(about).withColumns(
         {"entry_id": entry_id, "sys_created_on": to_timestamp("sys_created_on")}
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import enrich, profile, redact
 from ..sources import files
+from ..sources.scratch import job_scratch
 
 
 @dataclass(frozen=True)
@@ -18,11 +19,12 @@ class BatchPaths:
     redacted: str
     analysis: str
     metrics: str
+    redaction_check: str
 
     @classmethod
     def under(cls, folder: str) -> BatchPaths:
         return cls(
-            *(f"{folder}/{name}" for name in ("processed", "redacted", "analysis", "metrics"))
+            *(f"{folder}/{name}" for name in ("processed", "redacted", "analysis", "metrics", "redaction_check"))
         )
 
 
@@ -33,9 +35,13 @@ def run_batch(
     salt: str,
     apply_redaction: bool = True,
     as_csv: bool = False,
+    stop_on_findings: bool = False,
 ) -> dict[str, DataFrame]:
     """Run all steps and return the written tables.
 
+    The check of the redaction is written too; with ``stop_on_findings`` the run ends with an
+    error if it finds personal data left, before anything else is made of the tables.
+
     The enriched table is written once and read back for the steps after it: they scan
     only the columns they need, and a lost executor costs no recomputation of the input.
     """
@@ -45,7 +51,13 @@ def run_batch(
 
     if apply_redaction:
         redact.redact_live_export(processed, salt).write.mode("overwrite").parquet(paths.redacted)
-    files.sink_json(profile.analyze_incidents(processed), paths.analysis)
+        check = redact.validate_redaction(processed, spark.read.parquet(paths.redacted))
+        files.sink_json(check, paths.redaction_check)
+        found = spark.read.schema(check.schema).json(paths.redaction_check)
+        if stop_on_findings and not found.first()["redaction_successful"]:
+            raise ValueError(f"personal data is left in {paths.redacted}")
+    with job_scratch(spark, "batch"):
+        files.sink_json(profile.analyze_incidents(processed), paths.analysis)
     files.sink_metrics(profile.run_metrics(raw, processed), paths.metrics)
     if as_csv:
         files.sink_csv(processed, paths.processed + "_csv")
@@ -54,7 +66,7 @@ def run_batch(
     if apply_redaction:
         redacted = spark.read.parquet(paths.redacted)
         results["redacted"] = redacted
-        results["redaction_check"] = redact.validate_redaction(processed, redacted)
+        results["redaction_check"] = found
         if as_csv:
             files.sink_csv(redacted, paths.redacted + "_csv")
     return results

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import filters, rca, reports
 from ..sources import files
+from ..sources.scratch import job_scratch
 
 
 def run_rca(
@@ -21,9 +22,13 @@ def run_rca(
     formats: Sequence[str] = ("markdown",),
     wanted: str | Sequence[str] | DataFrame | None = None,
     as_of: datetime | None = None,
+    landed_events: DataFrame | None = None,
 ) -> DataFrame:
     """Analyse all incidents, or the wanted ones, and write the reports.
 
+    ``landed_events`` (sys_id, timestamp, event_type) tell when work began; without them
+    there is no time to detection. A later run into the same folder replaces its results.
+
     For wanted incidents the tables are first cut down to them, their children and their
     journal entries. The analysis is written once and read back for every format.
     """
@@ -36,16 +41,17 @@ def run_rca(
         pool = chosen.unionByName(others)
         entries = journal.join(ids.withColumnRenamed("sys_id", "element_id"), "element_id", "left_semi")
     path = f"{folder}/analysis"
-    analysis = rca.rca_analysis(pool, entries, problems)
-    if wanted is not None:
-        analysis = filters.lookup_incident(analysis, wanted)
-    analysis.write.mode("overwrite").parquet(path)
-    analysis = spark.read.parquet(path)
-    for format in formats:
-        rows = reports.generate_report(
-            format, pool, entries, problems, changes, analysis=analysis, as_of=as_of
-        )
+    with job_scratch(spark, "rca"):
+        analysis = rca.rca_analysis(pool, entries, problems, landed_events)
         if wanted is not None:
-            rows = filters.lookup_incident(rows, wanted)
-        files.sink_reports(rows, f"{folder}/reports", format)
+            analysis = filters.lookup_incident(analysis, wanted)
+        analysis.write.mode("overwrite").parquet(path)
+        analysis = spark.read.parquet(path)
+        for format in formats:
+            rows = reports.generate_report(
+                format, pool, entries, problems, changes, analysis=analysis, as_of=as_of
+            )
+            if wanted is not None:
+                rows = filters.lookup_incident(rows, wanted)
+            files.sink_reports(rows, f"{folder}/reports", format)
     return analysis

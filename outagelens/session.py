@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from .sources.scratch import SETTING, local_folder
+
 # Naive timestamps are compared as they are written, so the zone is fixed. Adaptive
 # execution joins small sides by broadcast after measuring them and splits skewed
 # join partitions.
@@ -29,6 +31,7 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
         .appName("outagelens")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.driver.memory", memory)
+        .config(SETTING, local_folder())
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

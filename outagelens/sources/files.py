@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .schemas import envelope
 
@@ -19,44 +19,32 @@ def scan_csv(
     path: str,
     schema: StructType,
     limit: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """CSV with a header line; ``limit`` keeps the first rows only, as a sample.
 
-    Texts may hold line breaks, so by default each file is read by one task. For exports
-    with one record per line pass ``multi_line=False``, and large files are split.
+    Large files are split at line ends. Exports whose texts hold line breaks need
+    ``multi_line=True``, and then one task reads a whole file. A row that does not fit the
+    header fails the read; with ``mode="PERMISSIVE"`` it is read as far as it goes.
     """
-    options = {**CSV_OPTIONS, "multiLine": multi_line, "enforceSchema": False}
+    options = {**CSV_OPTIONS, "multiLine": multi_line, "enforceSchema": False, "mode": mode}
     rows = spark.read.schema(schema).options(**options).csv(path)
     return rows if limit is None else rows.limit(limit)
 
 
-# Up to this many bytes per core a table may be moved to use all cores.
-SPREAD_BYTES = 32 * 1024 * 1024
-
-
-def scan_parquet(
-    spark: SparkSession, path: str, schema: StructType | None = None, spread_by: str | None = None
-) -> DataFrame:
-    """Parquet table, by default as its files are split.
-
-    ``spread_by`` is for CPU-bound work such as masking: a table too small to give every
-    core a split is first distributed over all cores by this column. Its size is checked,
-    so large tables, which have splits enough, are never moved.
-    """
+def scan_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Parquet table, as its files are split (``spark.sql.files.maxPartitionBytes``)."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    rows = reader.parquet(path)
-    if spread_by is None:
-        return rows
-    cores = spark.sparkContext.defaultParallelism
-    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
-    return rows.repartition(cores, spread_by) if size < cores * SPREAD_BYTES else rows
+    return reader.parquet(path)
 
 
-def scan_stage(spark: SparkSession, path: str, schema: StructType, limit: int | None = None) -> DataFrame:
+def scan_stage(
+    spark: SparkSession, path: str, schema: StructType, limit: int | None = None, multi_line: bool = False
+) -> DataFrame:
     """One stage of the pipeline, or an empty table with its schema if the path is missing."""
     try:
-        return scan_csv(spark, path, schema, limit)
+        return scan_csv(spark, path, schema, limit, multi_line)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -68,12 +56,23 @@ def scan_json_envelope(
 ) -> DataFrame:
     """Records of landed responses, one per line, or one per file with ``multi_line``.
 
-    A reference field may be an object or a text.
+    A reference field may be an object or a text. A page that can't be read, such as one cut
+    off or one spread over lines without ``multi_line``, fails the read: its records would
+    be missing without a trace. `unreadable_pages` counts such pages.
     """
-    landed = spark.read.schema(envelope(record)).json(path, multiLine=multi_line)
+    landed = spark.read.schema(envelope(record)).json(path, multiLine=multi_line, mode="FAILFAST")
     return landed.select(F.inline("result"))
 
 
+def unreadable_pages(spark: SparkSession, path: str, record: StructType, multi_line: bool = False) -> DataFrame:
+    """file, pages: how many pages of each file are no readable response; no row if all are."""
+    schema = StructType([*envelope(record).fields, StructField("_page", StringType())])
+    options = {"multiLine": multi_line, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_page"}
+    landed = spark.read.schema(schema).options(**options).json(path)
+    bad = landed.withColumn("file", F.input_file_name()).filter(F.col("_page").isNotNull() | F.col("result").isNull())
+    return bad.groupBy("file").agg(F.count("*").alias("pages"))
+
+
 def sink_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     rows.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
@@ -91,12 +90,18 @@ def sink_metrics(metrics: DataFrame, path: str) -> None:
 EXTENSIONS = {"json": ".json", "markdown": ".md", "text": ".txt"}
 
 
-def sink_reports(reports: DataFrame, path: str, format: str, mode: str = "append") -> None:
-    """Reports as rows of number, part, file name and text, one folder per format."""
+def sink_reports(reports: DataFrame, path: str, format: str, mode: str = "overwrite") -> None:
+    """Reports as rows of number, part, file name and text, one folder per format.
+
+    A later run replaces the reports of its format and leaves the others. Further parts of
+    a report have their number in the file name.
+    """
+    part = F.when(F.col("part") > 0, F.concat(F.lit("-"), F.col("part").cast("string"))).otherwise("")
     named = reports.withColumns(
         {
-            "file_name": F.concat("number", F.lit(EXTENSIONS[format.lower()])),
+            "file_name": F.concat("number", part, F.lit(EXTENSIONS[format.lower()])),
             "format": F.lit(format.lower()),
         }
     )
-    named.write.mode(mode).partitionBy("format").json(path)
+    writer = named.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("format").json(path)

@@ -17,8 +17,9 @@ from ..sources.schemas import envelope
 
 
 def landed_incidents(spark: SparkSession, path: str, record: StructType) -> DataFrame:
-    """Stream of the records of landed responses."""
-    return spark.readStream.schema(envelope(record)).json(path).select(F.inline("result"))
+    """Stream of the records of landed responses; an unreadable page stops it, as none may be lost."""
+    landed = spark.readStream.schema(envelope(record)).json(path, mode="FAILFAST")
+    return landed.select(F.inline("result"))
 
 
 def write_redacted(rows: DataFrame, path: str, checkpoint: str, salt: str) -> StreamingQuery:

@@ -1,11 +1,14 @@
 """Files, jobs and the stream of landed exports."""
 
 import json
+import pathlib
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from outagelens.operators import redact
+from outagelens.functions import times
+from outagelens.operators import enrich, filters, profile, redact, skew
 from outagelens.plans.batch import BatchPaths, run_batch
 from outagelens.plans.rca_job import run_rca
 from outagelens.sources import files, schemas, scratch
@@ -25,10 +28,10 @@ def export(spark):
 
 def test_csv_round_trip(spark, tmp_path):
     files.sink_csv(export(spark), str(tmp_path / "csv"))
-    back = files.scan_csv(spark, str(tmp_path / "csv"), schemas.LIVE_EXPORT)
+    back = files.scan_csv(spark, str(tmp_path / "csv"), schemas.LIVE_EXPORT, multi_line=True)
     expected = [tuple(value or None if isinstance(value, str) else value for value in row) for row in EXPORT]
     assert sorted(map(tuple, back.collect())) == sorted(expected)
-    assert files.scan_csv(spark, str(tmp_path / "csv"), schemas.LIVE_EXPORT, limit=1).count() == 1
+    assert files.scan_csv(spark, str(tmp_path / "csv"), schemas.LIVE_EXPORT, limit=1, multi_line=True).count() == 1
 
 
 def test_missing_stage_is_empty(spark, tmp_path):
@@ -64,18 +67,60 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows["INC2"].description == "ask [NAME_REDACTED]" and "caller_id" not in rows["INC2"].asDict()
 
 
-def test_spread_only_below_the_bound(spark, tmp_path):
-    spark.range(100).write.parquet(str(tmp_path / "t"))
-    plan = files.scan_parquet(spark, str(tmp_path / "t"), spread_by="id")
-    assert plan.count() == 100 and files.scan_parquet(spark, str(tmp_path / "t")).count() == 100
-
-
 def test_scratch_folder_follows_the_session(spark):
-    named = spark.conf.get(scratch.SETTING, None)
+    named = spark.conf.get(scratch.SETTING)
     first, second = scratch.scratch_folder(spark, "x"), scratch.scratch_folder(spark, "x")
-    assert first != second
-    if named:
-        assert first.startswith(f"{named.rstrip('/')}/x-")
+    assert first != second and first.startswith(f"{named}/x-")
+    with scratch.job_scratch(spark, "job") as folder:
+        assert scratch.stored(spark.range(3), "rows").count() == 3
+        assert len(list(pathlib.Path(folder).iterdir())) == 1
+    assert not pathlib.Path(folder).exists()
+
+
+def test_a_cluster_must_name_its_scratch_folder():
+    assert scratch.shared_by_one_process("local[4]") == scratch.local_folder()
+    for master in ("local-cluster[3,2,1024]", "yarn", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.shared_by_one_process(master)
+
+
+def test_unreadable_pages_are_no_silent_loss(spark, tmp_path):
+    landed = tmp_path / "pages"
+    landed.mkdir()
+    (landed / "line.json").write_text('{"result": [{"number": "INC3"}]}\n')
+    (landed / "pretty.json").write_text('{\n "result": [\n  {"number": "INC1"},\n  {"number": "INC2"}\n ]\n}\n')
+    (landed / "cut.json").write_text('{"result": [{"number": "INC4"')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        files.scan_json_envelope(spark, str(landed), schemas.INCIDENT).collect()
+    bad = files.unreadable_pages(spark, str(landed), schemas.INCIDENT).collect()
+    assert sorted(r.file.rsplit("/")[-1] for r in bad) == ["cut.json", "pretty.json"]
+    bad = files.unreadable_pages(spark, str(landed), schemas.INCIDENT, multi_line=True).collect()
+    assert [r.file.rsplit("/")[-1] for r in bad] == ["cut.json"]
+
+
+def test_zone_offsets_and_other_forms(spark):
+    rows = spark.createDataFrame(
+        [("2025-01-15T10:00:00+02:00", "2025-01-15T10:00:00Z"), ("15/07/2025 09:30", "junk"), (None, "")],
+        "openedDate string, resolvedDate string",
+    )
+    read = enrich.coerce_timestamps(rows, formats=["dd/MM/yyyy HH:mm"])
+    hours = [r[0] for r in read.select(times.hours_between("openedDate", "resolvedDate")).collect()]
+    assert hours == [2.0, None, None]
+    assert read.collect()[1].openedDate == datetime(2025, 7, 15, 9, 30)
+    unread = enrich.unread_timestamps(rows).first()
+    assert (unread.openedDate, unread.resolvedDate) == (1, 1)
+
+
+def test_rows_without_key_or_state_stay_defined(spark):
+    keyed = spark.createDataFrame([("", "a"), (None, "b"), ("k", "c")], "sys_id string, x string")
+    normal, hot = skew.split_hot(keyed, "sys_id", "x", piece_rows=1)
+    assert [r.x for r in normal.collect()] == ["c"] and hot is None
+    rows = spark.createDataFrame([("INC1", "Network", None), (None, "Network", "6")], "number string, assignment_group string, state string")
+    assert [r.number for r in filters.filter_open(rows).collect()] == ["INC1"]
+    estimates = enrich.enrich_incidents(rows).collect()
+    assert all(r.userImpactEstimate is not None for r in estimates)
+    empty = {r.metric: r.n for r in profile.analyze_incidents(enrich.enrich_incidents(rows).limit(0)).collect()}
+    assert empty["total_incidents"] == 0 and empty["median_resolution_hours"] is None
 
 
 def test_batch_run(spark, tmp_path):

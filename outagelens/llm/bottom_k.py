@@ -128,8 +128,8 @@ def merge_by(prints: DataFrame, by: str, k: int = K) -> DataFrame:
     A group's hashes are never gathered: only its k smallest leave each task.
     """
     hashes = F.transform(
-        F.sequence(F.lit(0), F.length("fingerprint") / DIGITS - 1),
-        lambda i: F.substring("fingerprint", (i * DIGITS + 1).cast("int"), F.lit(DIGITS)),
+        F.sequence(F.lit(0), (F.length("fingerprint") / DIGITS).cast("int") - 1),
+        lambda i: F.substring(F.col("fingerprint"), i * DIGITS + 1, F.lit(DIGITS)),
     )
     rows = prints.select(by, F.explode_outer(F.when(F.length("fingerprint") > 0, hashes)).alias("hash")).distinct()
     smallest = Window.partitionBy(by).orderBy("hash")

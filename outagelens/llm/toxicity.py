@@ -76,7 +76,7 @@ INSULT, WEAK, THREAT, TARGET, NEG, ART, REPORT, QUOTE, END, OTHER = range(10)
 #: Symbols that transducers put in the place of insults and threats.
 NEGATED, REPORTED = 10, 11
 _SYMBOLS = range(12)
-_TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[.!?;:\n\"“”„«»]")
+_TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[.!?;\n\"“”„«»]")
 
 
 # --- Transducers ------------------------------------------------------------------------
@@ -113,6 +113,7 @@ def reported_speech() -> Transducer:
     made = Transducer("plain")
     made.steps["plain", REPORT] = ("said", REPORT)
     made.steps["said", QUOTE] = ("quoted", QUOTE)
+    made.steps["said", END] = ("plain", END)
     made.steps["quoted", QUOTE] = ("plain", QUOTE)
     for symbol in (INSULT, WEAK, THREAT):
         made.steps["quoted", symbol] = ("quoted", REPORTED)
@@ -201,7 +202,7 @@ class Scorer:
         self.stems = lexicon.stems
         self.lengths = sorted({len(stem) for stem in lexicon.stems})
         self.written: dict[str, int] = {}
-        marks = dict.fromkeys(QUOTES, QUOTE) | dict.fromkeys(".!?;:\n", END)
+        marks = dict.fromkeys(QUOTES, QUOTE) | dict.fromkeys(".!?;\n", END)
         for words, symbol in (
             (ARTICLES, ART), (TARGETS, TARGET), (REPORTS, REPORT), (NEGATIONS, NEG), (THREATS, THREAT), (INSULTS, INSULT),
         ):

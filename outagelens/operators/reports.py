@@ -11,7 +11,7 @@ from ..functions import report_text as rt
 from ..functions.text import display_value, join_lines, text_or
 from ..functions.times import timestamp_text, to_timestamp
 from ..sources.scratch import stored
-from .bundle import incident_bundle
+from .bundle import RELATED, incident_bundle
 from .packing import ordered_list
 from .rca import rca_analysis
 from .related import top_related
@@ -201,8 +201,8 @@ def report_json(
 ) -> DataFrame:
     """number, part and one JSON document per row.
 
-    Part 0 is the report. Lists too long for one document are empty there and follow in
-    documents of higher part, see ``incident_bundle``.
+    Part 0 is the report. Lists too long for one document go on in documents of parts 1, 2,
+    ..., see ``incident_bundle``; each of these holds entries of some list.
     """
     if analysis is None:
         analysis = stored(rca_analysis(incidents, journal, problems, landed_events, piece_rows), "analysis")
@@ -218,7 +218,7 @@ def report_json(
             "priority_justification",
         ).alias("analysis"),
     )
-    bundle = incident_bundle(incidents, journal, problems, changes, piece_rows, results)
+    bundle = incident_bundle(incidents, journal, problems, changes, piece_rows, results, ("timeline", *RELATED))
     document = F.struct(
         F.struct(
             F.date_format(_clock(as_of), "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"),

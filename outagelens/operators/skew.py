@@ -8,12 +8,14 @@ keys are cut into ordered pieces first.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Most rows of one key that are gathered into one array.
+# Most rows, and bytes of text, of one key that are gathered into one array.
 PIECE_ROWS = 10_000
+PIECE_BYTES = 16 * 1024 * 1024
 # Most hot keys that are broadcast; more are joined over salted keys.
 BROADCAST_KEYS = 10_000
 SALTS = 64
@@ -26,8 +28,9 @@ def split_hot(
     piece_rows: int = PIECE_ROWS,
     broadcast_keys: int = BROADCAST_KEYS,
     salts: int = SALTS,
+    piece_bytes: int = PIECE_BYTES,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of normal keys, and rows of keys with more than ``piece_rows`` rows.
+    """Rows of normal keys, and rows of keys with more than ``piece_rows`` rows or ``piece_bytes``.
 
     The second part is None if there is no hot key, which is found by one count over the
     key column when the plan is built. At most ``broadcast_keys`` + 1 keys come back. Up
@@ -36,8 +39,8 @@ def split_hot(
     key is NULL or empty belong to nothing and are left out.
     """
     rows = rows.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    hot = counts.filter(F.col("_n") > piece_rows).select(key)
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n"), F.sum(text_bytes(rows)).alias("_bytes"))
+    hot = counts.filter((F.col("_n") > piece_rows) | (F.col("_bytes") > piece_bytes)).select(key)
     found = [row[0] for row in hot.limit(broadcast_keys + 1).collect()]
     if not found:
         return rows, None
@@ -54,15 +57,29 @@ def split_hot(
     )
 
 
+def text_bytes(rows: DataFrame) -> Column:
+    """Bytes of all texts of a row."""
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in rows.dtypes if kind == "string"]
+    return reduce(lambda a, b: a + b, texts, F.lit(0)).cast("bigint")
+
+
 def ordered_pieces(
-    rows: DataFrame, key: str, order: Sequence[str], piece_rows: int = PIECE_ROWS
+    rows: DataFrame,
+    key: str,
+    order: Sequence[str],
+    piece_rows: int = PIECE_ROWS,
+    piece_bytes: int = PIECE_BYTES,
 ) -> DataFrame:
-    """Number consecutive rows of a key in pieces of at most ``piece_rows`` rows.
+    """Number consecutive rows of a key in pieces of at most ``piece_rows`` rows and about ``piece_bytes``.
 
     Adds ``_range`` and ``_piece``; within a key, (``_range``, ``_piece``) rises with the
     order. The rows are range-partitioned on key and order, so a key spreads over as many
     tasks as its size asks for, and rows are only counted inside one range.
     """
     ranged = rows.repartitionByRange(key, *order).withColumn("_range", F.spark_partition_id())
-    position = F.row_number().over(Window.partitionBy(key, "_range").orderBy(*order))
-    return ranged.withColumn("_piece", F.floor((position - 1) / piece_rows))
+    inside = Window.partitionBy(key, "_range").orderBy(*order)
+    so_far = F.sum(text_bytes(rows)).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    by_rows = F.floor((F.row_number().over(inside) - 1) / piece_rows)
+    by_bytes = F.floor(so_far / piece_bytes)
+    # Both rise along the order; a new piece begins where either does.
+    return ranged.withColumn("_piece", by_rows + by_bytes)

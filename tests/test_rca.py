@@ -231,17 +231,24 @@ def test_bundle_in_pieces_holds_the_same_lists(make):
     problems, changes = make.records(("P1", "p", "s1,s2"), ("P2", "q", "s1")), make.records(("C1", "c", "s1"), ended="closed_at")
     names = ["timeline", "work_notes", "comments", "related_incidents", "related_problems", "related_changes"]
 
-    def lists(piece_rows):
-        whole = {}
-        for row in sorted(bundle.incident_bundle(incidents, journal, problems, changes, piece_rows).collect(), key=lambda r: r.part):
+    def lists(piece_rows, piece_bytes=1 << 24):
+        whole, places = {}, {}
+        found = bundle.incident_bundle(incidents, journal, problems, changes, piece_rows, piece_bytes=piece_bytes).collect()
+        for row in sorted(found, key=lambda r: r.part):
+            places.setdefault(row.number, []).append(row.part)
+            assert row.part == 0 or any(row[name] for name in names)
             for name in names:
                 assert len(row[name]) <= piece_rows
                 whole.setdefault((row.number, name), []).extend(row[name])
+        for row in found:
+            assert row.parts == len(places[row.number]) and (row.totals is None) == (row.part > 0)
+            assert row.part > 0 or all(row.totals[name] == len(whole[row.number, name]) for name in names)
+        assert all(parts == list(range(len(parts))) for parts in places.values())
         return whole
 
     plain = bundle.incident_bundle(incidents, journal, problems, changes).collect()
     assert len(plain) == 3 and all(r.part == 0 and r.incident.number == r.number for r in plain)
-    assert lists(10_000) == lists(4) == lists(1)
+    assert lists(10_000) == lists(4) == lists(1) == lists(10_000, 60)
     assert [n.note for n in lists(4)[("INC1", "work_notes")]] == [f"t{m}" for m in range(40) if m % 3]
 
 

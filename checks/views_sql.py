@@ -12,7 +12,7 @@ VIEWS = {
                     greatest(length((o_orderkey - o_orderkey % 10)::VARCHAR), 7)::INTEGER, '0')) END AS parent,
                CASE o_orderkey % 7 WHEN 0 THEN 'WiFi connectivity issue' WHEN 1 THEN 'VPN connection failing'
                     WHEN 2 THEN 'Network printer not responding' WHEN 3 THEN 'Slow performance on host'
-                    WHEN 4 THEN 'DNS resolution problems' WHEN 5 THEN 'Switch port failures' END AS short_description,
+                    WHEN 4 THEN 'DNS resolution problems' WHEN 5 THEN 'Badge reader offline at the gate' END AS short_description,
                'Reported by ' || c_name || ' near Room ' || (o_orderkey % 90)::VARCHAR
                     || ', affecting ' || (o_orderkey % 300)::VARCHAR || ' users' AS description,
                CASE o_orderpriority WHEN '1-URGENT' THEN '1 - Critical' WHEN '2-HIGH' THEN '2 - High'

@@ -15,10 +15,10 @@ from outagelens.sources import files, schemas, scratch
 from outagelens.streaming import landing
 
 EXPORT = [
-    ("INC1", 1, "00269 - Izmir - Turkey / ESBAS 2", "Global Network", "2025-07-16 03:33:52", "3 - Moderate", "Wireless", "Berg, Ann",
-     "AP Down", "Mail ann@x.de or 555-123-4567", "2025-07-16 - seen", "In Progress", "ann@x.de", "", "Network", "WAP008", "Phone"),
-    ("INC2", 0, "00456 - Berlin - Germany / DC 1", "EMEA Network", "2025-07-15 14:22:18", "1 - Critical", "Router", None,
-     "Remote \"site\", lost", "line one\nline two", None, "Resolved", "bo@x.de", "2025-07-16 18:22:18", "Net", "RTR001", "Email"),
+    ("INC1", 1, "70012 - Bursa - Turkey / Depot 7", "Global Network", "2025-03-04 05:06:07", "3 - Moderate", "Wireless", "Berg, Ann",
+     "Radio cell silent", "Mail ann@x.de or 555-123-4567", "2025-03-04 - seen", "In Progress", "ann@x.de", "", "Network", "RADIO-17", "Phone"),
+    ("INC2", 0, "70034 - Bremen - Germany / Hall 3", "EMEA Network", "2025-03-02 11:12:13", "1 - Critical", "Router", None,
+     "Remote \"site\", lost", "line one\nline two", None, "Resolved", "bo@x.de", "2025-03-03 15:12:13", "Net", "EDGE-4", "Email"),
 ]
 
 

@@ -22,10 +22,10 @@ JOURNAL_SCHEMA = (
 RECORD_SCHEMA = "number string, short_description string, priority string, state string, opened_at string, {} string, incidents string"
 
 DEFAULTS = {
-    "sys_id": "s1", "number": "INC1", "short_description": "Test Incident", "description": "Test incident description",
+    "sys_id": "s1", "number": "INC1", "short_description": "Scanners offline", "description": "Scanners in the hall stay offline",
     "priority": "2 - High", "impact": "2 - High", "urgency": "1 - Critical", "state": "6 - Resolved",
-    "category": "Network", "assignment_group": '{"display_value":"Network Team"}', "assigned_to": "Admin",
-    "caller_id": "Caller", "cmdb_ci": '{"display_value":"Core Router"}', "opened_at": "2025-01-15 10:00:00",
+    "category": "Network", "assignment_group": '{"display_value":"Hall Support"}', "assigned_to": "Ola",
+    "caller_id": "Kim", "cmdb_ci": '{"display_value":"Scanner Hub"}', "opened_at": "2025-01-15 10:00:00",
     "resolved_at": "2025-01-15 14:30:00", "closed_at": None, "resolution_notes": None, "close_notes": None,
     "reassignment_count": "1", "parent": None,
 }
@@ -120,7 +120,7 @@ def test_root_cause_order(make):
         "N": "Software: Software bug",
         "S": "the root cause.",
         "P": "Related Problem: first",
-        "E": "Based on incident description: Test incident description",
+        "E": "Based on incident description: Scanners in the hall stay offline",
         "D": "Based on incident description: Hardware failure on router",
         "X": "Root cause not clearly identified from available data. Manual review recommended.",
     }
@@ -285,8 +285,8 @@ def test_markdown_report(make):
     titles = [line[3:] for line in first if line.startswith("## ")]
     assert titles == ["Executive Summary", "Incident Details", "Root Cause Analysis", "Impact Assessment", "Duration Analysis",
                       "Priority Classification", "Timeline of Events", "Related Records", "Recommendations"]
-    for line in ("- **Assignment Group:** Network Team", "- **Resolved:** 2025-01-19 10:00:00", "Configuration: Configuration error fixed",
-                 "- **Time to Resolution:** 96.0 hours", "- INC2: Test Incident", "- P1: p", "- C1: " + "x" * 60,
+    for line in ("- **Assignment Group:** Hall Support", "- **Resolved:** 2025-01-19 10:00:00", "Configuration: Configuration error fixed",
+                 "- **Time to Resolution:** 96.0 hours", "- INC2: Scanners offline", "- P1: p", "- C1: " + "x" * 60,
                  "| 2025-01-15 11:00:00 | Journal Entry | work_notes | Looking | into it |"):
         assert line in first, line
     assert any(line.startswith("**Change Control:**") for line in first)
@@ -329,7 +329,7 @@ def test_unknown_format(make):
 def test_summary_and_advice(make):
     incidents, journal, problems, _ = tables(make)
     row = reports.summary_of(rca.rca_analysis(incidents, journal, problems), incidents).filter("number = 'INC1'").first()
-    assert row.summary.startswith("Incident INC1 (Test Incident) occurred with priority 2 - High. The incident was resolved in 96.0 hours. ")
+    assert row.summary.startswith("Incident INC1 (Scanners offline) occurred with priority 2 - High. The incident was resolved in 96.0 hours. ")
     assert "root cause" in row.summary.lower() and len(row.summary) > 100
     assert "Configuration" in row.recommendations and "Change Control" in row.recommendations
 

@@ -62,9 +62,9 @@ def test_hash(values):
 
 
 def test_locations(values):
-    rows = ["00269 - Izmir - Turkey / ESBAS 2 (PT Phase 1)", "Building-A-Floor-2", None]
+    rows = ["70012 - Bursa - Turkey / Depot 7 (Wing B)", "Building-A-Floor-2", None]
     assert values(redaction.location_country("l"), "l string", rows) == ["Turkey", "Building-A-Floor-2", None]
-    assert values(redaction.location_prefix("l"), "l string", rows) == ["00269 ", "Building", None]
+    assert values(redaction.location_prefix("l"), "l string", rows) == ["70012 ", "Building", None]
 
 
 def frame(spark):

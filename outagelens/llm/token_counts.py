@@ -87,14 +87,23 @@ class ByteBpe:
 _COUNTERS: dict[str, Callable[[str], int]] = {}
 
 
+def counter_of(tokenizer: ByteBpe, digest: str) -> Callable[[str], int]:
+    """This process's counter, made once.
+
+    A column function must reach it through this module: what it names itself is copied into
+    each task.
+    """
+    if digest not in _COUNTERS:
+        _COUNTERS[digest] = tokenizer.counter()
+    return _COUNTERS[digest]
+
+
 def _count_udf(tokenizer: ByteBpe) -> Callable[[Column], Column]:
     key = tokenizer.digest()
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if key not in _COUNTERS:  # once in each Python worker
-            _COUNTERS[key] = tokenizer.counter()
-        counter = _COUNTERS[key]
+        counter = counter_of(tokenizer, key)
         for texts in batches:
             yield pd.Series([counter(text) for text in texts], dtype="int64")
 

@@ -730,9 +730,9 @@ def timeline_top5(spark, sf_dir):
            SELECT 'CUS' || c_custkey AS number, md5('CUS' || c_custkey) AS sys_id FROM customer),
        entries AS (
            SELECT md5('CUS' || o_custkey) AS sys_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS entry_id,
-                  o_orderdate + to_hours(l_linenumber) AS ts, s_name AS actor, 'Work Note Added' AS event_type,
+                  o_orderdate + to_hours(l_linenumber) AS ts, 'work_notes' AS actor, 'Journal Entry' AS event_type,
                   CASE l_partkey % 2 WHEN 0 THEN 'Checked the logs.' ELSE 'Waiting for the vendor.' END AS description
-           FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN supplier ON s_suppkey = l_suppkey),
+           FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
        ranked AS (
            SELECT *, row_number() OVER (PARTITION BY sys_id ORDER BY ts, entry_id) AS position,
                   count(*) OVER (PARTITION BY sys_id) AS total
@@ -889,23 +889,38 @@ def resolution_efficiency(spark, sf_dir):
     return rows.select("number", cause.resolution_efficiency(rca.duration_hours(rows)).alias("efficiency"))
 
 
-@check(
-    "time_to_detection",
-    """SELECT i.number, i.sys_id, CASE WHEN hours IS NOT NULL THEN detection END AS detection_hours
+DETECTION_SQL = """SELECT i.number, i.sys_id, CASE WHEN hours IS NOT NULL THEN detection END AS detection_hours
        FROM enriched i LEFT JOIN (
            SELECT element_id AS sys_id, CASE WHEN count(*) > 1 THEN
                   (epoch_us(min(sys_created_on) FILTER (regexp_matches(element, 'assignment|work')))
                    - epoch_us(min(sys_created_on)))::DOUBLE / 1000000 / 3600 END AS detection
-           FROM journal GROUP BY element_id) d ON d.sys_id = i.sys_id""",
-)
-def time_to_detection(spark, sf_dir):
-    rows = views.incidents(spark, sf_dir, "number", "sys_id", "opened_at", "resolved_at")
-    landed = views.journal(spark, sf_dir).select(
+           FROM journal GROUP BY element_id) d ON d.sys_id = i.sys_id"""
+
+
+def _landed_events(spark, sf_dir):
+    return views.journal(spark, sf_dir).select(
         F.col("element_id").alias("sys_id"),
         F.col("sys_created_on").alias("timestamp"),
         F.col("element").alias("event_type"),
     )
-    return rca.time_to_detection(rows, landed)
+
+
+@check("time_to_detection", DETECTION_SQL)
+def time_to_detection(spark, sf_dir):
+    rows = views.incidents(spark, sf_dir, "number", "sys_id", "opened_at", "resolved_at")
+    return rca.time_to_detection(rows, _landed_events(spark, sf_dir))
+
+
+@check("rca_analysis_detection", DETECTION_SQL)
+def rca_analysis_detection(spark, sf_dir):
+    """The time to detection as the whole analysis has it when landed events are given."""
+    found = rca.rca_analysis(
+        views.incidents(spark, sf_dir),
+        views.journal(spark, sf_dir),
+        views.problems(spark, sf_dir),
+        _landed_events(spark, sf_dir),
+    )
+    return found.select("number", "sys_id", "duration_analysis.detection_hours")
 
 
 @check("priority_justification", "SELECT number, justification FROM justifications")

@@ -1184,7 +1184,7 @@ def sink_csv(spark, sf_dir):
     rows = views.incidents(spark, sf_dir, "number", "short_description", "description", "state")
     masked = redact.redact_frame(rows.select("number", "short_description", noted), SALT, text=("text",), ids=())
     files.sink_csv(masked, path)
-    return files.scan_csv(spark, path, masked.schema)
+    return files.scan_csv(spark, path, masked.schema, multi_line=True)
 
 
 @check(

@@ -16,11 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import kept, whole_text
+from .common import whole_text
 
 K = 128
 SHINGLE = 5
@@ -169,68 +168,62 @@ class _Doc:
         )
 
 
+#: Ranges of the order for each shuffle partition.
+RANGES_EACH = 4
+_LOWEST = -(1 << 63)
+
+
+def _range_heads(ids: DataFrame, ranges: int) -> list[int]:
+    """The largest id of each range of the descending order, largest first; at most ``ranges``."""
+    dealt = ids.repartitionByRange(ranges, F.col("id").desc()).groupBy(F.spark_partition_id().alias("range"))
+    return sorted((row["head"] for row in dealt.agg(F.max("id").alias("head")).collect()), reverse=True)
+
+
 def compare_with_next(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per document its fingerprint, that of its edited text, and two likenesses.
 
     Documents follow each other by descending key (nulls last, ties by text), after the last
-    comes the first; a single document follows itself. The order is dealt over range
-    partitions, so a task meets nearly every document next to the one that follows. Only each
-    partition's last document waits for the first of the next partition; these few are joined
-    afterwards. Null texts count as empty. Repeated rows keep a row each; other columns are
-    ignored; an empty table gives no rows.
+    comes the first; a single document follows itself. The order is cut into ranges of ids, and
+    a range gets, behind its last document, a copy of the first document of the next range. So
+    each text moves once, and a task reads a range in order, two documents at a time. Null texts
+    count as empty. Repeated rows keep a row each; other columns are ignored; an empty table
+    gives no rows.
     """
     spark = docs.sparkSession
-    rows = docs.select(docs[key].cast("long").alias("id"), whole_text(docs["text"]).alias("text"))
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("id").desc_nulls_last(), F.col("text")]
-    dealt = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    dealt = dealt.select(F.col("id").cast("string").alias("id"), "text")  # pandas has no long with nulls
-    schema = f"part int, place string, text string, id string, {_RESULT}"
-    found = kept(dealt.mapInPandas(_neighbours, schema), "neighbours")
-
-    names = [x.split()[0] for x in _RESULT.split(", ")]
-    done = found.filter("place = 'done'").select("id", *names)
-    heads = found.filter("place = 'head'").select("part", F.col("text").alias("next_text"))
-    tails = found.filter("place = 'tail'").select("part", "id", "text")
-    along = Window.orderBy("part")  # a row for each partition that has documents, without texts
-    following = heads.select(
-        "part",
-        F.coalesce(
-            F.lead("part").over(along),
-            F.first("part").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        ).alias("next_part"),
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(docs[key].cast("long").alias("name"), whole_text(docs["text"]).alias("text"))
+    rows = rows.withColumn("id", F.coalesce("name", F.lit(_LOWEST)))
+    heads = _range_heads(rows.select("id"), partitions * RANGES_EACH)
+    rising = np.array(heads[::-1], dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def range_of(ids: pd.Series) -> pd.Series:
+        # Heads rise here; an id belongs to the smallest head that is not below it.
+        return pd.Series(len(rising) - 1 - np.searchsorted(rising, ids.to_numpy(), side="left"), dtype="int32")
+
+    before = [(head, (i - 1) % len(heads)) for i, head in enumerate(heads)]
+    followers = F.broadcast(spark.createDataFrame(before, "id long, range int"))  # a row for each range
+    firsts = rows.join(followers, "id").groupBy("range", "id").agg(F.min("text").alias("text"))
+    place = F.lit(0).alias("place")
+    ordered = rows.select(range_of("id").alias("range"), place, "id", "name", "text").unionByName(
+        firsts.select("range", F.lit(1).alias("place"), "id", F.lit(None).cast("long").alias("name"), "text")
     )
-    waiting = tails.join(following, "part").join(heads.withColumnRenamed("part", "next_part"), "next_part")
-
-    @F.pandas_udf(_RESULT)
-    def close(texts: pd.Series, following_texts: pd.Series) -> pd.DataFrame:
-        rows = [_Doc(a).against(_Doc(b)) for a, b in zip(texts, following_texts, strict=True)]
-        return pd.DataFrame(rows, columns=names)
-
-    closed = waiting.select("id", close("text", "next_text").alias("_made")).select("id", "_made.*")
-    return done.unionByName(closed).select(F.col("id").cast("long").alias(key), *names)
+    ordered = ordered.repartition(partitions, "range").sortWithinPartitions("range", "place", F.desc("id"), "text")
+    ordered = ordered.select("range", "place", F.col("name").cast("string").alias("name"), "text")  # pandas has no long with nulls
+    found = ordered.mapInPandas(_neighbours, f"name string, {_RESULT}")
+    names = [x.split()[0] for x in _RESULT.split(", ")]
+    return found.select(F.col("name").cast("long").alias(key), *names)
 
 
 def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    part = TaskContext.get().partitionId()
-    columns = ["part", "place", "text", "id", *(x.split()[0] for x in _RESULT.split(", "))]
-    none = (None,) * 6
-    waiting: tuple | None = None
+    columns = ["name", *(x.split()[0] for x in _RESULT.split(", "))]
+    waiting: tuple[str | None, _Doc] | None = None
     for batch in batches:
         rows = []
-        for number, text in zip(batch["id"], batch["text"], strict=True):
+        for follower, name, text in zip(batch["place"], batch["name"], batch["text"], strict=True):
             doc = _Doc(text)
-            if waiting is None:
-                rows.append((part, "head", text, number, *none))
-            else:
-                rows.append((part, "done", None, waiting[0], *waiting[1].against(doc)))
-            waiting = (number, doc)
+            if waiting is not None:
+                rows.append((waiting[0], *waiting[1].against(doc)))
+            waiting = None if follower else (name, doc)  # a follower ends its range
         if rows:
-            yield _frame(rows, columns)
-    if waiting is not None:
-        yield _frame([(part, "tail", waiting[1].text, waiting[0], *none)], columns)
-
-
-def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=columns)
-    return frame.astype({"n_chars": "Int64", "near_edited": "Float64", "near_next": "Float64"})
+            yield pd.DataFrame(rows, columns=columns)

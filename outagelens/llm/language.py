@@ -239,17 +239,27 @@ def _agreeing(pieces: dict[str, list[str]]) -> dict[str, list[str]]:
 _PARSERS: dict[str, CrossParser] = {}
 
 
+def parser_of(model: LanguageModel, digest: str) -> CrossParser:
+    """This process's parser, made once; of other models none is kept.
+
+    A column function must reach it through this module: what it names itself is copied into
+    each task.
+    """
+    if digest not in _PARSERS:
+        _PARSERS.clear()
+        _PARSERS[digest] = CrossParser(model)
+    return _PARSERS[digest]
+
+
 def predict_column(model: LanguageModel):
     """Text to (lang_pred, score)."""
     digest = model.digest()
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if digest not in _PARSERS:
-            _PARSERS.clear()
-            _PARSERS[digest] = CrossParser(model)
+        parser = parser_of(model, digest)
         for texts in batches:
-            yield pd.DataFrame(_PARSERS[digest].predict(texts.tolist()), columns=["lang_pred", "score"])
+            yield pd.DataFrame(parser.predict(texts.tolist()), columns=["lang_pred", "score"])
 
     return predict
 

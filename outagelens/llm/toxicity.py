@@ -237,14 +237,23 @@ class Scorer:
 _SCORERS: list[tuple[ToxicLexicon, Scorer]] = []
 
 
+def scorer_of(lexicon: ToxicLexicon) -> Scorer:
+    """This process's scorer, made once; of other lexicons none is kept.
+
+    A column function must reach it through this module: what it names itself is copied into
+    each task.
+    """
+    if not _SCORERS or _SCORERS[0][0] != lexicon:
+        _SCORERS[:] = [(lexicon, Scorer(lexicon))]
+    return _SCORERS[0][1]
+
+
 def score_column(lexicon: ToxicLexicon) -> Callable[[Column], Column]:
     """Text to score (0 to 1)."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if not _SCORERS or _SCORERS[0][0] != lexicon:
-            _SCORERS[:] = [(lexicon, Scorer(lexicon))]
-        scorer = _SCORERS[0][1]
+        scorer = scorer_of(lexicon)
         for texts in batches:
             yield pd.Series([scorer.score(text) for text in texts], dtype="float64")
 

@@ -203,6 +203,54 @@ def test_one_of_each_group_stays(documents, no_documents):
     assert golay_dedup.drop_near_duplicates(no_documents).count() == 0
 
 
+def plain_likeness(a, b):
+    """Jaccard of the sets of five words in a row."""
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)} for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def plain_stay(rows, likeness=0.8):
+    """Smallest ids of the components of all pairs at least so alike."""
+    root = {i: i for i, _ in rows}
+    for i, a in rows:
+        for j, b in rows:
+            if j < i and plain_likeness(a, b) >= likeness:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = {k: new if r == old else r for k, r in root.items()}
+    return {i for i, r in root.items() if r == i}
+
+
+def like_texts(alike, texts=12, words=400, seed=21):
+    """Rows (id, text): pairs of random texts of about the given likeness; changed words stand apart."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(texts):
+        a = [f"w{rng.randrange(9999)}" for _ in range(words)]
+        b = list(a)
+        changed = round((1 - alike) / (1 + alike) * words / 5)  # each takes five shingles away
+        for place in range(changed):
+            b[place * (words // changed) + 7] = f"x{rng.randrange(9999)}"
+        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    return rows
+
+
+@pytest.mark.parametrize(("alike", "lost"), [(0.7, 0), (0.83, 10), (0.9, 12)])
+def test_near_copies_are_judged_by_shingles(ready, alike, lost):
+    rows = like_texts(alike)
+    assert all(abs(plain_likeness(rows[i][1], rows[i + 1][1]) - alike) < 0.03 for i in range(0, len(rows), 2))
+    stay = {r.doc_id for r in golay_dedup.drop_near_duplicates(ready.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert stay >= plain_stay(rows)  # nothing goes that is no near copy
+    assert len(rows) - len(stay) >= lost
+
+
+def test_large_keys_are_searched_like_small_ones(ready, monkeypatch):
+    rows = [(i + 100 * k, t) for k, seed in enumerate((3, 4)) for i, t in like_texts(0.9, texts=3, seed=seed)]
+    rows += [(1000 + i, rows[0][1].rsplit(" ", i)[0]) for i in range(1, 12)]
+    docs = ready.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(golay_dedup, "PAIRED", 3)
+    assert {r.doc_id for r in golay_dedup.drop_near_duplicates(docs).collect()} == plain_stay(rows)
+
+
 def test_components_of_long_chains(ready):
     links = [(i + 1, i) for i in range(40)] + [(100, 200), (200, 100), (300, 300)]
     found = dict(rows_of(components.components(ready.createDataFrame(links, "a long, b long")), "node", "root"))

@@ -22,10 +22,12 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -330,6 +332,23 @@ def _copy_sign(texts: pd.Series) -> pd.Series:
     return pd.Series([int(x.min() >> np.uint64(1)) if len(x) else 0 for x in hashes], dtype="int64")
 
 
+def _smallest(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """Of rows (id, toxic, h), for each label so many of smallest (h, id).
+
+    Sizes by the upper bits of h tell which part holds them, so that no task sorts a label's other rows.
+    """
+    rows = kept(rows, "label-rows")
+    part = F.shiftright("h", 52)  # 4,096 values
+    sizes = rows.groupBy("toxic", part.alias("part")).count().orderBy("toxic", "part").collect()
+    few = []
+    for label, count in counts.items():
+        parts = [(row["part"], row["count"]) for row in sizes if row["toxic"] == label]
+        held = list(accumulate(n for _, n in parts))
+        upper = next((p for (p, _), n in zip(parts, held, strict=True) if n >= count), 2047)
+        few.append(rows.filter((F.col("toxic") == label) & (part <= upper)).orderBy("h", "id").limit(count))
+    return reduce(DataFrame.unionByName, few)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", toxic_rows: int = SAMPLE_TOXIC, clean_rows: int = SAMPLE_CLEAN
 ) -> ToxicLexicon:
@@ -344,9 +363,7 @@ def fit(
     rows = labels.select(F.col(key).alias("id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     rows = rows.groupBy("id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
     rows = rows.filter("toxic = most").select("id", "toxic", F.xxhash64("id").alias("h"))
-    place = F.row_number().over(Window.partitionBy("toxic").orderBy("h", "id"))
-    bound = F.when(F.col("toxic") == 1, toxic_rows).otherwise(clean_rows)
-    few = rows.filter("toxic in (0, 1)").withColumn("place", place).filter(F.col("place") <= bound)
+    few = _smallest(rows, {1: toxic_rows, 0: clean_rows})
     texts = docs.select(F.col(key).alias("id"), "text").dropna()
     sample = texts.join(F.broadcast(few.select("id", "toxic")), "id")  # bounded by the sample
     sample = kept(sample.withColumn("sign", _copy_sign("text")).groupBy("sign", "toxic").agg(F.min("text").alias("text")), "labelled")

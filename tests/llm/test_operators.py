@@ -481,6 +481,15 @@ def test_stems_are_learned_not_words_of_copies(ready):
     assert toxicity.fit(docs.limit(0), labels).stems == {} and toxicity.fit(docs, labels.limit(0)).stems == {}
 
 
+def test_label_sample_holds_the_smallest_without_a_window(ready):
+    ids = ready.range(5000).select("id", (F.col("id") % 7 == 0).cast("int").alias("toxic"), F.xxhash64("id").alias("h"))
+    few = toxicity._smallest(ids, {1: 100, 0: 900})
+    rows = sorted((r.toxic, r.h, r.id) for r in ids.collect())
+    expected = [x for x in rows if x[0] == 0][:900] + [x for x in rows if x[0] == 1][:100]
+    assert sorted((r.toxic, r.h, r.id) for r in few.collect()) == expected
+    assert "Window" not in few._jdf.queryExecution().toString()
+
+
 def test_toxicity_of_odd_documents(documents, no_documents):
     lexicon = toxicity.ToxicLexicon({"quic": 0.99})
     found = toxicity.score_documents(documents, lexicon).collect()

@@ -33,6 +33,8 @@ SAMPLE_ROWS = 128
 SAMPLE_CHARS = 32_768
 #: Characters of all languages together; with many languages each has a smaller share.
 ALL_CHARS = 262_144
+#: Pieces that a language needs for its halves to judge each other.
+LEAST_PIECES = 8
 
 _SPACE, _OTHER = 0, 1  # codes of what is no letter, and of letters the sample does not have
 
@@ -223,17 +225,17 @@ def _joined(pieces: dict[str, list[str]]) -> LanguageModel:
 def _agreeing(pieces: dict[str, list[str]]) -> dict[str, list[str]]:
     """The pieces that the other half's automata read as their own language.
 
-    A language keeps all its pieces if it has too few to halve, or if none would be left.
+    A language of fewer than `LEAST_PIECES` pieces is not halved: it keeps all of them, and both
+    halves are read by them too. One of which none would be left keeps all.
     """
-    if min(map(len, pieces.values()), default=0) < 8:
-        return pieces
-    kept_pieces: dict[str, list[str]] = {name: [] for name in pieces}
-    for half in (0, 1):
-        parser = CrossParser(_joined({name: some[half::2] for name, some in pieces.items()}))
-        for name, some in pieces.items():
+    halved = {name: some for name, some in pieces.items() if len(some) >= LEAST_PIECES}
+    kept_pieces: dict[str, list[str]] = {name: [] for name in halved}
+    for half in (0, 1) if halved else ():
+        parser = CrossParser(_joined({name: some[half::2] if name in halved else some for name, some in pieces.items()}))
+        for name, some in halved.items():
             read = parser.predict(some[1 - half :: 2])
             kept_pieces[name] += [text for text, (language, _) in zip(some[1 - half :: 2], read, strict=True) if language == name]
-    return {name: some or pieces[name] for name, some in kept_pieces.items()}
+    return {name: kept_pieces.get(name) or some for name, some in pieces.items()}
 
 
 _PARSERS: dict[str, CrossParser] = {}

@@ -407,6 +407,16 @@ def test_languages_of_held_out_documents(ready):
     assert sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found)
 
 
+def test_a_rare_language_leaves_the_others_cleaned():
+    rng = random.Random(11)
+    words = {name: ["".join(rng.choice(letters) for _ in range(5)) for _ in range(30)] for name, letters in (("x", "abcde"), ("y", "fghij"), ("z", "klmno"))}
+    text = lambda name: " ".join(rng.choice(words[name]) for _ in range(40))
+    wrong, rare = [text("y") for _ in range(3)], [text("z")]
+    pieces = {"x": [text("x") for _ in range(17)] + wrong, "y": [text("y") for _ in range(20)], "z": rare}
+    found = language._agreeing(pieces)
+    assert sorted(found["x"]) == sorted(pieces["x"][:17]) and len(found["y"]) == 20 and found["z"] == rare
+
+
 def test_language_of_odd_documents(ready, documents, no_documents):
     model = language.LanguageModel({"en": "the quick brown fox", "fr": "éa ñ éñ ña éé ñ éañ"})
     found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(documents, model).collect()}

@@ -131,21 +131,40 @@ class CrossParser:
             state[:n] = found >> 1
         return count
 
-    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
-        """For each text the language and a score from 0 to 1: how far the second one falls behind."""
+    def entropies(self, texts: list[str]) -> list[list[float]]:
+        """For each text the estimate of each language; none where nothing can be said."""
         coded = [self.encode(text) for text in texts]
         results = []
         for codes, counts in zip(coded, self.phrases(coded), strict=True):
             if not self.languages or not (codes != _SPACE).any():
-                results.append((UNDETERMINED, 0.0))
+                results.append([])
                 continue
-            entropy = [c * w / len(codes) for c, w in zip(counts.tolist(), self.weights, strict=True)]
-            ranked = sorted(range(len(entropy)), key=lambda i: (entropy[i], i))
-            best = entropy[ranked[0]]
-            score = 1.0 if len(ranked) == 1 else 1.0 - best / max(entropy[ranked[1]], 1e-12)
-            results.append((self.languages[ranked[0]], min(1.0, max(0.0, score))))
+            results.append([c * w / len(codes) for c, w in zip(counts.tolist(), self.weights, strict=True)])
         return results
 
+    def _best(self, entropy: list[float]) -> tuple[str, float]:
+        if not entropy:
+            return UNDETERMINED, 0.0
+        ranked = sorted(range(len(entropy)), key=lambda i: (entropy[i], i))
+        score = 1.0 if len(ranked) == 1 else _behind(entropy[ranked[0]], entropy[ranked[1]])
+        return self.languages[ranked[0]], score
+
+    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        """For each text the language and a score from 0 to 1: how far the second one falls behind."""
+        return [self._best(entropy) for entropy in self.entropies(texts)]
+
+    def judge(self, texts: list[str], claims: list[str | None]) -> list[tuple[str, float]]:
+        """For each text the language, and from 0 to 1 how far the claimed one falls behind; 0 if it is not learned."""
+        place = {name: i for i, name in enumerate(self.languages)}
+        return [
+            (self._best(entropy)[0], _behind(min(entropy), entropy[place[claim]]) if entropy and claim in place else 0.0)
+            for entropy, claim in zip(self.entropies(texts), claims, strict=True)
+        ]
+
+
+def _behind(best: float, other: float) -> float:
+    return min(1.0, max(0.0, 1.0 - best / max(other, 1e-12)))
+
 
 def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     """For each state its transitions; state 0 is the root. Every path from it spells a substring."""
@@ -266,6 +285,19 @@ def predict_column(model: LanguageModel):
     return predict
 
 
+def judge_column(model: LanguageModel):
+    """Text and claimed language to (lang_pred, behind)."""
+    digest = model.digest()
+
+    @F.pandas_udf("lang_pred string, behind double")
+    def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        parser = parser_of(model, digest)
+        for texts, claims in batches:
+            yield pd.DataFrame(parser.judge(texts.tolist(), claims.tolist()), columns=["lang_pred", "behind"])
+
+    return judge
+
+
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id") -> DataFrame:
     """key, held_out, lang_pred, score of every whole text.
 
@@ -281,14 +313,15 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id") -> Data
 def drop_rejected(docs: DataFrame, model: LanguageModel, contradiction: float = 0.35) -> DataFrame:
     """The rows, with all their columns, whose language is found and not plainly another one.
 
-    A row goes if its language is undetermined, or if it names a learned language and another
-    one is predicted with at least the given score. Rows with a null ``lang`` are judged by the
-    first rule only.
+    A row goes if its language is undetermined, or if it names a learned language and this one
+    falls behind the predicted one by at least the given score, whatever lies between. Rows with
+    a null ``lang`` are judged by the first rule only.
     """
     found = free_name(docs, "found")
-    marked = docs.withColumn(found, predict_column(model)(whole_text(docs["text"])))
-    predicted, score = F.col(f"{found}.lang_pred"), F.col(f"{found}.score")
-    named = docs["lang"].isin(sorted(model.texts)) if model.texts else F.lit(False)
-    wrong = F.coalesce(named & (docs["lang"] != predicted) & (score >= contradiction), F.lit(False))
+    claim = docs["lang"].cast("string")
+    marked = docs.withColumn(found, judge_column(model)(whole_text(docs["text"]), claim))
+    predicted, behind = F.col(f"{found}.lang_pred"), F.col(f"{found}.behind")
+    named = claim.isin(sorted(model.texts)) if model.texts else F.lit(False)
+    wrong = F.coalesce(named & (claim != predicted) & (behind >= contradiction), F.lit(False))
     stay = marked.filter((predicted != UNDETERMINED) & ~wrong)
     return stay.select(*(marked[name] for name in docs.columns))

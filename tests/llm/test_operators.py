@@ -417,6 +417,16 @@ def test_a_rare_language_leaves_the_others_cleaned():
     assert sorted(found["x"]) == sorted(pieces["x"][:17]) and len(found["y"]) == 20 and found["z"] == rare
 
 
+def test_claims_are_held_against_the_best_not_the_second(ready):
+    near = "la casa de la plaza tiene una puerta grande y las ventanas son de madera "
+    model = language.LanguageModel({"es": near * 3, "pt": near.replace("una", "uma") * 3, "de": "wir gehen heute durch kurzes dickicht zum fluss " * 5})
+    text = "ventanas grande puerta plaza madera casa tiene una las son puerta madera"
+    rows = [(1, text, "de"), (2, text, "es"), (3, text, "pt"), (4, text, None), (5, text, "xx")]
+    docs = ready.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.CrossParser(model).predict([text])[0][1] < 0.35
+    assert {r.doc_id for r in language.drop_rejected(docs, model).collect()} == {2, 3, 4, 5}
+
+
 def test_language_of_odd_documents(ready, documents, no_documents):
     model = language.LanguageModel({"en": "the quick brown fox", "fr": "éa ñ éñ ña éé ñ éañ"})
     found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(documents, model).collect()}

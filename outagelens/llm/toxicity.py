@@ -74,10 +74,16 @@ WEIGHTS = {"aimed": 0.97, "asserted": 0.9, "weak": 0.45, "negated": 0.12, "repor
 #: Score of a text without any match.
 BASE = 0.02
 
+#: By an opening quotation mark, the marks that close it.
+CLOSING = {'"': '"', "“": '”"', "”": "”", "„": '“”"', "«": "»", "»": "«»"}
+
 INSULT, WEAK, THREAT, TARGET, NEG, ART, REPORT, QUOTE, END, OTHER = range(10)
 #: Symbols that transducers put in the place of insults and threats.
 NEGATED, REPORTED = 10, 11
-_SYMBOLS = range(12)
+#: The end of a quotation; `QUOTE` is its beginning.
+CLOSE = 12
+_SYMBOLS = range(13)
+_MARK = re.compile(r"[\"“”„«»]|\n[^\S\n]*\n")
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[.!?;\n\"“”„«»]")
 
 
@@ -116,7 +122,7 @@ def reported_speech() -> Transducer:
     made.steps["plain", REPORT] = ("said", REPORT)
     made.steps["said", QUOTE] = ("quoted", QUOTE)
     made.steps["said", END] = ("plain", END)
-    made.steps["quoted", QUOTE] = ("plain", QUOTE)
+    made.steps["quoted", CLOSE] = ("plain", CLOSE)
     for symbol in (INSULT, WEAK, THREAT):
         made.steps["quoted", symbol] = ("quoted", REPORTED)
     return made
@@ -138,7 +144,7 @@ def clause() -> Transducer:
                 made.steps[state, symbol] = ((max(kind, new, key=order.index), aimed), OTHER)
             strong = aimed and kind in ("asserted", "threat")
             made.steps[state, END] = (made.start, "aimed" if strong else kind)
-            for symbol in (NEG, ART, REPORT, QUOTE, OTHER):
+            for symbol in (NEG, ART, REPORT, QUOTE, CLOSE, OTHER):
                 made.steps[state, symbol] = (state, OTHER)
     return made
 
@@ -186,6 +192,37 @@ class Grammar:
         return found
 
 
+def quotations(text: str) -> list[int]:
+    """For each quotation mark of a text: `QUOTE` if it opens, `CLOSE` if it closes, else `OTHER`.
+
+    A mark opens only if one that closes it follows before the next blank line. Straight marks
+    are told apart by what stands around them; one right behind a letter or digit, such as an
+    inch sign, opens nothing. Marks inside a quotation are no others.
+    """
+    found = [(x.start(), x[0]) for x in _MARK.finditer(text)]
+    closed_by: dict[int, int] = {}
+    ahead: dict[str, int] = {}  # the next mark that can close, by its character
+    for i in range(len(found) - 1, -1, -1):
+        at, mark = found[i]
+        if mark not in QUOTES:
+            ahead.clear()
+            continue
+        before, after = text[at - 1 : at], text[at + 1 : at + 2]
+        if mark != '"' or not before.isalnum():
+            ends = [ahead[x] for x in CLOSING[mark] if x in ahead]
+            if ends:
+                closed_by[i] = min(ends)
+        if mark != '"' or not (before.isspace() or not before) or not after.isalnum():
+            ahead[mark] = i
+    symbols, until = [], -1
+    for i, (_, mark) in enumerate(found):
+        if mark in QUOTES:
+            opens = i > until and i in closed_by
+            symbols.append(CLOSE if i == until else QUOTE if opens else OTHER)
+            until = closed_by[i] if opens else until
+    return symbols
+
+
 # --- Lexicon and scores ---------------------------------------------------------------------
 
 
@@ -228,9 +265,13 @@ class Scorer:
 
     def score(self, text: str) -> float:
         known, symbol_of = self.known, self._symbol
-        symbols = [known[x] if x in known else symbol_of(x) for x in _TOKEN.findall(text.lower().replace("’", "'"))]
+        text = text.lower().replace("’", "'")
+        symbols = [known[x] if x in known else symbol_of(x) for x in _TOKEN.findall(text)]
         clean = 1.0 - BASE
         if INSULT in symbols or THREAT in symbols or WEAK in symbols:
+            if QUOTE in symbols:
+                marks = iter(quotations(text))
+                symbols = [next(marks) if x == QUOTE else x for x in symbols]
             for match, times in self.grammar.matches(symbols).items():
                 clean *= (1.0 - WEIGHTS[match]) ** times
         return min(1.0, max(0.0, 1.0 - clean))

@@ -464,6 +464,22 @@ def test_clauses_are_judged_not_words(text, toxic):
     assert (toxicity.Scorer(toxicity.ToxicLexicon()).score(text) >= toxicity.THRESHOLD) == toxic
 
 
+@pytest.mark.parametrize(
+    ("text", "toxic"),
+    [
+        ('He said "and then. You idiot. You moron.', True),  # never closed
+        ('He said "so.\n\nYou idiot. You moron. "Yes"', True),  # not before the blank line
+        ('"As he said" you idiot. You moron. "Yes"', True),  # a closing mark opens nothing
+        ('He said "no. You idiot. You idiot" and left', False),
+        ('On a 15" screen he said "you idiot" and left', False),
+        ("Er sagte „du idiot“ und ging", False),
+        ("Il a dit « idiot » hier", False),
+    ],
+)
+def test_quotations_end(text, toxic):
+    assert (toxicity.Scorer(toxicity.ToxicLexicon()).score(text) >= toxicity.THRESHOLD) == toxic
+
+
 def test_composition_runs_like_the_parts_in_turn():
     rng = random.Random(9)
     machine = toxicity.compose(toxicity.compose(toxicity.reported_speech(), toxicity.negation()), toxicity.clause())

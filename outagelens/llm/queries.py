@@ -10,7 +10,21 @@ from pyspark.sql import functions as F
 from outagelens.session import configure
 from outagelens.sources.scratch import scratch_folder
 
-from . import bit_sliced, bottom_k, bpe, chat_template, golay_dedup, language, mixing, sharding, token_counts, toxicity
+from . import (
+    bit_sliced,
+    bottom_k,
+    bpe,
+    chat_template,
+    collocations,
+    golay_dedup,
+    language,
+    license_scan,
+    mixing,
+    prefix_trie,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from .common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +110,18 @@ def op4_bit_sliced(spark, sf_dir):
 def op5_chat_template(spark, sf_dir):
     rows = chat_template.with_control_conversation(table(spark, sf_dir, "conversations"))
     return chat_template.read_back(chat_template.format_conversations(rows))
+
+
+@register("op11_license_scan")
+def op11_license_scan(spark, sf_dir):
+    return license_scan.license_summary(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@register("op12_prefix_trie", prefix_trie.trie_sql())
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@register("op13_collocations", collocations.collocations_sql())
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))

@@ -19,10 +19,10 @@ def test_query_equals_sql(ready, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", ["op2_token_counts", "op6_bpe_round_trip", "op8_bottom_k", "op9_language_id", "op10_toxicity"])
+@pytest.mark.parametrize("name", ["op2_token_counts", "op6_bpe_round_trip", "op8_bottom_k", "op9_language_id", "op10_toxicity", "op11_license_scan"])
 def test_a_row_for_each_document(ready, name):
     ids = [r.doc_id for r in queries.QUERIES[name](ready, SF).collect()]
     assert sorted(ids) == sorted(r.doc_id for r in table(ready, SF, "documents").collect())

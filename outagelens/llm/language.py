@@ -23,16 +23,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, whole_text
+from .common import free_name, kept, whole_text
 
 UNDETERMINED = "und"
 BLOCK = 1024
-#: Bounds of the labelled sample: languages (those with most rows), rows and characters of each.
-MAX_LANGUAGES = 64
+#: Bounds of the labelled sample: rows and characters of each language.
 SAMPLE_ROWS = 128
 SAMPLE_CHARS = 32_768
-#: Characters of all languages together; with many languages each has a smaller share.
+#: Characters of all languages together, as long as each has its least rows and characters of a row.
 ALL_CHARS = 262_144
+LEAST_ROWS, LEAST_PIECE = 8, 64
+#: Codes of letters; more letters than that share codes.
+CODES = 126
 #: Pieces that a language needs for its halves to judge each other.
 LEAST_PIECES = 8
 
@@ -60,8 +62,8 @@ class CrossParser:
     def __init__(self, model: LanguageModel):
         self.languages = sorted(model.texts)
         alphabet = sorted({c for text in model.texts.values() for c in text if c != " "})
-        self.codes = {" ": _SPACE} | {c: i for i, c in enumerate(alphabet, 2)}
-        self.width = len(self.codes) + 1
+        self.codes = {" ": _SPACE} | {c: i % CODES + 2 for i, c in enumerate(alphabet)}
+        self.width = min(len(alphabet), CODES) + 2
         self.code_of = self._code_table()
         tables, self.roots, start = [], [], 0
         for language in self.languages:
@@ -202,34 +204,37 @@ def held_out(key: Column, folds: int = 3, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "UTF-8")) % folds == fold, F.lit(False))
 
 
-def fit(
-    labelled: DataFrame,
-    key: str = "doc_id",
-    rows: int = SAMPLE_ROWS,
-    chars: int = SAMPLE_CHARS,
-    languages: int = MAX_LANGUAGES,
-) -> LanguageModel:
-    """Learn from a bounded sample of the rows (key, text, lang).
+def fit(labelled: DataFrame, key: str = "doc_id", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> LanguageModel:
+    """Learn every language from a bounded sample of the rows (key, text, lang).
 
     Of each language the ``rows`` rows of smallest digest of their key are asked for, which
-    does not depend on the order of the table, and each gives its first ``chars / rows``
-    letters and spaces, equal ones once. Labels may be wrong: the sample is halved, each half
-    is read by the automata of the other, and rows read as another language are left out.
-    Rows with a null key, text or language take no part.
+    does not depend on the order of the table, and each gives ``chars / rows`` letters and
+    spaces from where its digest says, equal ones once. With many languages the share of each
+    is smaller, by shorter pieces at first and then by fewer rows, down to `LEAST_ROWS` of
+    `LEAST_PIECE`. Labels may be wrong: the sample is halved, each half is read by the automata
+    of the other, and rows read as another language are left out. Rows with a null key, text or
+    language take no part.
     """
     labelled = labelled.select(F.col(key).alias("id"), "text", F.col("lang").cast("string").alias("lang")).dropna()
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    names = [row["lang"] for row in counts.collect() if row["lang"] != UNDETERMINED]
-    if not names:
+    labelled = labelled.filter(F.col("lang") != UNDETERMINED)
+    named = kept(labelled.select("id", "lang", F.xxhash64("id").alias("h")).distinct(), "labelled-ids")
+    counts = {row["lang"]: row["count"] for row in named.groupBy("lang").count().collect()}  # one row for each language
+    if not counts:
         return LanguageModel({})
-    piece = max(64, min(chars, ALL_CHARS // len(names)) // rows)
+    share = min(chars, ALL_CHARS // len(counts))
+    rows = min(rows, max(LEAST_ROWS, share // LEAST_PIECE))
+    piece = max(LEAST_PIECE, share // rows)
+    # Digests are evenly spread, so few rows below a bound hold the smallest of a language.
+    sizes = labelled.sparkSession.createDataFrame([(k, 3.0 * rows / n) for k, n in counts.items()], "lang string, part double")
+    low = F.col("h").cast("double") / 2.0**64 + 0.5 <= F.col("part")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    chosen = labelled.filter(F.col("lang").isin(names)).select("id", "lang", F.xxhash64("id").alias("h")).distinct()
-    chosen = chosen.withColumn("place", place).filter(F.col("place") <= rows)
-    sample = labelled.join(F.broadcast(chosen.select("id", "lang", "h")), ["id", "lang"])  # at most rows x languages
-    start = F.substring("text", 1, 4 * piece).alias("text")
-    found = sample.groupBy("lang", "h", "id").agg(F.min("text").alias("text")).select("lang", "h", "id", start)
-    pieces: dict[str, list[str]] = {name: [] for name in names}
+    chosen = named.join(F.broadcast(sizes), "lang").filter(low).withColumn("place", place).filter(F.col("place") <= rows)
+    chosen = kept(chosen.select("id", "lang", "h"), "sampled-ids")
+    sample = labelled.join(F.broadcast(chosen), ["id", "lang"])  # at most rows x languages
+    start = F.pmod("h", F.greatest(F.length("text") - 4 * piece + 1, F.lit(1))) + 1
+    stretch = F.substring("text", start.cast("int"), F.lit(4 * piece)).alias("text")
+    found = sample.groupBy("lang", "h", "id").agg(F.min("text").alias("text")).select("lang", "h", "id", stretch)
+    pieces: dict[str, list[str]] = {name: [] for name in counts}
     for row in sorted(found.collect(), key=lambda r: (r["lang"], r["h"], r["id"])):
         text = letters_only(row["text"])[:piece]
         if text and text not in pieces[row["lang"]]:

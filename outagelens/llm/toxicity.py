@@ -39,7 +39,6 @@ THRESHOLD = 0.3
 SAMPLE_TOXIC = 4_000
 SAMPLE_CLEAN = 12_000
 STEM_LENGTHS = (4, 5, 6, 7, 8)
-MAX_STEMS = 5_000
 #: Least share of toxic texts among the sample's texts that have a stem.
 PURE = 0.97
 #: Least number of toxic texts with a stem.
@@ -398,7 +397,7 @@ def fit(
     Of each label the rows with the smallest digests of their keys are asked for, which does
     not depend on the order of the tables; their whole texts are read. Of near copies mostly
     one counts, as words of a text that was copied often would look like words of toxicity. Null labels, keys and
-    texts, and keys with contradicting labels take no part. Nothing to learn from gives an
+    texts, and keys with contradicting labels take no part. Stems are bounded by the sample only. Nothing to learn from gives an
     empty lexicon; the written words remain.
     """
     rows = labels.select(F.col(key).alias("id"), F.col("toxic").cast("int").alias("toxic")).dropna()
@@ -412,8 +411,8 @@ def fit(
     every = counts.groupBy("stem").agg(*(F.sum(x).alias(x) for x in ("toxic", "clean", "texts")))
     every = kept(every, "stems")
     words = every.filter("stem = ''").first()
-    likely = every.filter((F.col("texts") >= LEAST_TEXTS) & (F.col("toxic") >= F.col("clean")) & (F.col("stem") != ""))
-    likely = likely.orderBy(F.desc(F.col("toxic") - F.col("clean")), "stem").limit(MAX_STEMS)
+    pure = F.col("toxic") >= PURE * (F.col("toxic") + F.col("clean"))  # others can't be chosen
+    likely = every.filter((F.col("texts") >= LEAST_TEXTS) & pure & (F.col("stem") != "")).orderBy("stem")
     found = [tuple(row) for row in likely.select("stem", "toxic", "clean").collect()]
     return ToxicLexicon(chosen_stems(found, every.count(), words["toxic"], words["clean"]) if words else {})
 

@@ -26,14 +26,22 @@ from .common import kept
 
 SCALE = 256
 TOP = 5
+#: Rows of a block, fewer where vectors are wide: a block holds so many components at most.
 INDEX_ROWS = 16_384
+INDEX_CELLS = 1 << 22
 QUERY_ROWS = 256
 _LIMIT = (1 << 63) - 1
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of each component, x as double."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    """floor(scale * x) of each component, x as double; an error beyond 62 bits."""
+
+    def number(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        wide = F.raise_error(F.concat(F.lit("component too large to quantise: "), x.cast("string")))
+        return F.when(F.abs(scaled) < 2.0**62, F.floor(scaled)).otherwise(wide.cast("long")).cast("long")
+
+    return F.transform(vector, number)
 
 
 def usable(vector: Column) -> Column:
@@ -159,11 +167,17 @@ def _built(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": [first["block"]], "width": [first["width"]], "index": [pickle.dumps(block, 5)]})
 
 
+def _dealt(parts: int) -> Column:
+    """A part for each row, whatever the rows are and however they lie; to be stored at once."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int")
+
+
 def build_index(vectors: DataFrame, block_rows: int = INDEX_ROWS) -> DataFrame:
     """vectors (id, vector: whole numbers) to (block, width, index), every row in one block."""
-    blocks = max(1, -(-vectors.count() // block_rows))
     numbered = vectors.withColumn("width", F.size("vector"))
-    numbered = numbered.withColumn("block", (F.monotonically_increasing_id() % blocks).cast("int"))
+    rows, widest = numbered.agg(F.count("*"), F.max("width")).first()
+    blocks = max(1, -(-rows // max(1, min(block_rows, INDEX_CELLS // max(1, widest or 0)))))
+    numbered = numbered.withColumn("block", _dealt(blocks))
     numbered = kept(numbered, "numbered-vectors")
     index = numbered.groupBy("block", "width").applyInPandas(_built, "block int, width int, index binary")
     return kept(index, "bit-slices")
@@ -177,13 +191,16 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP, query_rows: int =
     """
     queries = queries.distinct().withColumn("width", F.size("vector"))
     groups = max(1, -(-queries.count() // query_rows))
-    queries = queries.withColumn("group", (F.monotonically_increasing_id() % groups).cast("int"))
+    queries = queries.withColumn("group", _dealt(groups))
     queries = kept(queries, "numbered-queries")
     batches = queries.groupBy("group", "width").agg(F.collect_list(F.struct("id", "vector")).alias("queries"))
-    # Each batch of queries goes to every block of rows, by the block's number.
-    last = index.agg(F.max("block")).first()[0]
-    blocks = F.sequence(F.lit(0), F.lit(0 if last is None else last))
-    pairs = batches.withColumn("block", F.explode(blocks)).join(index, ["block", "width"])
+    # Each batch of queries goes to every block of rows, by the block's number. Where blocks are
+    # fewer than tasks can run, each is sent in some copies, which share the batches.
+    last = index.agg(F.max("block")).first()[0] or 0
+    copies = min(groups, max(1, -(-2 * index.sparkSession.sparkContext.defaultParallelism // (last + 1))))
+    batches = batches.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last)))).withColumn("copy", F.col("group") % copies)
+    copied = index.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    pairs = batches.join(copied.hint("shuffle_merge"), ["block", "width", "copy"])
 
     @F.pandas_udf("array<struct<query_id: long, sign: int, vec_id: long, score: long>>")
     def best(blocks: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -195,7 +212,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP, query_rows: int =
                 for number, query in enumerate(some):
                     vector = np.asarray(query["vector"], dtype=np.int64)
                     for row, score in block.top(vector, query["id"], k):
-                        score = max(-_LIMIT, min(_LIMIT, score))
+                        if abs(score) > _LIMIT:
+                            raise OverflowError(f"the product of vectors {query['id']} and {row} passes 64 bits")
                         rows.append({"query_id": query["id"], "sign": number, "vec_id": row, "score": score})
                 found.append(rows)
             yield pd.Series(found, dtype=object)

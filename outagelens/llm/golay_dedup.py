@@ -18,18 +18,15 @@ leaves the search, so that a dense group costs about as much as its size. Keys o
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .bottom_k import Shingles
 from .common import free_name, kept, whole_text
 from .components import components
 
@@ -39,13 +36,6 @@ SHINGLE = 3
 #: Members of a key that are searched together.
 BLOCK = 65_536
 _HASHES_AT_ONCE = 65_536
-#: Fingerprints of each text in the search for near copies.
-PRINTS = 6
-#: Least share of common shingles of near copies, as a fraction.
-LIKENESS = (4, 5)
-#: Members of a key of which all pairs are candidates at once, and of a larger key's blocks.
-PAIRED = 64
-PAIR_BLOCK = 2_048
 
 GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 LENGTH, INFORMATION = 23, 12
@@ -215,10 +205,10 @@ def fingerprint_links(nodes: DataFrame, bits: int = BITS, block: int = BLOCK) ->
     return found.select(F.inline("links")).distinct()
 
 
-def _classes(prints: DataFrame) -> DataFrame:
+def _classes(prints: DataFrame, bits: int = BITS) -> DataFrame:
     """prints (id, fp) to a row for each fp: its component's smallest fp and smallest id."""
     nodes = kept(prints.groupBy("fp").agg(F.min("id").alias("id")), "fingerprints")
-    roots = components(fingerprint_links(nodes))
+    roots = components(fingerprint_links(nodes, bits))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     placed = kept(placed.select("fp", "id", F.coalesce("root", "fp").alias("root")), "fingerprint-roots")
     smallest = placed.groupBy("root").agg(F.min("id").alias("component_id"))
@@ -239,117 +229,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return found.select(F.col("id").alias(key), fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-# --- Near copies by shingle sets --------------------------------------------------------
-
-
-def _words_digest(text: str) -> bytes:
-    """Names the words of a text, whatever their case and the white space between them."""
-    return hashlib.blake2b(b" ".join(text.encode("utf-8").lower().split()), digest_size=16).digest()
-
-
-@F.pandas_udf(T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("prints", T.ArrayType(T.LongType()))]))
-def _digest_and_prints(texts: pd.Series) -> pd.DataFrame:
-    rows = [np.array(simhashes(text, count=PRINTS), dtype=np.uint64).astype(np.int64) for text in texts]
-    return pd.DataFrame({"digest": [_words_digest(text) for text in texts], "prints": rows})
-
-
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _shingle_set(texts: pd.Series) -> pd.Series:
-    """The distinct hashes of a whole text's five-word shingles."""
-    return pd.Series([np.unique(Shingles(text).hashes).astype(np.int64) for text in texts], dtype=object)
-
-
-def _print_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """node, prints to key, node, fp: Golay keys of each fingerprint, told apart by its place."""
-    for batch in batches:
-        nodes = batch["node"].to_numpy()
-        prints = np.array(batch["prints"].tolist(), dtype=np.int64).reshape(len(nodes), -1)
-        for place in range(prints.shape[1]):
-            keys, owners = golay_keys(prints[:, place].astype(np.uint64))
-            yield pd.DataFrame({"key": place << 32 | keys, "node": nodes[owners], "fp": prints[owners, place]})
-
-
-def close_pairs(group: pd.DataFrame, bits: int) -> pd.DataFrame:
-    """All pairs (a, b) of different roots within the distance; of two blocks, those across."""
-    nodes, prints, roots, own = (group[x].to_numpy() for x in ("node", "fp", "root", "own"))
-    across = (own != own[0]).any()
-    made = []
-    for i in range(len(nodes) - 1):
-        near = np.bitwise_count((prints[i + 1 :] ^ prints[i]).view(np.uint64)) <= bits
-        near &= roots[i + 1 :] != roots[i]
-        if across:
-            near &= own[i + 1 :] != own[i]
-        others = nodes[i + 1 :][near]
-        made.append(np.stack([np.minimum(others, nodes[i]), np.maximum(others, nodes[i])], axis=1))
-    return pd.DataFrame(np.concatenate(made) if made else np.zeros((0, 2), dtype=np.int64), columns=["a", "b"])
-
-
-def spanning_pairs(group: pd.DataFrame, bits: int) -> pd.DataFrame:
-    """Pairs that connect the group's nodes as all pairs within the distance would."""
-    first = group.drop_duplicates("fp").set_index("fp")["node"]
-    links = [(first[a], first[b]) for a, b in near_links(group["fp"].to_numpy(), bits)]
-    links += [(a, b) for a, b in zip(first[group["fp"]], group["node"], strict=True) if a != b]
-    pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
-    return pd.DataFrame({"a": pairs.min(1), "b": pairs.max(1)})
-
-
-def _pairs_of(rows: DataFrame, bits: int, make: Callable[[pd.DataFrame, int], pd.DataFrame], block: int = PAIR_BLOCK) -> DataFrame:
-    """rows (key, node, fp, root, n members of the key) to distinct pairs (a, b) of nodes."""
-    parts = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("node"), parts).cast("int")
-    blocks = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    groups = blocks.groupBy("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    return groups.applyInPandas(lambda group: make(group, bits), "a long, b long").distinct()
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, marked: DataFrame) -> DataFrame:
-    """The pairs whose shingle sets have at least `LIKENESS` of their union in common."""
-    pairs = kept(pairs, "candidate-pairs")
-    linked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    named = nodes.join(linked, "node").select("node", "id", "digest")
-    texts = marked.select("id", "digest", "text").join(named, ["id", "digest"]).dropDuplicates(["node"])
-    sets = kept(texts.select("node", _shingle_set("text").alias("shingles")), "shingle-sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y")).cast("long")
-    over, under = LIKENESS
-    return kept(both.filter(common * under >= (F.size("x") + F.size("y") - common) * over).select("a", "b"), "verified")
-
-
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", bits: int = 12) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
     """One document of each component stays, the one of the smallest id, with all its columns.
 
-    Documents are linked if at least `LIKENESS` of their distinct five-word shingles are common
-    to both. Texts of the same words are one node. Candidates are the nodes that share a Golay
-    key in one of `PRINTS` fingerprints and differ in at most ``bits`` of its bits; each link is
-    verified on the shingle sets of the whole texts. Of keys with up to `PAIRED` members all
-    pairs are candidates. In larger ones pairs that connect the members come first, then all
-    pairs that these have not brought together, so that a dense group of copies stays cheap. Of
-    repeated rows with the smallest id and the same words one stays. A null id counts as the
-    largest. Null, empty and blank texts are alike; further columns may have any names.
+    Components are those of `near_duplicates`: fingerprints of word shingles, linked at ``bits``
+    or fewer different bits. A null id counts as the largest; of several rows of the smallest id
+    any one stays. Null, empty and blank texts have fingerprint zero and are alike. Repeated rows
+    are copies; an empty table gives no rows; further columns may have any names.
     """
-    mark, order = free_name(docs, "mark"), free_name(docs, "order")
+    row, order, fp = (free_name(docs, name) for name in ("row", "order", "fp"))
+    made = simhash_columns(1, shingle)(whole_text(docs["text"]))["fp0"]
     last = F.lit((1 << 63) - 1)
-    stored = docs.withColumns({mark: _digest_and_prints(whole_text(docs["text"])), order: F.coalesce(docs[key].cast("long"), last)})
+    stored = docs.withColumns({fp: made, row: F.monotonically_increasing_id(), order: F.coalesce(docs[key].cast("long"), last)})
     stored = kept(stored, "simhash-rows")
-    marked = stored.select(F.col(order).alias("id"), f"{mark}.digest", f"{mark}.prints", whole_text(stored["text"]).alias("text"))
-    nodes = marked.groupBy("digest").agg(F.min("id").alias("id"), F.first("prints").alias("prints"))
-    nodes = kept(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    keys = nodes.select("node", "prints").mapInPandas(_print_keys, "key long, node long, fp long")
-    shared = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
-    shared = kept(shared, "shared-keys")
-    own_root = F.col("node").alias("root")
-    few = shared.filter(F.col("n") <= PAIRED).select("*", own_root)
-    links = _verified(_pairs_of(few, bits, close_pairs), nodes, marked)
-    many = shared.filter(F.col("n") > PAIRED)
-    if not many.isEmpty():
-        links = links.unionByName(_verified(_pairs_of(many.select("*", own_root), bits, spanning_pairs), nodes, marked))
-        placed = many.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        links = links.unionByName(_verified(_pairs_of(placed, bits, close_pairs), nodes, marked))
-    placed = nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = placed.groupBy("root").agg(F.min(F.struct("id", "digest")).alias("first")).select("first.*")
-    digest = free_name(stored, "digest")
-    rows = stored.withColumn(digest, F.col(f"{mark}.digest"))
-    first = first.select(F.col("id").alias(order), F.col("digest").alias(digest))
-    stay = rows.join(first, [order, digest], "left_semi").dropDuplicates([order, digest])
-    return stay.select(*(stay[name] for name in docs.columns))
+    prints = stored.select(F.struct(F.col(order).alias("order"), F.col(row).alias("row")).alias("id"), F.col(fp).alias("fp"))
+    smallest = _classes(prints, bits).select("fp", "component_id")
+    gone = prints.join(smallest, "fp").filter("id <> component_id").select(F.col("id.row").alias(row))
+    return stored.join(gone, row, "left_anti").select(*(stored[name] for name in docs.columns))

@@ -203,52 +203,38 @@ def test_one_of_each_group_stays(documents, no_documents):
     assert golay_dedup.drop_near_duplicates(no_documents).count() == 0
 
 
-def plain_likeness(a, b):
-    """Jaccard of the sets of five words in a row."""
-    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)} for w in (a.lower().split(), b.lower().split()))
-    return len(x & y) / len(x | y)
-
-
-def plain_stay(rows, likeness=0.8):
-    """Smallest ids of the components of all pairs at least so alike."""
-    root = {i: i for i, _ in rows}
-    for i, a in rows:
-        for j, b in rows:
-            if j < i and plain_likeness(a, b) >= likeness:
-                old, new = max(root[i], root[j]), min(root[i], root[j])
-                root = {k: new if r == old else r for k, r in root.items()}
-    return {i for i, r in root.items() if r == i}
-
-
-def like_texts(alike, texts=12, words=400, seed=21):
-    """Rows (id, text): pairs of random texts of about the given likeness; changed words stand apart."""
+def changed_texts(groups, copies, words, seed=21):
+    """Rows (id, text): groups of near copies, each with some words changed; ids are mixed."""
     rng = random.Random(seed)
-    rows = []
-    for i in range(texts):
-        a = [f"w{rng.randrange(9999)}" for _ in range(words)]
-        b = list(a)
-        changed = round((1 - alike) / (1 + alike) * words / 5)  # each takes five shingles away
-        for place in range(changed):
-            b[place * (words // changed) + 7] = f"x{rng.randrange(9999)}"
-        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
-    return rows
-
-
-@pytest.mark.parametrize(("alike", "lost"), [(0.7, 0), (0.83, 10), (0.9, 12)])
-def test_near_copies_are_judged_by_shingles(ready, alike, lost):
-    rows = like_texts(alike)
-    assert all(abs(plain_likeness(rows[i][1], rows[i + 1][1]) - alike) < 0.03 for i in range(0, len(rows), 2))
-    stay = {r.doc_id for r in golay_dedup.drop_near_duplicates(ready.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert stay >= plain_stay(rows)  # nothing goes that is no near copy
-    assert len(rows) - len(stay) >= lost
-
-
-def test_large_keys_are_searched_like_small_ones(ready, monkeypatch):
-    rows = [(i + 100 * k, t) for k, seed in enumerate((3, 4)) for i, t in like_texts(0.9, texts=3, seed=seed)]
-    rows += [(1000 + i, rows[0][1].rsplit(" ", i)[0]) for i in range(1, 12)]
-    docs = ready.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(golay_dedup, "PAIRED", 3)
-    assert {r.doc_id for r in golay_dedup.drop_near_duplicates(docs).collect()} == plain_stay(rows)
+    texts = []
+    for _ in range(groups):
+        first = [f"w{rng.randrange(9999)}" for _ in range(words)]
+        for _ in range(copies):
+            other = list(first)
+            for place in rng.sample(range(words), rng.choice((0, 1, 1, 2, words // 20))):
+                other[place] = f"x{rng.randrange(9999)}"
+            texts.append(" ".join(other))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("size", [(12, 4, 300), (1, 200, 60)])
+def test_the_stage_keeps_the_smallest_of_each_component(ready, size):
+    rows = changed_texts(*size)
+    expected = plain_components([(i, plain_simhash(t)) for i, t in rows])
+    stay = golay_dedup.drop_near_duplicates(ready.createDataFrame(rows, "doc_id long, text string").repartition(7))
+    assert sorted(r.doc_id for r in stay.collect()) == sorted(set(expected)) and len(set(expected)) < len(rows)
+
+
+def test_links_of_a_large_group_grow_with_its_members(ready):
+    """A dense group has a link for each member of a key, not for each pair."""
+    made = {}
+    for copies in (200, 400, 800):
+        values = {plain_simhash(t) for _, t in changed_texts(1, copies, 60)}
+        nodes = ready.createDataFrame([(x - (x >> 63 << 64),) for x in values], "fp long")
+        keys = len(golay_dedup.golay_keys(np.array(sorted(values), dtype=np.uint64))[0])
+        made[copies] = golay_dedup.fingerprint_links(nodes).count()
+        assert made[copies] <= keys
 
 
 def test_components_of_long_chains(ready):
@@ -257,6 +243,13 @@ def test_components_of_long_chains(ready):
     assert found == {i: 0 for i in range(41)} | {100: 100, 200: 100}
 
 
+@pytest.mark.parametrize("vectors", [[[1e17], [1e17], [-1e30]], [[1e12] * 3, [1e12] * 3]])
+def test_products_beyond_64_bits_are_errors(ready, vectors):
+    table = ready.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large to quantise|passes 64 bits"):
+        bit_sliced.top_products(table).collect()
+
+
 # --- Top-k ----------------------------------------------------------------------------------
 
 
@@ -407,6 +400,28 @@ def test_languages_of_held_out_documents(ready):
     assert sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found)
 
 
+def test_every_language_is_learned_from_anywhere_in_its_texts(ready):
+    """A hundred languages, one with a third of all rows; texts open with the same markup."""
+    rng = random.Random(31)
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    words = {f"l{i:03}": ["".join(rng.choice(letters) for _ in range(6)) for _ in range(12)] for i in range(100)}
+    text = lambda name: "<p>begin</p> " * 5 + " ".join(rng.choice(words[name]) for _ in range(300))
+    names = sorted(words) * 12 + ["l007"] * 600
+    rows = [(i, text(name), name) for i, name in enumerate(names)]
+    model = language.fit(ready.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(model.texts) == set(words)
+    assert max(map(len, model.texts.values())) <= language.ALL_CHARS // 100 + language.SAMPLE_ROWS
+    asked = [(i, text(name), name) for i, name in enumerate(sorted(words))]
+    found = language.identify(ready.createDataFrame(asked, "doc_id long, text string, lang string"), model)
+    assert sum(r.lang_pred == asked[r.doc_id][2] for r in found.collect()) >= 98
+
+
+def test_many_letters_share_codes():
+    parser = language.CrossParser(language.LanguageModel({"zh": "".join(chr(0x4E00 + i) for i in range(3000)), "en": "the quick brown fox"}))
+    assert parser.width == language.CODES + 2
+    assert [x for x, _ in parser.predict(["".join(chr(0x4E00 + i) for i in range(40)), "quick fox"])] == ["zh", "en"]
+
+
 def test_a_rare_language_leaves_the_others_cleaned():
     rng = random.Random(11)
     words = {name: ["".join(rng.choice(letters) for _ in range(5)) for _ in range(30)] for name, letters in (("x", "abcde"), ("y", "fghij"), ("z", "klmno"))}

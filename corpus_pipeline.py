@@ -30,7 +30,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id stays."""
+    """Of each group of fingerprints linked at 3 or fewer bits the document of the smallest id stays."""
     prepare(configure(spark))
     return golay_dedup.drop_near_duplicates(docs)
 

@@ -1071,6 +1071,10 @@ def _record_json() -> str:
     return f"to_json(struct_pack({fields}))::VARCHAR"
 
 
+def _length(list_json: str) -> str:
+    return f"json_array_length({list_json})::VARCHAR"
+
+
 @check(
     "report_json",
     f"""SELECT i.number, 0::BIGINT AS part,
@@ -1086,7 +1090,11 @@ def _record_json() -> str:
                || ',"timeline":' || {TIMELINE_JSON}
                || ',"related_records":{{"incidents":' || {_related_json('child', 'resolved_at')}
                || ',"problems":' || {_related_json('problem', 'resolved_at')}
-               || ',"changes":' || {_related_json('change', 'closed_at')} || '}}}}' AS report
+               || ',"changes":' || {_related_json('change', 'closed_at')}
+               || '}},"lists":{{"part":0,"parts":1,"totals":{{"timeline":' || {_length(TIMELINE_JSON)}
+               || ',"related_incidents":' || {_length(_related_json('child', 'resolved_at'))}
+               || ',"related_problems":' || {_length(_related_json('problem', 'resolved_at'))}
+               || ',"related_changes":' || {_length(_related_json('change', 'closed_at'))} || '}}}}}}' AS report
         FROM incidents i JOIN root_causes USING (sys_id) JOIN factors USING (sys_id) JOIN impacts USING (sys_id)
         JOIN durations USING (sys_id) JOIN justifications USING (sys_id)""",
 )

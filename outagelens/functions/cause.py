@@ -48,6 +48,16 @@ def sentence_pieces(text: Column) -> Column:
     )
 
 
+def reduced_text(pieces: Column) -> Column:
+    """A text that says the same as the stretch about its neighbours and the first whole hit.
+
+    ``sentence_pieces`` gives the same result for it, alone and joined with others.
+    """
+    hit = F.coalesce(F.concat(pieces["hit"], F.lit(".")), F.lit(""))
+    whole = F.concat(pieces["head"], F.lit("."), hit, pieces["tail"])
+    return F.when(pieces["closed"], whole).otherwise(pieces["head"])
+
+
 def first_with_phrase(sentences: Column) -> Column:
     return F.get(F.filter(sentences, lambda s: s.contains(fixed.CAUSE_PHRASE)), F.lit(0))
 

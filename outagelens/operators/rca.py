@@ -9,53 +9,78 @@ from ..functions import cause
 from ..functions import fixed_values as fixed
 from ..functions.text import first_text, text_or
 from ..functions.times import hours_between, to_timestamp
+from ..sources.scratch import stored
 from .packing import ordered_list
 from .related import linked_to
-from .skew import PIECE_ROWS, ordered_pieces, split_hot
+from .skew import PIECE_ROWS, ordered_pieces
 from .timeline import incident_journal, optional
 
 NOTE_KINDS = ("work_notes", "comments")
 
 
-def cause_sentences(journal: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """First sentence with the cause phrase per sys_id, over notes and then comments.
+def journal_digest(journal: DataFrame) -> DataFrame:
+    """What the analysis asks of the journal, one row per sys_id; counts combine before the shuffle.
 
-    A sentence may run over several notes, so the texts of an incident are joined in
-    order. Only incidents with a text that could hold the phrase, or its first word at
-    the very end, take part. The notes of a hot incident are joined piece by piece, and
-    the pieces are merged in two more steps.
+    Entries, work notes, first and last time, and whether a text could hold the cause phrase or
+    begin it at its very end. One scan; columns that are not asked for cost nothing.
     """
+    text = F.lower(text_or("value"))
+    start = fixed.CAUSE_PHRASE.split(" ")[0]
+    possible = F.col("element").isin(*NOTE_KINDS) & (text.contains(fixed.CAUSE_PHRASE) | text.endswith(start))
+    return (
+        incident_journal(journal)
+        .groupBy(F.col("element_id").alias("sys_id"))
+        .agg(
+            F.count("*").alias("n_entries"),
+            F.count_if(F.col("element") == NOTE_KINDS[0]).alias("n_work_notes"),
+            F.min("sys_created_on").alias("first_entry"),
+            F.max("sys_created_on").alias("last_entry"),
+            F.coalesce(F.bool_or(possible), F.lit(False)).alias("possible"),
+        )
+    )
+
+
+def stored_digest(journal: DataFrame) -> DataFrame:
+    """The digest as a table, for steps that read it several times."""
+    return stored(journal_digest(journal), "journal-digest")
+
+
+SENTENCE_ORDER = ("kind", "sys_created_on", "entry_id")
+
+
+def sentence_states(journal: DataFrame, digest: DataFrame) -> DataFrame:
+    """Notes of incidents whose sentence is possible, each reduced to what its neighbours need."""
+    keys = digest.filter("possible").select("sys_id")
     notes = incident_journal(journal).filter(F.col("element").isin(*NOTE_KINDS)).select(
         F.col("element_id").alias("sys_id"),
         (F.col("element") != NOTE_KINDS[0]).alias("kind"),
         "sys_created_on",
         "entry_id",
-        F.lower(text_or("value")).alias("text"),
+        text_or("value").alias("text"),
     )
-    start = fixed.CAUSE_PHRASE.split(" ")[0]
-    possible = F.col("text").contains(fixed.CAUSE_PHRASE) | F.col("text").endswith(start)
-
-    def candidates(rows: DataFrame) -> DataFrame:
-        keys = rows.filter(possible).select("sys_id").distinct()
-        return rows.join(keys, "sys_id", "left_semi")
-
-    # Hot incidents leave before any shuffle by sys_id.
-    normal, hot = split_hot(notes, "sys_id", "entry_id", piece_rows)
-    order = ["kind", "sys_created_on", "entry_id"]
-    joined = F.array_join(ordered_list(order, F.col("text")), " ")
-    found = (
-        candidates(normal).groupBy("sys_id").agg(cause.cause_sentence(joined).alias("sentence"))
-    )
-    if hot is not None:
-        pieces = (
-            ordered_pieces(candidates(hot), "sys_id", order, piece_rows)
-            .groupBy("sys_id", "_range", "_piece")
-            .agg(cause.sentence_pieces(joined).alias("pieces"))
-        )
-        ranges = _merge(pieces, ["sys_id", "_range"], "_piece")
-        whole = _merge(ranges, ["sys_id"], "_range")
-        sentence = cause.sentence_of_pieces(F.col("pieces")).alias("sentence")
-        found = found.unionByName(whole.select("sys_id", sentence))
+    reduced = notes.join(keys, "sys_id", "left_semi").withColumn("pieces", cause.sentence_pieces(F.lower("text")))
+    return reduced.select("sys_id", *SENTENCE_ORDER, cause.reduced_text(F.col("pieces")).alias("text"))
+
+
+def cause_sentences(journal: DataFrame, piece_rows: int = PIECE_ROWS, digest: DataFrame | None = None) -> DataFrame:
+    """First sentence with the cause phrase per sys_id, over notes and then comments.
+
+    A sentence may run over several notes. Only incidents that the digest holds possible take
+    part. Their notes, reduced before they move, are sorted once into ranges of (sys_id, order),
+    joined within bounded pieces of a range, and the pieces and ranges of a key are merged: the
+    same way for every key, so one that holds most notes spreads over as many ranges as it fills.
+    """
+    digest = stored_digest(journal) if digest is None else digest
+    # Stored, as the bounds of the ranges are found by one more read.
+    states = stored(sentence_states(journal, digest), "sentence-states")
+    joined = F.array_join(ordered_list(SENTENCE_ORDER, F.col("text")), " ")
+    pieces = (
+        ordered_pieces(states, "sys_id", SENTENCE_ORDER, piece_rows)
+        .groupBy("sys_id", "_range", "_piece")
+        .agg(cause.sentence_pieces(joined).alias("pieces"))
+    )
+    whole = _merge(_merge(pieces, ["sys_id", "_range"], "_piece"), ["sys_id"], "_range")
+    found = whole.select("sys_id", cause.sentence_of_pieces(F.col("pieces")).alias("sentence"))
     return found.filter(F.col("sentence").isNotNull())
 
 
@@ -85,11 +110,15 @@ def note_cause(incidents: DataFrame):
 
 
 def root_causes(
-    incidents: DataFrame, journal: DataFrame, problems: DataFrame, piece_rows: int = PIECE_ROWS
+    incidents: DataFrame,
+    journal: DataFrame,
+    problems: DataFrame,
+    piece_rows: int = PIECE_ROWS,
+    digest: DataFrame | None = None,
 ) -> DataFrame:
     """number, sys_id and root cause of every incident."""
     return (
-        incidents.join(cause_sentences(journal, piece_rows), "sys_id", "left")
+        incidents.join(cause_sentences(journal, piece_rows, digest), "sys_id", "left")
         .join(cause_from_problems(problems), "sys_id", "left")
         .select(
             "number",
@@ -104,27 +133,13 @@ def root_causes(
     )
 
 
-def journal_stats(journal: DataFrame) -> DataFrame:
-    """Per sys_id: entries, work notes, first and last time. Counts combine before the shuffle."""
-    return (
-        incident_journal(journal)
-        .groupBy(F.col("element_id").alias("sys_id"))
-        .agg(
-            F.count("*").alias("n_entries"),
-            F.count_if(F.col("element") == "work_notes").alias("n_work_notes"),
-            F.min("sys_created_on").alias("first_entry"),
-            F.max("sys_created_on").alias("last_entry"),
-        )
-    )
-
-
-def with_event_stats(incidents: DataFrame, journal: DataFrame) -> DataFrame:
+def with_event_stats(incidents: DataFrame, digest: DataFrame) -> DataFrame:
     """Incidents with number of work notes and the span of their timeline in hours.
 
     The span is NULL for timelines of fewer than two events.
     """
     opened, resolved = to_timestamp("opened_at"), to_timestamp("resolved_at")
-    rows = incidents.join(journal_stats(journal), "sys_id", "left")
+    rows = incidents.join(digest.select("sys_id", "n_entries", "n_work_notes", "first_entry", "last_entry"), "sys_id", "left")
     events = (
         F.coalesce("n_entries", F.lit(0))
         + opened.isNotNull().cast("int")
@@ -145,7 +160,7 @@ def factor_list():
 
 
 def contributing_factors(incidents: DataFrame, journal: DataFrame) -> DataFrame:
-    return with_event_stats(incidents, journal).select(
+    return with_event_stats(incidents, journal_digest(journal)).select(
         "number", "sys_id", factor_list().alias("contributing_factors")
     )
 
@@ -188,24 +203,36 @@ def rca_analysis(
     problems: DataFrame,
     landed_events: DataFrame | None = None,
     piece_rows: int = PIECE_ROWS,
+    digest: DataFrame | None = None,
 ) -> DataFrame:
     """One row per incident: root cause, factors, impact, duration, justification.
 
-    All inputs are reduced to one row per incident before they are joined.
+    All inputs are reduced to one row per incident before they are joined. The journal is read
+    once for its digest, unless that is given, and once for the notes that may tell a cause.
     ``landed_events`` may bring event types that tell when work began.
     """
+    digest = stored_digest(journal) if digest is None else digest
     rows = (
-        with_event_stats(incidents, journal)
-        .join(cause_sentences(journal, piece_rows), "sys_id", "left")
+        with_event_stats(incidents, digest)
+        .join(cause_sentences(journal, piece_rows, digest), "sys_id", "left")
         .join(cause_from_problems(problems), "sys_id", "left")
     )
     if landed_events is None:
         rows = rows.withColumn("detection_hours", F.lit(None).cast("double"))
     else:
         rows = rows.join(detection_times(landed_events), "sys_id", "left")
+    return analysed(rows)
+
+
+def analysed(rows: DataFrame) -> DataFrame:
+    """The analysis of each row: an incident with what was gathered about it.
+
+    That is n_work_notes, span_hours, sentence, problem_cause and detection_hours; no other row
+    is needed, so it applies to batches and streams alike.
+    """
     rows = rows.withColumns(
         {
-            "_hours": duration_hours(incidents),
+            "_hours": duration_hours(rows),
             "_users": cause.affected_users(
                 "description", "short_description", cause.default_users("priority", "impact")
             ),
@@ -231,7 +258,7 @@ def rca_analysis(
         "number",
         "sys_id",
         F.coalesce(
-            note_cause(incidents),
+            note_cause(rows),
             "sentence",
             "problem_cause",
             cause.cause_from_description("description", "short_description"),

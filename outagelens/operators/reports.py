@@ -13,7 +13,7 @@ from ..functions.times import timestamp_text, to_timestamp
 from ..sources.scratch import stored
 from .bundle import RELATED, incident_bundle
 from .packing import ordered_list
-from .rca import rca_analysis
+from .rca import rca_analysis, stored_digest
 from .related import top_related
 from .skew import PIECE_ROWS
 from .timeline import optional, top_events
@@ -56,13 +56,13 @@ def advice() -> Column:
     )
 
 
-def _timeline_blocks(incidents: DataFrame, journal: DataFrame) -> DataFrame:
+def _timeline_blocks(incidents: DataFrame, journal: DataFrame, digest: DataFrame | None) -> DataFrame:
     """Table rows of the first events per sys_id; at most ``TIMELINE_ROWS`` + 1 each."""
     line = F.concat(
         F.lit("| "), "timestamp", F.lit(" | "), "event_type", F.lit(" | "), "actor",
         F.lit(" | "), "description", F.lit(" |"),
     )
-    return top_events(incidents, journal, TIMELINE_ROWS).groupBy("sys_id").agg(
+    return top_events(incidents, journal, TIMELINE_ROWS, digest).groupBy("sys_id").agg(
         F.array_join(ordered_list(["position"], line), "\n").alias("timeline_block")
     )
 
@@ -91,17 +91,19 @@ def report_markdown(
     as_of: datetime | Column | None = None,
     generator: str = GENERATOR,
     landed_events: DataFrame | None = None,
+    digest: DataFrame | None = None,
 ) -> DataFrame:
     """number, part (always 0) and the Markdown report of every incident.
 
     The analysis is stored first unless it is given: its texts appear in several sections
-    and would be built anew for each.
+    and would be built anew for each. The journal's digest serves analysis and timeline.
     """
+    digest = stored_digest(journal) if digest is None else digest
     if analysis is None:
-        analysis = stored(rca_analysis(incidents, journal, problems, landed_events), "analysis")
+        analysis = stored(rca_analysis(incidents, journal, problems, landed_events, digest=digest), "analysis")
     rows = (
         incidents.join(analysis.drop("number"), "sys_id")
-        .join(_timeline_blocks(incidents, journal), "sys_id", "left")
+        .join(_timeline_blocks(incidents, journal, digest), "sys_id", "left")
         .join(_related_blocks(incidents, problems, changes), "sys_id", "left")
     )
     clock = timestamp_text(_clock(as_of))
@@ -184,9 +186,13 @@ def report_markdown(
     return rows.select("number", F.lit(0).cast("bigint").alias("part"), join_lines(blocks).alias("report"))
 
 
-def report_text(*tables: DataFrame, **options) -> DataFrame:
-    """The Markdown reports as plain text; same arguments as ``report_markdown``."""
-    return report_markdown(*tables, **options).withColumn("report", rt.plain_text("report"))
+def report_text(*tables: DataFrame, markdown: DataFrame | None = None, **options) -> DataFrame:
+    """The Markdown reports as plain text; same arguments as ``report_markdown``.
+
+    ``markdown`` holds reports (number, part, report) made before, which are not built again.
+    """
+    made = report_markdown(*tables, **options) if markdown is None else markdown
+    return made.select("number", "part", rt.plain_text("report").alias("report"))
 
 
 def report_json(
@@ -198,14 +204,16 @@ def report_json(
     as_of: datetime | Column | None = None,
     piece_rows: int = PIECE_ROWS,
     landed_events: DataFrame | None = None,
+    digest: DataFrame | None = None,
 ) -> DataFrame:
     """number, part and one JSON document per row.
 
     Part 0 is the report. Lists too long for one document go on in documents of parts 1, 2,
-    ..., see ``incident_bundle``; each of these holds entries of some list.
+    ..., see ``incident_bundle``; each of these holds entries of some list. ``lists`` tells the
+    part, how many parts there are, and in part 0 how long the lists are over all parts.
     """
     if analysis is None:
-        analysis = stored(rca_analysis(incidents, journal, problems, landed_events, piece_rows), "analysis")
+        analysis = stored(rca_analysis(incidents, journal, problems, landed_events, piece_rows, digest), "analysis")
     results = analysis.select(
         "sys_id",
         F.struct(
@@ -232,6 +240,7 @@ def report_json(
             F.col("related_problems").alias("problems"),
             F.col("related_changes").alias("changes"),
         ).alias("related_records"),
+        F.struct("part", "parts", "totals").alias("lists"),
     )
     options = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
     return bundle.select("number", "part", F.to_json(document, options).alias("report"))

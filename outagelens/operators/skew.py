@@ -8,11 +8,14 @@ keys are cut into ordered pieces first.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import stored
+
 # Most rows, and bytes of text, of one key that are gathered into one array.
 PIECE_ROWS = 10_000
 PIECE_BYTES = 16 * 1024 * 1024
@@ -21,6 +24,42 @@ BROADCAST_KEYS = 10_000
 SALTS = 64
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with too many rows for one array: their values while they are few, else a table of them."""
+
+    values: tuple
+    table: DataFrame | None = None
+
+    def none(self) -> bool:
+        return self.table is None and not self.values
+
+
+def find_hot(
+    sizes: DataFrame,
+    key: str,
+    piece_rows: int = PIECE_ROWS,
+    piece_bytes: int = PIECE_BYTES,
+    broadcast_keys: int = BROADCAST_KEYS,
+) -> dict[str, HotKeys]:
+    """By list, the keys with more rows or bytes than fit one array.
+
+    ``sizes`` has rows of list, key, n and bytes, which are summed here; one job for all lists
+    when the plan is built. At most ``broadcast_keys`` + 1 keys come back.
+    """
+    sums = sizes.groupBy("list", key).agg(F.sum("n").alias("_n"), F.sum("bytes").alias("_bytes"))
+    hot = sums.filter((F.col("_n") > piece_rows) | (F.col("_bytes") > piece_bytes)).select("list", key)
+    found = hot.limit(broadcast_keys + 1).collect()
+    if len(found) > broadcast_keys:
+        table = stored(hot, "hot-keys")
+        names = [row[0] for row in table.select("list").distinct().collect()]  # one for each list
+        return {name: HotKeys((), table.filter(F.col("list") == name).select(key)) for name in names}
+    values: dict[str, list] = {}
+    for name, value in found:
+        values.setdefault(name, []).append(value)
+    return {name: HotKeys(tuple(some)) for name, some in values.items()}
+
+
 def split_hot(
     rows: DataFrame,
     key: str,
@@ -29,26 +68,27 @@ def split_hot(
     broadcast_keys: int = BROADCAST_KEYS,
     salts: int = SALTS,
     piece_bytes: int = PIECE_BYTES,
+    hot: HotKeys | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of normal keys, and rows of keys with more than ``piece_rows`` rows or ``piece_bytes``.
 
-    The second part is None if there is no hot key, which is found by one count over the
-    key column when the plan is built. At most ``broadcast_keys`` + 1 keys come back. Up
-    to that number they are broadcast; beyond it the rows meet them on the key and a salt
-    taken from ``spread_by``, so that a hot key spreads over ``salts`` tasks. Rows whose
-    key is NULL or empty belong to nothing and are left out.
+    The second part is None if there is no hot key. Hot keys that are not given are found by
+    an aggregate over the key and the lengths of all texts when the plan is built. Few are
+    broadcast; else the rows meet them on the key and a salt taken from ``spread_by``, so that a
+    hot key spreads over ``salts`` tasks. Rows whose key is NULL or empty belong to nothing and
+    are left out.
     """
     rows = rows.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"), F.sum(text_bytes(rows)).alias("_bytes"))
-    hot = counts.filter((F.col("_n") > piece_rows) | (F.col("_bytes") > piece_bytes)).select(key)
-    found = [row[0] for row in hot.limit(broadcast_keys + 1).collect()]
-    if not found:
+    if hot is None:
+        sizes = rows.select(F.lit("").alias("list"), key, F.lit(1).alias("n"), text_bytes(rows).alias("bytes"))
+        hot = find_hot(sizes, key, piece_rows, piece_bytes, broadcast_keys).get("", HotKeys(()))
+    if hot.none():
         return rows, None
-    if len(found) <= broadcast_keys:
+    if hot.table is None:
         schema = rows.select(key).schema
-        keys = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in found], schema))
+        keys = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot.values], schema))
         return rows.join(keys, key, "left_anti"), rows.join(keys, key, "left_semi")
-    salted_keys = hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted_keys = hot.table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = rows.withColumn("_salt", F.pmod(F.hash(spread_by), F.lit(salts)))
     on = [key, "_salt"]
     return (

@@ -139,10 +139,19 @@ def top_rows(rows: DataFrame, keys: list[str], order: list, n: int, name: str) -
     return rows.withColumn(name, rank).filter(F.col(name) <= n)
 
 
-def top_events(incidents: DataFrame, journal: DataFrame, n: int = 20) -> DataFrame:
-    """First n events per sys_id, cut for display, and one row telling how many follow."""
-    events = event_rows(incidents, journal)
-    first = top_rows(events, ["sys_id"], list(EVENT_ORDER), n, "position").select(
+def entry_counts(journal: DataFrame) -> DataFrame:
+    """sys_id, n_entries; of the journal only the keys are read."""
+    about = incident_journal(journal)
+    return about.groupBy(F.col("element_id").alias("sys_id")).agg(F.count("*").alias("n_entries"))
+
+
+def top_events(incidents: DataFrame, journal: DataFrame, n: int = 20, counts: DataFrame | None = None) -> DataFrame:
+    """First n events per sys_id, cut for display, and one row telling how many follow.
+
+    How many there are follows from the incident and from ``counts`` (sys_id, n_entries) of its
+    journal, so the events are made once.
+    """
+    first = top_rows(event_rows(incidents, journal), ["sys_id"], list(EVENT_ORDER), n, "position").select(
         "sys_id",
         "position",
         F.coalesce(timestamp_text("timestamp"), F.lit("N/A")).alias("timestamp"),
@@ -150,9 +159,11 @@ def top_events(incidents: DataFrame, journal: DataFrame, n: int = 20) -> DataFra
         F.substring("actor", 1, 30).alias("actor"),
         F.substring("description", 1, 50).alias("description"),
     )
-    counts = events.groupBy("sys_id").agg(F.count("*").alias("_events"))
+    counts = entry_counts(journal) if counts is None else counts.select("sys_id", "n_entries")
+    ends = (to_timestamp(name).isNotNull().cast("int") for name in ("opened_at", "resolved_at"))
+    both = incidents.join(counts, "sys_id", "left").select("sys_id", sum(ends, F.coalesce("n_entries", F.lit(0))).alias("_events"))
     dots = F.lit("...")
-    more = counts.filter(F.col("_events") > n).select(
+    more = both.filter(F.col("_events") > n).select(
         "sys_id",
         F.lit(n + 1).alias("position"),
         dots.alias("timestamp"),

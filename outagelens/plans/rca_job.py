@@ -30,7 +30,8 @@ def run_rca(
     there is no time to detection. A later run into the same folder replaces its results.
 
     For wanted incidents the tables are first cut down to them, their children and their
-    journal entries. The analysis is written once and read back for every format.
+    journal entries. The analysis is written once and read back for every format, the journal's
+    digest likewise, and text reports are made of the Markdown ones if these are written first.
     """
     pool, entries = incidents, journal
     if wanted is not None:
@@ -42,16 +43,21 @@ def run_rca(
         entries = journal.join(ids.withColumnRenamed("sys_id", "element_id"), "element_id", "left_semi")
     path = f"{folder}/analysis"
     with job_scratch(spark, "rca"):
-        analysis = rca.rca_analysis(pool, entries, problems, landed_events)
+        digest = rca.stored_digest(entries)
+        analysis = rca.rca_analysis(pool, entries, problems, landed_events, digest=digest)
         if wanted is not None:
             analysis = filters.lookup_incident(analysis, wanted)
         analysis.write.mode("overwrite").parquet(path)
         analysis = spark.read.parquet(path)
+        markdown = None
         for format in formats:
-            rows = reports.generate_report(
-                format, pool, entries, problems, changes, analysis=analysis, as_of=as_of
-            )
+            options = {"analysis": analysis, "as_of": as_of, "digest": digest}
+            if format.lower() == "text":
+                options["markdown"] = markdown
+            rows = reports.generate_report(format, pool, entries, problems, changes, **options)
             if wanted is not None:
                 rows = filters.lookup_incident(rows, wanted)
             files.sink_reports(rows, f"{folder}/reports", format)
+            if format.lower() == "markdown":
+                markdown = files.scan_reports(spark, f"{folder}/reports", format)
     return analysis

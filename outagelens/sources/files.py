@@ -81,9 +81,18 @@ def sink_json(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     rows.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def sink_metrics(metrics: DataFrame, path: str) -> None:
-    """Append the metrics row of one run."""
-    metrics.write.mode("append").options(header=True).csv(path)
+def sink_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add the metrics row of one run.
+
+    With a ``run_id`` the row has a folder of its own, so that a run that is tried again
+    replaces its row; without one every call appends.
+    """
+    if run_id is None:
+        metrics.write.mode("append").options(header=True).csv(path)
+        return
+    named = metrics.withColumn("run_id", F.lit(run_id))
+    writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_id").options(header=True).csv(path)
 
 
 # File name endings by report format.
@@ -105,3 +114,9 @@ def sink_reports(reports: DataFrame, path: str, format: str, mode: str = "overwr
     )
     writer = named.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("format").json(path)
+
+
+def scan_reports(spark: SparkSession, path: str, format: str) -> DataFrame:
+    """Reports of one format as they were written: number, part, report."""
+    schema = "number string, part long, report string"
+    return spark.read.schema(schema).json(f"{path}/format={format.lower()}")

@@ -1,4 +1,4 @@
-"""Exact median with bounded state."""
+"""Exact median with bounded state, and quantile sketches."""
 
 from __future__ import annotations
 
@@ -21,23 +21,33 @@ BROADCAST_GROUPS = 10_000
 ALL_ROWS = "_all"
 
 
+def micros_of(hours: Column) -> Column:
+    """Hours as whole microseconds."""
+    return F.round(hours * MICROS_PER_HOUR).cast("bigint")
+
+
 def exact_median(df: DataFrame, hours: Column, by: Sequence[str], name: str = "median") -> DataFrame:
     """Median of ``hours`` per group: the mean of the two middle values.
 
-    The built-in ``median`` keeps all distinct values of a group in one task. Here the
-    values are first counted, then the middle one is found by counting ranges that get
-    finer with each level. The state of one row per group meets the counts by broadcast if
-    the groups, which are counted, are few, else by a shuffled join. Without ``by`` all rows
-    are one group. The counts are stored when the plan is built, as every level reads them.
+    The counts of the values are stored when the plan is built, as every level reads them.
     Hours are whole microseconds.
     """
-    micros = F.round(hours * MICROS_PER_HOUR).cast("bigint").alias("_value")
-    keys = [F.col(name) for name in by] or [F.lit(0).alias(ALL_ROWS)]
-    counted = df.filter(hours.isNotNull()).groupBy(*keys, micros).agg(F.count("*").alias("_n"))
-    counts = stored(counted, "median")
+    keys = [F.col(name) for name in by]
+    counted = df.filter(hours.isNotNull()).groupBy(*keys, micros_of(hours).alias("_value")).agg(F.count("*").alias("_n"))
+    return median_of_counts(stored(counted, "median"), by, name)
+
+
+def median_of_counts(counts: DataFrame, by: Sequence[str], name: str = "median") -> DataFrame:
+    """Median per group from a stored table of the group, ``_value`` in microseconds and its count ``_n``.
+
+    The built-in ``median`` keeps all distinct values of a group in one task. Here the middle
+    value is found by counting ranges that get finer with each level. The state of one row per
+    group meets the counts by broadcast if the groups, which are counted, are few, else by a
+    shuffled join. Without ``by`` all rows are one group, and there is nothing to count.
+    """
+    counts = counts.select(*by, *([] if by else [F.lit(0).alias(ALL_ROWS)]), "_value", "_n").filter(F.col("_value").isNotNull())
+    few = not by or counts.select(*by).distinct().limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     by = list(by) or [ALL_ROWS]
-    groups = counts.select(*by).distinct().limit(BROADCAST_GROUPS + 1).count()
-    few = groups <= BROADCAST_GROUPS
     # _rank: how many values come before the lower middle one.
     state = counts.groupBy(*by).agg(F.sum("_n").alias("_total")).select(
         *by,
@@ -50,6 +60,43 @@ def exact_median(df: DataFrame, hours: Column, by: Sequence[str], name: str = "m
     return _middle(counts, state, by, few, name).drop(ALL_ROWS)
 
 
+def hour_aggregates(mean: str, least: str | None = None, most: str | None = None) -> list[Column]:
+    """Aggregates over such a table: mean, smallest and largest hours."""
+    value, n = F.col("_value"), F.col("_n")
+    total = F.sum(value.cast("decimal(19, 0)") * n.cast("decimal(19, 0)")).cast("double")
+    found = [(total / MICROS_PER_HOUR / F.sum(F.when(value.isNotNull(), n))).alias(mean)]
+    ends = ((F.min, least), (F.max, most))
+    return found + [hours_of_micros(end(value)).alias(name) for end, name in ends if name is not None]
+
+
+# --- Sketches ------------------------------------------------------------------------------
+
+#: Size of a sketch: the rank of an answer is off by less than 0.0013 of all values with a
+#: probability of 99 %. `RANK_ERROR` is what callers may rely on.
+SKETCH_SIZE = 4_096
+RANK_ERROR = 0.01
+
+
+def hour_sketches(df: DataFrame, hours: Column, by: Sequence[str], size: int = SKETCH_SIZE) -> DataFrame:
+    """``by``, a quantile sketch of the known hours, and their number.
+
+    A sketch takes a few ten kilobytes whatever the number of rows. Sketches of days or files can
+    be stored and merged later, so older rows need not be read again.
+    """
+    known = F.when(~F.isnan(hours), hours)
+    return df.groupBy(*by).agg(F.kll_sketch_agg_double(known, size).alias("sketch"), F.count(known).alias("n"))
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str], size: int = SKETCH_SIZE) -> DataFrame:
+    """Sketches of coarser groups from those of finer ones."""
+    return sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch", size).alias("sketch"), F.sum("n").alias("n"))
+
+
+def sketch_quantile(rank: float) -> Column:
+    """The hours at a rank from 0 to 1; NULL for a sketch without values."""
+    return F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(rank)))
+
+
 def _with_state(counts: DataFrame, state: DataFrame, by: list[str], few: bool) -> DataFrame:
     same = [F.col(f"c.{name}").eqNullSafe(F.col(f"s.{name}")) for name in by]
     side = F.broadcast(state) if few else state

@@ -12,7 +12,7 @@ from ..functions.times import hours_between, to_timestamp
 from ..sources.scratch import stored
 from .packing import ordered_list
 from .related import linked_to
-from .skew import PIECE_ROWS, ordered_pieces
+from .skew import PIECE_BYTES, PIECE_ROWS, ordered_pieces
 from .timeline import incident_journal, optional
 
 NOTE_KINDS = ("work_notes", "comments")
@@ -21,8 +21,8 @@ NOTE_KINDS = ("work_notes", "comments")
 def journal_digest(journal: DataFrame) -> DataFrame:
     """What the analysis asks of the journal, one row per sys_id; counts combine before the shuffle.
 
-    Entries, work notes, first and last time, and whether a text could hold the cause phrase or
-    begin it at its very end. One scan; columns that are not asked for cost nothing.
+    Entries, work notes, first and last time, bytes of text, and whether a text could hold the
+    cause phrase or begin it at its very end. One scan; columns that are not asked for cost nothing.
     """
     text = F.lower(text_or("value"))
     start = fixed.CAUSE_PHRASE.split(" ")[0]
@@ -35,6 +35,7 @@ def journal_digest(journal: DataFrame) -> DataFrame:
             F.count_if(F.col("element") == NOTE_KINDS[0]).alias("n_work_notes"),
             F.min("sys_created_on").alias("first_entry"),
             F.max("sys_created_on").alias("last_entry"),
+            F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("n_bytes"),
             F.coalesce(F.bool_or(possible), F.lit(False)).alias("possible"),
         )
     )
@@ -62,24 +63,31 @@ def sentence_states(journal: DataFrame, digest: DataFrame) -> DataFrame:
     return reduced.select("sys_id", *SENTENCE_ORDER, cause.reduced_text(F.col("pieces")).alias("text"))
 
 
-def cause_sentences(journal: DataFrame, piece_rows: int = PIECE_ROWS, digest: DataFrame | None = None) -> DataFrame:
+def cause_sentences(
+    journal: DataFrame, piece_rows: int = PIECE_ROWS, digest: DataFrame | None = None, piece_bytes: int = PIECE_BYTES
+) -> DataFrame:
     """First sentence with the cause phrase per sys_id, over notes and then comments.
 
     A sentence may run over several notes. Only incidents that the digest holds possible take
-    part. Their notes, reduced before they move, are sorted once into ranges of (sys_id, order),
-    joined within bounded pieces of a range, and the pieces and ranges of a key are merged: the
-    same way for every key, so one that holds most notes spreads over as many ranges as it fills.
+    part; their notes are reduced before they move. If the digest knows no incident with more
+    than ``piece_rows`` entries or ``piece_bytes``, the notes of each are joined in order. Else
+    all are sorted once into ranges of (sys_id, order), joined within bounded pieces of a range,
+    and the pieces and ranges of a key are merged: the same way for every key, so one that holds
+    most notes spreads over as many ranges as it fills. Both ways read the notes once.
     """
     digest = stored_digest(journal) if digest is None else digest
-    # Stored, as the bounds of the ranges are found by one more read.
-    states = stored(sentence_states(journal, digest), "sentence-states")
+    states = sentence_states(journal, digest)
     joined = F.array_join(ordered_list(SENTENCE_ORDER, F.col("text")), " ")
-    pieces = (
-        ordered_pieces(states, "sys_id", SENTENCE_ORDER, piece_rows)
-        .groupBy("sys_id", "_range", "_piece")
-        .agg(cause.sentence_pieces(joined).alias("pieces"))
-    )
-    whole = _merge(_merge(pieces, ["sys_id", "_range"], "_piece"), ["sys_id"], "_range")
+    pieces = cause.sentence_pieces(joined).alias("pieces")
+    large = F.col("possible") & ((F.col("n_entries") > piece_rows) | (F.col("n_bytes") > piece_bytes))
+    if digest.filter(large).isEmpty():
+        whole = states.groupBy("sys_id").agg(pieces)
+    else:
+        # Stored, as the bounds of the ranges are found by one more read.
+        states = stored(states, "sentence-states")
+        ranged = ordered_pieces(states, "sys_id", SENTENCE_ORDER, piece_rows, piece_bytes)
+        ranged = ranged.groupBy("sys_id", "_range", "_piece").agg(pieces)
+        whole = _merge(_merge(ranged, ["sys_id", "_range"], "_piece"), ["sys_id"], "_range")
     found = whole.select("sys_id", cause.sentence_of_pieces(F.col("pieces")).alias("sentence"))
     return found.filter(F.col("sentence").isNotNull())
 

@@ -36,6 +36,7 @@ def run_batch(
     apply_redaction: bool = True,
     as_csv: bool = False,
     stop_on_findings: bool = False,
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """Run all steps and return the written tables.
 
@@ -44,21 +45,26 @@ def run_batch(
 
     The enriched table is written once and read back for the steps after it: they scan
     only the columns they need, and a lost executor costs no recomputation of the input.
+    Metrics and the check are counted while the tables are written, so neither reads a table
+    again. With a ``run_id`` a run that is tried again replaces its row of the metrics.
     """
-    enriched = enrich.enrich_incidents(enrich.fill_defaults(enrich.rename_standard(raw)))
-    enriched.write.mode("overwrite").parquet(paths.processed)
+    run = profile.ObservedRun(spark)
+    enriched = enrich.enrich_incidents(enrich.fill_defaults(enrich.rename_standard(run.raw(raw))))
+    run.processed(enriched).write.mode("overwrite").parquet(paths.processed)
     processed = spark.read.parquet(paths.processed)
 
     if apply_redaction:
-        redact.redact_live_export(processed, salt).write.mode("overwrite").parquet(paths.redacted)
-        check = redact.validate_redaction(processed, spark.read.parquet(paths.redacted))
+        seen = redact.ObservedRedaction(spark)
+        masked = redact.redact_live_export(seen.original(processed), salt)
+        seen.redacted(masked).write.mode("overwrite").parquet(paths.redacted)
+        check = seen.check()
         files.sink_json(check, paths.redaction_check)
         found = spark.read.schema(check.schema).json(paths.redaction_check)
         if stop_on_findings and not found.first()["redaction_successful"]:
             raise ValueError(f"personal data is left in {paths.redacted}")
     with job_scratch(spark, "batch"):
         files.sink_json(profile.analyze_incidents(processed), paths.analysis)
-    files.sink_metrics(profile.run_metrics(raw, processed), paths.metrics)
+    files.sink_metrics(run.metrics(), paths.metrics, run_id)
     if as_csv:
         files.sink_csv(processed, paths.processed + "_csv")
 

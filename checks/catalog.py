@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from outagelens.functions import cause, incident, redaction, text, times
 from outagelens.operators import (
@@ -13,6 +14,7 @@ from outagelens.operators import (
     enrich,
     filters,
     profile,
+    quantile,
     rca,
     redact,
     related,
@@ -23,6 +25,7 @@ from outagelens.operators import (
 from outagelens.session import configure
 from outagelens.sources import files, schemas
 from outagelens.sources.scratch import scratch_folder, stored
+from outagelens.streaming import landing
 
 from . import views
 from .views_sql import hashed, hits, redacted, with_views
@@ -303,6 +306,24 @@ def page_incidents(spark, sf_dir):
     return filters.page_incidents(views.incidents(spark, sf_dir, "number", "priority", "state"), 1000, 0)
 
 
+@check(
+    "page_by_directory",
+    "SELECT number, priority, state FROM incidents ORDER BY number LIMIT 100 OFFSET 700",
+)
+def page_by_directory(spark, sf_dir):
+    rows = views.incidents(spark, sf_dir, "number", "priority", "state")
+    return filters.directory_page(rows, filters.page_directory(rows, 100), 7)
+
+
+@check(
+    "page_directory",
+    """SELECT (place // 100)::BIGINT AS page, number AS first_key
+       FROM (SELECT number, row_number() OVER (ORDER BY number) - 1 AS place FROM incidents) WHERE place % 100 = 0""",
+)
+def page_directory(spark, sf_dir):
+    return filters.page_directory(views.incidents(spark, sf_dir, "number"), 100)
+
+
 @check(
     "preview_incidents",
     """SELECT number, substr(coalesce(short_description, 'N/A'), 1, 50) AS short_description, priority, state
@@ -424,21 +445,30 @@ def _hit_sum(step: str, *columns: str) -> str:
     return f"sum({' + '.join(hits(column, step) for column in columns)})::BIGINT"
 
 
-@check(
-    "validate_redaction",
-    f"""SELECT *, email_count_redacted = 0 AND phone_count_redacted = 0 AS redaction_successful
+REDACTION_SQL = f"""SELECT *, email_count_redacted = 0 AND phone_count_redacted = 0 AS redaction_successful
         FROM (SELECT {_hit_sum('email', 'text', 'lang', 'source')} AS email_count_original,
                      {_hit_sum('phone', 'text', 'lang', 'source')} AS phone_count_original FROM documents),
              (SELECT {_hit_sum('email', 'text', 'lang', 'source')} AS email_count_redacted,
                      {_hit_sum('phone', 'text', 'lang', 'source')} AS phone_count_redacted
-              FROM (SELECT {redacted('text')} AS text, lang, source FROM documents))""",
-)
+              FROM (SELECT {redacted('text')} AS text, lang, source FROM documents))"""
+
+
+@check("validate_redaction", REDACTION_SQL)
 def validate_redaction(spark, sf_dir):
     rows = _documents(spark, sf_dir)
     masked = redact.redact_frame(rows, SALT, text=("text",), ids=(), drop=())
     return redact.validate_redaction(rows, masked)
 
 
+@check("validate_redaction_observed", REDACTION_SQL)
+def validate_redaction_observed(spark, sf_dir):
+    """The same counts, made by the one pass that writes the redacted table."""
+    seen = redact.ObservedRedaction(spark)
+    masked = redact.redact_frame(seen.original(_documents(spark, sf_dir)), SALT, text=("text",), ids=(), drop=())
+    stored(seen.redacted(masked), "redacted")
+    return seen.check()
+
+
 @check(
     "pii_column_scan",
     f"""SELECT 'caller_id' AS column_name, TRUE AS sensitive_by_name, {_hit_sum('email', 'caller_id')} AS email_hits,
@@ -537,6 +567,42 @@ def resolution_stats(spark, sf_dir):
     return profile.resolution_stats(enriched(spark, sf_dir, *HOURS_INPUT))
 
 
+@check(
+    "approximate_hours",
+    """SELECT pattern AS "patternCategory", count(hours) AS n, rank, TRUE AS within_bound
+       FROM enriched, (SELECT unnest([0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE]) AS rank) GROUP BY pattern, rank HAVING count(hours) > 0""",
+)
+def approximate_hours(spark, sf_dir):
+    """Whether the true rank of each answer is the asked one, within the promised error."""
+    ranks = (0.1, 0.5, 0.9)
+    rows = stored(enriched(spark, sf_dir, *HOURS_INPUT, "short_description"), "enriched").filter("resolutionTimeHrs IS NOT NULL")
+    answers = profile.approximate_hours(rows, ["patternCategory"], ranks)
+    named = F.arrays_zip(F.array(*map(F.lit, ranks)).alias("rank"), F.col("hours").alias("answer"))
+    answers = answers.select("patternCategory", "n", F.inline(named))
+    hours, answer = F.col("resolutionTimeHrs"), F.col("answer")
+    placed = rows.select("patternCategory", "resolutionTimeHrs").join(answers, "patternCategory")
+    low, high = F.count_if(hours < answer) / F.col("n"), F.count_if(hours <= answer) / F.col("n")
+    rank, error = F.col("rank"), F.lit(quantile.RANK_ERROR)
+    within = ((low - error <= rank) & (rank <= high + error)).alias("within_bound")
+    return placed.groupBy("patternCategory", "n", "rank", "answer").agg(within).drop("answer")
+
+
+@check(
+    "merged_sketches",
+    "SELECT count(hours) AS n, TRUE AS within_bound FROM enriched",
+)
+def merged_sketches(spark, sf_dir):
+    """Sketches by category, merged into one of all rows; its median against all values."""
+    rows = stored(enriched(spark, sf_dir, *HOURS_INPUT, "short_description"), "enriched")
+    hours = F.col("resolutionTimeHrs")
+    parts = stored(quantile.hour_sketches(rows, hours, ["patternCategory"]), "sketches")
+    n, answer = quantile.merge_sketches(parts, []).select("n", quantile.sketch_quantile(0.5)).first()
+    low, high = F.count_if(hours < answer) / F.lit(n), F.count_if(hours <= answer) / F.lit(n)
+    error = F.lit(quantile.RANK_ERROR)
+    within = ((low - error <= 0.5) & (high + error >= 0.5)).alias("within_bound")
+    return rows.agg(F.count(hours).alias("n"), within)
+
+
 @check(
     "user_impact_totals",
     "SELECT sum(users)::BIGINT AS total_users, avg(users) AS avg_users FROM enriched",
@@ -583,6 +649,27 @@ def run_metrics(spark, sf_dir):
     return as_text(profile.run_metrics(raw, enrich.enrich_incidents(raw), at))
 
 
+@check(
+    "sink_metrics_retried",
+    f"""SELECT '{AS_OF}' AS timestamp, count(*) AS raw_record_count, count(*) AS processed_record_count,
+               7 AS columns_added, count(*) FILTER (active) AS active_incidents,
+               count(*) FILTER (high) AS high_impact_incidents, count(*) FILTER (breach) AS sla_breaches,
+               'r1' AS run_id
+        FROM enriched""",
+)
+def sink_metrics_retried(spark, sf_dir):
+    """A run that counts while it writes, tried twice under one id."""
+    path = scratch_folder(spark, "metrics")
+    for _ in range(2):
+        run = profile.ObservedRun(spark)
+        rows = enrich.enrich_incidents(run.raw(views.incidents(spark, sf_dir, *HOURS_INPUT)))
+        stored(run.processed(rows), "processed")
+        metrics = as_text(run.metrics(F.lit(AS_OF).cast("timestamp_ntz")))
+        files.sink_metrics(metrics, path, "r1")
+    schema = ", ".join(f"{name} {kind}" for name, kind in metrics.dtypes)
+    return spark.read.schema(schema + ", run_id string").option("header", True).csv(path)
+
+
 def _share(metric: str, column: str, top: bool = False) -> str:
     cut = f"ORDER BY n DESC, key LIMIT 5" if top else ""
     return f"""(SELECT '{metric}' AS metric, {column} AS key, count(*) AS n,
@@ -816,6 +903,34 @@ def incident_bundle(spark, sf_dir):
     return rows.select("number", "part", *as_json)
 
 
+@check(
+    "bundle_long_lists",
+    """SELECT i.number, list, count(*) AS entries, ((count(*) - 1) // 4 + 1)::BIGINT AS parts
+       FROM (SELECT sys_id, 'timeline' AS list FROM incidents WHERE opened_at IS NOT NULL
+             UNION ALL SELECT sys_id, 'timeline' FROM incidents WHERE resolved_at IS NOT NULL
+             UNION ALL SELECT element_id, 'timeline' FROM journal
+             UNION ALL SELECT element_id, element FROM journal WHERE element IN ('work_notes', 'comments')) x
+       JOIN incidents i USING (sys_id) GROUP BY i.number, list""",
+)
+def bundle_long_lists(spark, sf_dir):
+    """Lists of more than four entries go on in further parts; pieces of long ones hold four at most."""
+    rows = bundle.incident_bundle(
+        views.incidents(spark, sf_dir, *dict.fromkeys(EVENT_INPUT + CHILD_INPUT)),
+        views.journal(spark, sf_dir),
+        views.problems(spark, sf_dir),
+        views.changes(spark, sf_dir),
+        piece_rows=4,
+        lists=("timeline", "work_notes", "comments"),
+    )
+    sizes = F.array(*[F.struct(F.lit(x).alias("list"), F.size(x).alias("size")) for x in ("timeline", "work_notes", "comments")])
+    pieces = rows.select("number", F.inline(sizes)).filter("size > 0")
+    total = F.sum("size").alias("entries")
+    least = F.floor((F.sum("size") - 1) / 4) + 1
+    # Ranges may cut a list between two pieces; no piece is longer than allowed, and none is missing.
+    fits = (F.max("size") <= 4) & (F.count("*") >= least)
+    return pieces.groupBy("number", "list").agg(total, F.when(fits, least).cast("bigint").alias("parts"))
+
+
 # --- Root-cause analysis ----------------------------------------------------------
 
 
@@ -960,6 +1075,37 @@ def rca_analysis(spark, sf_dir):
     )
 
 
+@check(
+    "stream_analysis",
+    """SELECT m.number, business_impact, technical_impact, user_impact, affected, hours_text AS total_downtime,
+              efficiency, justification
+       FROM impacts m JOIN durations d USING (sys_id) JOIN justifications j USING (sys_id)""",
+)
+def stream_analysis(spark, sf_dir):
+    """Landed responses read as a stream, in two batches, the second run finding only new files."""
+    landed, path, checkpoint = (scratch_folder(spark, name) for name in ("landed", "analysed", "stream"))
+    rows = as_text(views.incidents(spark, sf_dir))
+    record = StructType([StructField(name, StringType()) for name in rows.columns])
+    pages = rows.select(
+        (F.col("number") < "INC0002").alias("early"),
+        F.to_json(F.struct(F.array(F.struct(*[F.col(x).cast("string").alias(x) for x in rows.columns])).alias("result"))).alias("value"),
+    )
+    for early in (True, False):
+        pages.filter(F.col("early") == early).select("value").write.mode("append").text(landed)
+        query = landing.write_analysis(landing.landed_incidents(spark, landed, record), path, checkpoint)
+        query.awaitTermination()
+    return spark.read.parquet(path).select(
+        "number",
+        "impact_assessment.business_impact",
+        "impact_assessment.technical_impact",
+        "impact_assessment.user_impact",
+        F.col("impact_assessment.affected_users_estimate").alias("affected"),
+        "duration_analysis.total_downtime",
+        F.col("duration_analysis.resolution_efficiency").alias("efficiency"),
+        F.col("priority_justification").alias("justification"),
+    )
+
+
 # --- Reports ----------------------------------------------------------------------
 
 CLOCK = "2025-01-15 12:00:00"

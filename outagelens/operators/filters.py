@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.incident import priority_digit
 from ..functions.times import to_timestamp
+from ..sources.scratch import stored
 
 
 def group_contains(word: str, column: str = "assignment_group") -> Column:
@@ -83,6 +84,35 @@ def page_incidents(
     return (rows.offset(offset) if offset else rows).limit(size)
 
 
+def page_directory(df: DataFrame, size: int, key: str = "number") -> DataFrame:
+    """page, first_key: with which key each page of ``size`` rows begins, pages counted from 0.
+
+    The keys alone are sorted once, in ranges, and numbered by the rows of the ranges before.
+    Stored next to the table, the directory makes every page a range of keys. Keys are unique;
+    rows without one are on no page.
+    """
+    keys = df.select(key).filter(F.col(key).isNotNull()).repartitionByRange(key)
+    keys = stored(keys.withColumn("_range", F.spark_partition_id()), "page-keys")
+    ranges = keys.groupBy("_range").agg(F.count("*").alias("_n"))  # one row for each range
+    before = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1
+    placed = keys.withColumn("_inside", inside).join(ranges.withColumn("_before", before), "_range")
+    place = F.col("_before") + F.col("_inside")
+    first = placed.filter(place % size == 0)
+    return first.select(F.floor(place / size).cast("long").alias("page"), F.col(key).alias("first_key"))
+
+
+def directory_page(df: DataFrame, directory: DataFrame, page: int, key: str = "number") -> DataFrame:
+    """One page in key order: only the rows between two keys of the directory are read and sorted."""
+    bounds = {r["page"]: r["first_key"] for r in directory.filter(F.col("page").isin(page, page + 1)).collect()}
+    if page not in bounds:
+        return df.limit(0)
+    rows = df.filter(F.col(key) >= bounds[page])
+    if page + 1 in bounds:
+        rows = rows.filter(F.col(key) < bounds[page + 1])
+    return rows.orderBy(key)
+
+
 def preview_incidents(df: DataFrame, rows: int = 3, width: int = 50) -> DataFrame:
     """First incidents with the description cut; ``N/A`` for missing values."""
 

@@ -278,3 +278,13 @@ def analysed(rows: DataFrame) -> DataFrame:
             "priority_justification"
         ),
     )
+
+
+def analysis_as_landed(incidents: DataFrame) -> DataFrame:
+    """The analysis of incidents by themselves, as they land: no journal, no problems.
+
+    The cause comes from closing notes or descriptions, factors from reassignments alone.
+    """
+    unknown = {"sentence": "string", "problem_cause": "string", "span_hours": "double", "detection_hours": "double"}
+    rows = incidents.withColumns({name: F.lit(None).cast(kind) for name, kind in unknown.items()})
+    return analysed(rows.withColumn("n_work_notes", F.lit(0).cast("bigint")))

@@ -1,4 +1,4 @@
-"""Enrichment and redaction of exports as they land.
+"""Enrichment, redaction and row-wise analysis of exports as they land.
 
 Every step works on one row, so the batch functions apply to a stream unchanged and no
 state or watermark is needed.
@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.enrich import enrich_incidents
+from ..operators.rca import analysis_as_landed
 from ..operators.redact import redact_live_export
 from ..sources.schemas import envelope
 
@@ -33,3 +34,21 @@ def write_redacted(rows: DataFrame, path: str, checkpoint: str, salt: str) -> St
         .trigger(availableNow=True)
         .start()
     )
+
+
+def write_analysis(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Analyse all incidents that have landed, and stop; results lie in ``batch=<id>`` folders.
+
+    A batch that is tried again, after a failure between its results and the commit, has the
+    same id and the same rows, and replaces its folder: nothing is there twice.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        analysis_as_landed(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        rows.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

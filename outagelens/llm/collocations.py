@@ -39,10 +39,11 @@ SCALE = 2_000_000
 COVERED = 80
 #: Bounds of one broadcast part: frequent words, phrases of a trie, buckets (a bit each).
 PART_WORDS = 500_000
-PART_PHRASES = 500_000
+PART_PHRASES = 300_000
 MOST_BUCKETS = 1 << 26
-#: Buckets are summed in blocks of this many.
+#: Buckets and phrases are summed in blocks of this many.
 BLOCK = 1 << 16
+_BLOCK_ROW = "block int, places binary, counts binary"
 
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\x0a\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz" + b"." * 9)
 
@@ -72,6 +73,11 @@ class _Numbers(dict):
         return 0
 
 
+def _numbers(text: bytes, numbers: _Numbers) -> np.ndarray:
+    words = tokens(b"." + text)
+    return np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+
+
 def _let_go(part: Broadcast, parts: list[Broadcast]) -> None:
     """Of several parts a task holds one at a time; the file on its machine is read again."""
     if len(parts) > 1:
@@ -83,12 +89,10 @@ def _encoder(parts: list[Broadcast]):
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            split = [(lang, [b".", *tokens(text)]) for lang, text in zip(batch["lang"], batch["text"], strict=True)]
-            sizes = np.array([len(words) for _, words in split], dtype=np.int64)
-            found = np.zeros(sizes.sum(), dtype=np.int32)
-            for part in parts:
+            found = np.zeros(1, dtype=np.int32)
+            for part in parts:  # a text's words are held by one text at a time
                 numbers, none = part.value, _Numbers()
-                rows = [np.fromiter(map(numbers.get(lang, none).__getitem__, words), np.int32, len(words)) for lang, words in split]
+                rows = [_numbers(text, numbers.get(lang, none)) for lang, text in zip(batch["lang"], batch["text"], strict=True)]
                 found = np.maximum(found, np.concatenate(rows))
                 _let_go(part, parts)
             # Runs of zeros say no more than one.
@@ -104,85 +108,79 @@ def _encoder(parts: list[Broadcast]):
 class DoubleArray:
     """A trie of equally long sequences of positive numbers in two arrays.
 
-    State s goes with number c to t = base[s] + c if check[t] = s. ``accept`` holds the row of
-    the sequence that ends in a state, else -1. State 0 is the root.
+    Numbers are spelled in digits of `DIGIT` bits, so that a state has few children and these
+    find room among each other. State s goes with digit c to t = base[s] + c if check[t] = s.
+    ``accept`` holds the row of the sequence that ends in a state, else -1. State 0 is the root.
     """
 
+    DIGIT = 6
+    ROOM = 4  # places for each state
+    _FREE, _ROOT = -1, -2
+
     def __init__(self, rows: np.ndarray):
         """rows: different sequences, sorted, one in each row."""
+        self.rows = rows
         n, self.length = rows.shape
-        alphabet = int(rows.max()) + 1 if n else 1
-        self.base = np.zeros(1, dtype=np.int64)
-        self.check = np.full(alphabet, -1, dtype=np.int32)
-        above = np.zeros(n, dtype=np.int64)  # state of each row's prefix
-        for level in range(self.length):
-            fresh = np.ones(n, dtype=bool)
-            fresh[1:] = (rows[1:, : level + 1] != rows[:-1, : level + 1]).any(axis=1)
-            first = np.flatnonzero(fresh)
-            states = self._add(above[first], rows[first, level].astype(np.int64), alphabet, level == 0)
-            above = states[np.cumsum(fresh) - 1]
-        self.base = self._fit(self.base, len(self.check), 0).astype(np.int32)
-        self.accept = np.full(len(self.check), -1, dtype=np.int32)
+        places = max(1, -(-int(rows.max(initial=1)).bit_length() // self.DIGIT))
+        self.shifts = [self.DIGIT * i for i in reversed(range(places))]
+        spelled = [self._digit(rows[:, word], shift) for word in range(self.length) for shift in self.shifts]
+        fresh = np.zeros((len(spelled) + 1, n), dtype=bool)  # by level, the rows that begin a state
+        fresh[:, :1] = True
+        for level, digits in enumerate(spelled):
+            fresh[level + 1, 1:] = fresh[level, 1:] | (digits[1:] != digits[:-1])
+        size = self.ROOM * (int(fresh.sum()) + (2 << self.DIGIT))
+        self.base = np.zeros(size, dtype=np.int32)
+        self.check = np.full(size, self._FREE, dtype=np.int32)
+        self.check[0] = self._ROOT
+        above = np.zeros(n, dtype=np.int64)  # the state of each row's prefix
+        for level, digits in enumerate(spelled):
+            old, new = np.flatnonzero(fresh[level]), np.flatnonzero(fresh[level + 1])
+            states = self._placed(above[old], np.searchsorted(new, old), digits[new])
+            above = states[np.cumsum(fresh[level + 1]) - 1]
+        self.accept = np.full(size, -1, dtype=np.int32)
         self.accept[above] = np.arange(n)
 
-    @staticmethod
-    def _fit(values: np.ndarray, size: int, fill: int) -> np.ndarray:
-        more = max(0, size - len(values))
-        return np.concatenate([values, np.full(more, fill, dtype=values.dtype)])
-
-    def _add(self, parents: np.ndarray, numbers: np.ndarray, alphabet: int, root: bool) -> np.ndarray:
-        """Place the children of one level; parents are sorted by place of appearance. Returns their states."""
-        if root:  # base 0: a number is its own state
-            self.check[numbers] = 0
-            return numbers
-        starts = np.flatnonzero(np.concatenate([[True], parents[1:] != parents[:-1]])) if len(parents) else np.zeros(0, np.int64)
-        counts = np.diff(np.append(starts, len(parents)))
-        used = len(self.check)
-        span = alphabet + 3 * len(numbers)
-        self.check = self._fit(self.check, used + span + alphabet, -1)
-        self.base = self._fit(self.base, len(self.check), 0)
-        states = np.zeros(len(parents), dtype=np.int64)
-        rng = np.random.default_rng(len(numbers))
-        many = np.flatnonzero(counts > 8)
-        for i in many[np.argsort(-counts[many], kind="stable")]:  # the widest while there is room
-            own = numbers[starts[i] : starts[i] + counts[i]]
-            while True:
-                base = used + int(rng.integers(span))
-                if (self.check[base + own] < 0).all():
-                    break
-            self._settle(parents[starts[i]], base, own, states, starts[i])
-        for width in range(8, 0, -1):  # those of equal width together
+    def _digit(self, numbers: np.ndarray, shift: int) -> np.ndarray:
+        return numbers >> shift & (1 << self.DIGIT) - 1
+
+    def _placed(self, parents: np.ndarray, starts: np.ndarray, digits: np.ndarray) -> np.ndarray:
+        """States for the children of one level: of each parent the digits from its start on.
+
+        Parents of equal width draw a base each; those whose places are free keep it, the others draw anew.
+        """
+        counts = np.diff(np.append(starts, len(digits)))
+        states = np.zeros(len(digits), dtype=np.int64)
+        rng = np.random.default_rng(len(digits))
+        for width in range(1 << self.DIGIT, 0, -1):  # the widest while there is most room
             left = np.flatnonzero(counts == width)
             while len(left):
-                bases = used + rng.integers(span, size=len(left))
-                places = bases[:, None] + numbers[starts[left][:, None] + np.arange(width)]
-                free = (self.check[places] < 0).all(axis=1)
+                bases = rng.integers(1, len(self.check) - (1 << self.DIGIT), size=len(left))
+                own = starts[left][:, None] + np.arange(width)
+                places = bases[:, None] + digits[own]
+                free = (self.check[places] == self._FREE).all(axis=1)
                 _, first = np.unique(places[free].ravel(), return_index=True)
                 clear = np.zeros(int(free.sum()) * width, dtype=bool)
                 clear[first] = True
                 good = np.flatnonzero(free)[clear.reshape(-1, width).all(axis=1)]
-                owners = parents[starts[left[good]]]
+                owners = parents[left[good]]
                 self.base[owners] = bases[good]
                 self.check[places[good]] = owners[:, None]
-                states[starts[left[good]][:, None] + np.arange(width)] = places[good]
+                states[own[good]] = places[good]
                 left = np.delete(left, good)
         return states
 
-    def _settle(self, parent: int, base: int, numbers: np.ndarray, states: np.ndarray, start: int) -> None:
-        self.base[parent] = base
-        self.check[base + numbers] = parent
-        states[start : start + len(numbers)] = base + numbers
-
     def accepted(self, ids: np.ndarray) -> np.ndarray:
         """By position, the row of the sequence that starts there, -1 where none does."""
         found = np.full(len(ids), -1, dtype=np.int64)
         places = np.arange(max(0, len(ids) - self.length + 1))
         state = np.zeros(len(places), dtype=np.int64)
-        for level in range(self.length):  # all positions go one level down together
-            number = ids[places + level]
-            following = np.minimum(self.base[state] + number.astype(np.int64), len(self.check) - 1)
-            alive = (number > 0) & (self.check[following] == state)
-            places, state = places[alive], following[alive]
+        for word in range(self.length):
+            known = ids[places + word] > 0
+            places, state = places[known], state[known]
+            for shift in self.shifts:  # all positions go one level down together
+                following = self.base[state] + self._digit(ids[places + word], shift)
+                alive = self.check[following] == state
+                places, state = places[alive], following[alive]
         found[places] = self.accept[state]
         return found
 
@@ -223,38 +221,46 @@ def _bucket(windows: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed % np.uint64(buckets)).astype(np.int64)
 
 
+def _in_blocks(places: np.ndarray, counts: np.ndarray, kind: str) -> pd.DataFrame:
+    """Rising places and their counts, a row for each block of places."""
+    blocks, first = np.unique(places // BLOCK, return_index=True)
+    places, counts, ends = (places % BLOCK).astype("<u2"), counts.astype(kind), [*first[1:], len(places)]
+    rows = [(block, places[a:z].tobytes(), counts[a:z].tobytes()) for block, a, z in zip(blocks, first, ends[: len(first)], strict=True)]
+    return pd.DataFrame(rows, columns=["block", "places", "counts"])
+
+
+def _block_totals(batches: Iterator[pd.DataFrame], kind: str) -> Iterator[tuple[int, np.ndarray]]:
+    """The sums of rows that come sorted by block; one block is held at a time."""
+    block, total = None, np.zeros(BLOCK, dtype=np.int64)
+    for batch in batches:
+        for now, places, counts in zip(batch["block"], batch["places"], batch["counts"], strict=True):
+            if block is not None and now != block:
+                yield block, total
+                total = np.zeros(BLOCK, dtype=np.int64)
+            block = now
+            total[np.frombuffer(places, "<u2")] += np.frombuffer(counts, kind)
+    if block is not None:
+        yield block, total
+
+
 def _bucket_counter(length: int, buckets: int, shorter: list[Broadcast], least: int):
-    """Counts of buckets, by block: places and counts side by side, counts up to ``least`` only."""
+    """Occurrences by bucket, up to ``least`` of each array only: more would not tell more."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for ids in _arrays(batches):
             places = _safe_places(ids, length, shorter)
             found, n = np.unique(_bucket(_windows(ids, places, length), buckets), return_counts=True)
-            n = np.minimum(n, least).astype("<u2")  # more would not tell more
-            cuts = np.searchsorted(found, np.arange(0, buckets, BLOCK)[1:])
-            rows = zip(np.split((found % BLOCK).astype("<u2"), cuts), np.split(n, cuts), strict=True)
-            rows = [(block, at.tobytes(), some.tobytes()) for block, (at, some) in enumerate(rows) if len(at)]
-            yield pd.DataFrame(rows, columns=["block", "places", "counts"])
+            yield _in_blocks(found, np.minimum(n, least), "<u2")
 
     return count
 
 
 def _block_marker(least: int):
-    """Per block the bits of the buckets that reach ``least``; rows come sorted by block."""
+    """Per block the bits of the buckets that reach ``least``."""
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, total = None, None
-        for batch in batches:
-            done = []
-            for now, places, counts in zip(batch["block"], batch["places"], batch["counts"], strict=True):
-                if now != block:
-                    if block is not None:
-                        done.append((block, np.packbits(total >= least).tobytes()))
-                    block, total = now, np.zeros(BLOCK, dtype=np.int64)
-                total[np.frombuffer(places, "<u2")] += np.frombuffer(counts, "<u2")
-            yield pd.DataFrame(done, columns=["block", "bits"])
-        if block is not None:
-            yield pd.DataFrame([(block, np.packbits(total >= least).tobytes())], columns=["block", "bits"])
+        for block, total in _block_totals(batches, "<u2"):
+            yield pd.DataFrame({"block": [block], "bits": [np.packbits(total >= least).tobytes()]})
 
     return mark
 
@@ -274,19 +280,30 @@ def _candidate_finder(length: int, buckets: int, shorter: list[Broadcast], marks
 
 
 def _phrase_counter(trie: Broadcast):
-    """Accepting states of each array of texts, counted."""
+    """Accepting states of a task's arrays, counted."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        automaton = trie.value
-        total = np.zeros(int(automaton.accept.max()) + 2, dtype=np.int64)
+        total = np.zeros(len(trie.value.rows) + 1, dtype=np.int64)
         for ids in _arrays(batches):
-            total += np.bincount(automaton.accepted(ids) + 1, minlength=len(total))
+            total += np.bincount(trie.value.accepted(ids) + 1, minlength=len(total))
         found = np.flatnonzero(total[1:])
-        yield pd.DataFrame({"row": found, "f": total[1:][found]})
+        yield _in_blocks(found, total[1:][found], "<i8")
 
     return count
 
 
+def _phrase_totals(trie: Broadcast, least: int):
+    """The trie's sequences that all tasks together counted ``least`` times."""
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block, total in _block_totals(batches, "<i8"):
+            found = np.flatnonzero(total >= least)
+            words = trie.value.rows[block * BLOCK + found]
+            yield pd.DataFrame({f"w{i}": words[:, i] for i in range(words.shape[1])} | {"f": total[found]})
+
+    return sums
+
+
 # --- The levels ------------------------------------------------------------------------------
 
 
@@ -314,8 +331,8 @@ def _word_parts(spark: SparkSession, numbered: DataFrame, count: int, size: int)
     return parts
 
 
-def _trie_parts(spark: SparkSession, phrases: DataFrame, length: int, size: int) -> Iterator[tuple[np.ndarray, Broadcast]]:
-    """Sorted phrases and their trie, in parts of bounded size dealt by hash."""
+def _trie_parts(spark: SparkSession, phrases: DataFrame, length: int, size: int) -> Iterator[Broadcast]:
+    """Phrases as tries of bounded size, dealt by hash; the next is made when it is asked for."""
     names = [f"w{i}" for i in range(length)]
     parts = max(1, -(-phrases.count() // size))
     for part in range(parts):
@@ -323,30 +340,32 @@ def _trie_parts(spark: SparkSession, phrases: DataFrame, length: int, size: int)
         rows = some.select(*names).toPandas().to_numpy(dtype=np.int32).reshape(-1, length)
         if len(rows):
             rows = rows[np.lexsort(rows.T[::-1])]
-            yield rows, spark.sparkContext.broadcast(DoubleArray(rows))
+            yield spark.sparkContext.broadcast(DoubleArray(rows))
 
 
 def _level(spark: SparkSession, encoded: DataFrame, length: int, shorter: list[Broadcast], total: int, least: int, size: int) -> DataFrame:
     """(w0, ..., f): all phrases of a length that occur often enough."""
     names = [f"w{i}" for i in range(length)]
     buckets = min(MOST_BUCKETS, max(BLOCK, 1 << int(total // 4).bit_length()))
-    counted = encoded.mapInPandas(_bucket_counter(length, buckets, shorter, least), "block int, places binary, counts binary")
-    blocks = counted.repartition("block").sortWithinPartitions("block").mapInPandas(_block_marker(least), "block int, bits binary")
+    counted = encoded.mapInPandas(_bucket_counter(length, buckets, shorter, least), _BLOCK_ROW)
     bits = np.zeros(buckets // 8, dtype=np.uint8)
-    for block, some in blocks.collect():  # a bit for each bucket, at most MOST_BUCKETS
+    for block, some in _by_block(counted).mapInPandas(_block_marker(least), "block int, bits binary").collect():
+        # A bit for each bucket, so at most MOST_BUCKETS.
         bits[block * (BLOCK // 8) : (block + 1) * (BLOCK // 8)] = np.frombuffer(some, np.uint8)
     marks = spark.sparkContext.broadcast(bits)
-    finder = _candidate_finder(length, buckets, shorter, marks)
-    candidates = kept(encoded.mapInPandas(finder, ", ".join(f"{x} int" for x in names)).distinct(), f"candidates-{length}")
+    row = ", ".join(f"{x} int" for x in names)
+    candidates = kept(encoded.mapInPandas(_candidate_finder(length, buckets, shorter, marks), row).distinct(), f"candidates-{length}")
+    marks.unpersist()
     counts = []
-    for rows, trie in _trie_parts(spark, candidates, length, size):
-        sums = encoded.mapInPandas(_phrase_counter(trie), "row long, f long").groupBy("row").agg(F.sum("f").alias("f"))
-        named = pd.DataFrame(rows, columns=names).assign(row=np.arange(len(rows)))
-        counts.append(kept(sums.filter(F.col("f") >= least).join(spark.createDataFrame(named), "row").select(*(F.col(x).cast("int") for x in names), "f"), f"phrases-{length}"))
+    for trie in _trie_parts(spark, candidates, length, size):
+        sums = _by_block(encoded.mapInPandas(_phrase_counter(trie), _BLOCK_ROW))
+        counts.append(kept(sums.mapInPandas(_phrase_totals(trie, least), f"{row}, f long"), f"phrases-{length}"))
         trie.unpersist()
-    marks.unpersist()
-    empty = spark.createDataFrame([], ", ".join(f"{x} int" for x in names) + ", f long")
-    return reduce(DataFrame.unionByName, counts, empty)
+    return reduce(DataFrame.unionByName, counts, spark.createDataFrame([], f"{row}, f long"))
+
+
+def _by_block(rows: DataFrame) -> DataFrame:
+    return rows.repartition("block").sortWithinPartitions("block")
 
 
 def collocations(
@@ -386,7 +405,7 @@ def collocations(
         phrases = _level(spark, encoded, length, shorter, total, least, part_phrases)
         for part in shorter:
             part.unpersist()
-        shorter = [part for _, part in _trie_parts(spark, phrases, length, part_phrases)] if length < longest else []
+        shorter = list(_trie_parts(spark, phrases, length, part_phrases)) if length < longest else []
         levels.append(phrases.select(F.array(*(f"w{i}" for i in range(length))).alias("ids"), "f"))
     every = kept(reduce(DataFrame.unionByName, levels), "phrases")
     return _ranked(every, numbered, totals, reported)
@@ -408,13 +427,14 @@ def _ranked(every: DataFrame, numbered: DataFrame, totals: DataFrame, reported:
     covered = F.expr(f"100 * cast(longer AS {wide}) >= {COVERED} * cast(a AS {wide})")
     stay = lowest.join(longer, "ids", "left").filter(~F.coalesce(covered, F.lit(False)))
 
+    stay = kept(stay, "ranked-phrases")
     spelled = stay.select("ids", F.posexplode("ids").alias("i", "id")).join(numbered.select("id", "lang", "word"), "id")
     spelled = spelled.groupBy("ids", "lang").agg(F.sort_array(F.collect_list(F.struct("i", F.col("word").cast("string").alias("word")))).alias("w"))
     spelled = spelled.select("ids", "lang", F.array_join("w.word", " ").alias("phrase"))
     rows = stay.join(spelled, "ids").select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     order = "row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)"
-    rows = rows.withColumn("rank", F.expr(order).cast("long")).filter(F.col("rank") <= reported)
-    return rows.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    rows = rows.withColumn("rank", F.expr(order)).filter(F.col("rank") <= reported)
+    return rows.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def collocations_sql() -> str:

@@ -43,6 +43,8 @@ PART_PHRASES = 300_000
 MOST_BUCKETS = 1 << 26
 #: Buckets and phrases are summed in blocks of this many.
 BLOCK = 1 << 16
+#: Parts in which a language's phrases are ranked before they meet.
+PARTS = 32
 _BLOCK_ROW = "block int, places binary, counts binary"
 
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\x0a\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz" + b"." * 9)
@@ -432,8 +434,10 @@ def _ranked(every: DataFrame, numbered: DataFrame, totals: DataFrame, reported:
     spelled = spelled.groupBy("ids", "lang").agg(F.sort_array(F.collect_list(F.struct("i", F.col("word").cast("string").alias("word")))).alias("w"))
     spelled = spelled.select("ids", "lang", F.array_join("w.word", " ").alias("phrase"))
     rows = stay.join(spelled, "ids").select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    order = "row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)"
-    rows = rows.withColumn("rank", F.expr(order)).filter(F.col("rank") <= reported)
+    # A language's phrases are cut down in parts first, so that few of them meet in one task.
+    order = "row_number() OVER (PARTITION BY {} ORDER BY score DESC, a DESC, phrase)"
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).withColumn("rank", F.expr(order.format("lang, part")))
+    rows = rows.filter(F.col("rank") <= reported).withColumn("rank", F.expr(order.format("lang"))).filter(F.col("rank") <= reported)
     return rows.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 

@@ -126,6 +126,13 @@ def _text(value: object) -> str:
     return str(value)
 
 
+def _remainder(a: object, b: object) -> int:
+    """Of numbers only: of texts, % would format and could make any length."""
+    if type(a) is not int or type(b) is not int or b == 0:
+        raise TemplateError("% needs whole numbers, the second not zero")
+    return a % b
+
+
 _OPERATORS: dict[str, Callable] = {
     "==": operator.eq,
     "!=": operator.ne,
@@ -135,7 +142,7 @@ _OPERATORS: dict[str, Callable] = {
     ">=": operator.ge,
     "+": operator.add,
     "-": operator.sub,
-    "%": operator.mod,
+    "%": lambda a, b: _remainder(a, b),
     "~": lambda a, b: _text(a) + _text(b),
     "in": lambda a, b: a in b,
     "not": operator.not_,
@@ -147,10 +154,25 @@ _OPERATORS: dict[str, Callable] = {
 }
 
 
+def _checked(call: Callable) -> Callable:
+    """Values that an operator can't take are the template's fault."""
+
+    def apply(*values: object) -> object:
+        try:
+            return call(*values)
+        except TypeError as error:
+            raise TemplateError(str(error)) from None
+
+    return apply
+
+
 # --- Parser -------------------------------------------------------------------------------------
 
 
-_PARTS = re.compile(r"(\{\{.*?\}\}|\{%.*?%\}|\{#.*?#\})", re.DOTALL)
+_QUOTED = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
+_PARTS = re.compile(rf"(\{{\{{(?:{_QUOTED}|[^'\"])*?\}}\}}|\{{%(?:{_QUOTED}|[^'\"])*?%\}}|\{{#.*?#\}})", re.DOTALL)
+#: Most expressions inside each other, and words and marks of one expression.
+DEPTH, LENGTH = 60, 300
 _TOKENS = re.compile(
     r"""\s*(?:(?P<text>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<number>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<mark>==|!=|<=|>=|[<>+\-%~|.()\[\]=]))""",
     re.DOTALL,
@@ -171,7 +193,18 @@ class _Expression:
                 raise TemplateError(f"can't read {source[at:]!r}")
             self.tokens.append((found.lastgroup, found[found.lastgroup]))
             at = found.end()
+        if len(self.tokens) > LENGTH:
+            raise TemplateError(f"an expression of more than {LENGTH} words and marks")
         self.at = 0
+        self.depth = 0
+
+    def deeper(self, rule: Callable[[], object]) -> object:
+        self.depth += 1
+        if self.depth > DEPTH:
+            raise TemplateError(f"more than {DEPTH} expressions inside each other")
+        value = rule()
+        self.depth -= 1
+        return value
 
     def peek(self) -> str:
         return self.tokens[self.at][1] if self.at < len(self.tokens) and self.tokens[self.at][0] != "text" else ""
@@ -209,7 +242,7 @@ class _Expression:
     def negated(self) -> object:
         if self.peek() == "not":
             self.take()
-            return Apply("not", (self.negated(),))
+            return Apply("not", (self.deeper(self.negated),))
         value = self.sum()
         while self.peek() in ("==", "!=", "<", "<=", ">", ">=", "in"):
             value = Apply(self.take(), (value, self.sum()))
@@ -243,7 +276,7 @@ class _Expression:
         elif kind == "name":
             value = Const(_WORDS[token]) if token in _WORDS else Name(token)
         elif token == "(":
-            value = self.either()
+            value = self.deeper(self.either)
             self.expect(")")
         else:
             raise TemplateError(f"{token!r} is out of place")
@@ -251,7 +284,7 @@ class _Expression:
             if self.take() == ".":
                 value = Key(value, Const(self.take("name")))
             else:
-                value = Key(value, self.either())
+                value = Key(value, self.deeper(self.either))
                 self.expect("]")
         return value
 
@@ -259,6 +292,9 @@ class _Expression:
 def parse(source: str) -> Block:
     """The syntax tree of a template."""
     parts = [x for x in _PARTS.split(source) if x and not x.startswith("{#")]
+    for part in parts:
+        if "{{" in part and not part.startswith(("{{", "{%")) or part.startswith(("{{", "{%")) and not part.endswith(("}}", "%}")):
+            raise TemplateError(f"can't read {part[:80]!r}")
     block, left = _block(parts, 0, ())
     if left < len(parts):
         raise TemplateError(f"{parts[left]!r} is out of place")
@@ -331,7 +367,7 @@ def fold(node: object) -> object:
             args = tuple(map(fold, args))
             if all(isinstance(x, Const) for x in args):
                 try:
-                    return Const(_OPERATORS[name](*(x.value for x in args)))
+                    return Const(_checked(_OPERATORS[name])(*(x.value for x in args)))
                 except (TypeError, ZeroDivisionError) as error:
                     raise TemplateError(str(error)) from error
             return Apply(name, args)
@@ -419,7 +455,7 @@ def _value(node: object) -> Callable[[dict], object]:
                 return lambda scope: get_left(scope) and get_right(scope)
             return lambda scope: get_left(scope) or get_right(scope)
         case Apply(name, args):
-            call, gets = _OPERATORS[name], [_value(x) for x in args]
+            call, gets = _checked(_OPERATORS[name]), [_value(x) for x in args]
             if len(gets) == 1:
                 get = gets[0]
                 return lambda scope: call(get(scope))
@@ -455,6 +491,8 @@ def _action(node: object) -> Callable[[dict, _Out], None]:
 
             def loop(scope: dict, out: _Out) -> None:
                 items = get_items(scope) or ()
+                if not isinstance(items, (list, tuple)):
+                    raise TemplateError(f"{name!r} can't run over {type(items).__name__}")
                 last = len(items) - 1
                 for i, item in enumerate(items):
                     place = {"index0": i, "index": i + 1, "first": i == 0, "last": i == last}

@@ -320,7 +320,9 @@ def drop_rejected(docs: DataFrame, model: LanguageModel, contradiction: float =
 
     A row goes if its language is undetermined, or if it names a learned language and this one
     falls behind the predicted one by at least the given score, whatever lies between. Rows with
-    a null ``lang`` are judged by the first rule only.
+    a null ``lang`` are judged by the first rule only. Null, empty and blank texts are
+    undetermined; repeated rows are judged alike; an empty table gives no rows; further columns
+    may have any names.
     """
     found = free_name(docs, "found")
     claim = docs["lang"].cast("string")

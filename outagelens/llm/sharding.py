@@ -15,10 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import free_name, kept
 
-#: Rows that one range of the global order holds, about.
+#: Rows that one range of the global order holds, about, as long as there are no more than so many ranges.
 ROWS_PER_RANGE = 50_000
+MOST_RANGES = 10_000
 
 
 def byte_shards(
@@ -34,40 +35,32 @@ def byte_shards(
     range a row lands in and its place there are fixed by a table written once, and rows that
     agree in all of ``order`` are interchangeable. ``size`` is a non-null long. An empty table
     gives an empty table; if all sizes are zero, everything goes to shard 0. Columns named
-    ``shard``, ``slot`` or ``_range`` are replaced.
+    ``shard`` or ``slot`` are replaced, others may have any names.
     """
-    rows = rows.drop("shard", "slot", "_range", "_in_range", "_place")
-    count = rows.count()
-    ranges = max(1, -(-count // rows_per_range))
+    rows = rows.drop("shard", "slot")
+    near, at, here, place, first = (free_name(rows, name) for name in ("_range", "_at", "_in_range", "_place", "_first"))
+    bytes_before, rows_before = free_name(rows, "_bytes_before"), free_name(rows, "_rows_before")
+    ranges = min(MOST_RANGES, max(1, -(-rows.count() // rows_per_range)))
     keys = [F.col(name).asc_nulls_first() for name in order]
-    dealt = rows.repartitionByRange(ranges, *keys).withColumn("_range", F.spark_partition_id())
+    dealt = rows.repartitionByRange(ranges, *keys).withColumn(near, F.spark_partition_id())
     dealt = kept(dealt, "shard-ranges")
 
-    totals = dealt.groupBy("_range").agg(F.sum(size).alias("_bytes"), F.count("*").alias("_rows"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(near).agg(F.sum(size).alias(bytes_before), F.count("*").alias(rows_before))
+    total = totals.agg(F.sum(bytes_before)).first()[0] or 0
+    before = Window.orderBy(near).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(  # one row for each range
-        "_range",
-        F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_bytes_before"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
+        near, *(F.coalesce(F.sum(x).over(before), F.lit(0)).alias(x) for x in (bytes_before, rows_before))
     )
-    total = totals.agg(F.sum("_bytes")).first()[0] or 0
 
-    inside = Window.partitionBy("_range").orderBy(*keys)
+    inside = Window.partitionBy(near).orderBy(*keys)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = dealt.withColumns(
-        {"_in_range": F.sum(size).over(running), "_place": F.row_number().over(inside)}
-    )
-    placed = placed.join(starts, "_range")
-    cut = _shard_of(F.col("_bytes_before") + F.col("_in_range"), F.col(size), total, shards)
-    placed = placed.select(
-        *rows.columns,
-        cut.alias("shard"),
-        (F.col("_rows_before") + F.col("_place") - 1).alias("_place"),
-    )
+    placed = dealt.withColumns({here: F.sum(size).over(running), at: F.row_number().over(inside)}).join(starts, near)
+    cut = _shard_of(F.col(bytes_before) + F.col(here), F.col(size), total, shards)
+    placed = placed.select(*rows.columns, cut.alias("shard"), (F.col(rows_before) + F.col(at) - 1).alias(place))
     placed = kept(placed, "shard-places")
-    firsts = placed.groupBy("shard").agg(F.min("_place").alias("_first"))
+    firsts = placed.groupBy("shard").agg(F.min(place).alias(first))
     slots = placed.join(F.broadcast(firsts), "shard")  # a row for each shard
-    return slots.select(*rows.columns, "shard", (F.col("_place") - F.col("_first")).alias("slot"))
+    return slots.select(*rows.columns, "shard", (F.col(place) - F.col(first)).alias("slot"))
 
 
 def _shard_of(end: Column, size: Column, total: int, shards: int) -> Column:

@@ -430,7 +430,11 @@ def score_documents(docs: DataFrame, lexicon: ToxicLexicon, key: str = "doc_id",
 
 
 def drop_toxic(docs: DataFrame, lexicon: ToxicLexicon, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows, with all their columns, whose score is below the threshold."""
+    """The rows, with all their columns, whose score is below the threshold.
+
+    Null, empty and blank texts have no match and stay; repeated rows are judged alike; an
+    empty table gives no rows; further columns may have any names.
+    """
     score = free_name(docs, "score")
     marked = docs.withColumn(score, score_column(lexicon)(whole_text(docs["text"])))
     return marked.filter(F.col(score) < threshold).select(*(marked[name] for name in docs.columns))

@@ -294,6 +294,15 @@ def test_shards_equal_a_prefix_sum(documents, no_documents):
     assert empty.count() == 0 and "shard" in empty.columns
 
 
+def test_shards_keep_columns_of_any_name(ready):
+    names = ("_first", "_range", "_in_range", "_place", "_bytes_before", "_rows_before", "_at")
+    rows = ready.range(50).select("id", F.lit(3).cast("long").alias("size"), *(F.col("id").alias(x) for x in names))
+    placed = sharding.byte_shards(rows, ["id"], shards=5, rows_per_range=7)
+    assert placed.columns == [*rows.columns, "shard", "slot"]
+    found = sorted(tuple(r) for r in placed.select("id", "_first", "_at", "shard", "slot").collect())
+    assert found == [(i, i, i, i // 10, i % 10) for i in range(50)]
+
+
 def test_shards_are_balanced_and_native(ready):
     sized = sharding.sized_documents(table(ready, "/root/testdata/sf0.01", "documents"))
     placed = sharding.byte_shards(sized, ("doc_id",))
@@ -597,6 +606,20 @@ def test_templates_render_fold_and_refuse():
             chat_template.Template(reach).render(x=object(), messages=[])
 
 
+@pytest.mark.parametrize(
+    "source",
+    ["{{ '%5000000s' % 'x' }}", "{{ 5 % 0 }}", "{% for x in 5 %}a{% endfor %}", "{{ " + "(" * 3000 + "1" + ")" * 3000 + " }}",
+     "{{ " + "not " * 3000 + "1 }}", "{{ " + "1 + " * 3000 + "1 }}", "{{ 1 + 'a' }}", "{{ 5|length }}", "{{ 'open }}", "{{ 1"],
+)
+def test_what_a_template_may_not_do_is_its_error(source):
+    with pytest.raises(chat_template.TemplateError):
+        chat_template.Template(source).render(messages=[])
+
+
+def test_marks_inside_texts_end_no_tag():
+    assert chat_template.Template("{{ '}}' }}{% if '%}' == \"%}\" %}a{% endif %}{{ 7 % 4 }}").render()[0] == "}}a3"
+
+
 def test_conversations_come_back_whole(ready):
     odd = [chat_template.CONTROL_CONVERSATION, "", None, "<turn>x<text>y</turn>\n", "\\", "\\\\<", "<", "é\n\n😀" * 50]
     rows = [(1, i, ("assistant", "user", None)[i % 3], text, "z") for i, text in enumerate(odd)]

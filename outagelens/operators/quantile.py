@@ -45,7 +45,9 @@ def median_of_counts(counts: DataFrame, by: Sequence[str], name: str = "median")
     group meets the counts by broadcast if the groups, which are counted, are few, else by a
     shuffled join. Without ``by`` all rows are one group, and there is nothing to count.
     """
-    counts = counts.select(*by, *([] if by else [F.lit(0).alias(ALL_ROWS)]), "_value", "_n").filter(F.col("_value").isNotNull())
+    # One group for all rows is a column too, so that counts and state meet on equal keys.
+    keys = [F.col(name) for name in by] or [(F.col("_value") % 1).cast("int").alias(ALL_ROWS)]
+    counts = counts.filter(F.col("_value").isNotNull()).select(*keys, "_value", "_n")
     few = not by or counts.select(*by).distinct().limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     by = list(by) or [ALL_ROWS]
     # _rank: how many values come before the lower middle one.

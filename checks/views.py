@@ -50,8 +50,8 @@ def _by_value(column: Column, pairs: dict[str, str], otherwise: str | None = Non
 
 
 SHORT_DESCRIPTIONS = (
-    "WiFi connectivity issue", "VPN connection failing", "Network printer not responding",
-    "Slow performance on host", "DNS resolution problems", "Badge reader offline at the gate",
+    "WiFi connectivity issue", "VPN connection failing", "Network drive shows no folders",
+    "Slow performance on host", "DNS answers late for two sites", "Badge reader offline at the gate",
 )
 PRIORITIES = {
     "1-URGENT": "1 - Critical", "2-HIGH": "2 - High", "3-MEDIUM": "3 - Moderate",

@@ -62,9 +62,9 @@ def test_hash(values):
 
 
 def test_locations(values):
-    rows = ["70012 - Bursa - Turkey / Depot 7 (Wing B)", "Building-A-Floor-2", None]
-    assert values(redaction.location_country("l"), "l string", rows) == ["Turkey", "Building-A-Floor-2", None]
-    assert values(redaction.location_prefix("l"), "l string", rows) == ["70012 ", "Building", None]
+    rows = ["70012 - Bursa - Turkey / Depot 7 (Wing B)", "Depot-7-Hall-C", None]
+    assert values(redaction.location_country("l"), "l string", rows) == ["Turkey", "Depot-7-Hall-C", None]
+    assert values(redaction.location_prefix("l"), "l string", rows) == ["70012 ", "Depot", None]
 
 
 def frame(spark):

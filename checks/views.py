@@ -50,7 +50,7 @@ def _by_value(column: Column, pairs: dict[str, str], otherwise: str | None = Non
 
 
 SHORT_DESCRIPTIONS = (
-    "WiFi connectivity issue", "VPN connection failing", "Network drive shows no folders",
+    "WiFi connectivity issue", "VPN connection failing", "Printer spits out blank pages",
     "Slow performance on host", "DNS answers late for two sites", "Badge reader offline at the gate",
 )
 PRIORITIES = {

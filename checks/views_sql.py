@@ -11,7 +11,7 @@ VIEWS = {
                CASE WHEN o_orderkey % 10 IN (3, 6, 9) THEN md5('INC' || lpad((o_orderkey - o_orderkey % 10)::VARCHAR,
                     greatest(length((o_orderkey - o_orderkey % 10)::VARCHAR), 7)::INTEGER, '0')) END AS parent,
                CASE o_orderkey % 7 WHEN 0 THEN 'WiFi connectivity issue' WHEN 1 THEN 'VPN connection failing'
-                    WHEN 2 THEN 'Network drive shows no folders' WHEN 3 THEN 'Slow performance on host'
+                    WHEN 2 THEN 'Printer spits out blank pages' WHEN 3 THEN 'Slow performance on host'
                     WHEN 4 THEN 'DNS answers late for two sites' WHEN 5 THEN 'Badge reader offline at the gate' END AS short_description,
                'Reported by ' || c_name || ' near Room ' || (o_orderkey % 90)::VARCHAR
                     || ', affecting ' || (o_orderkey % 300)::VARCHAR || ' users' AS description,

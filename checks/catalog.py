@@ -13,6 +13,7 @@ from outagelens.operators import (
     bundle,
     enrich,
     filters,
+    layout,
     profile,
     quantile,
     rca,
@@ -1221,9 +1222,7 @@ def _length(list_json: str) -> str:
     return f"json_array_length({list_json})::VARCHAR"
 
 
-@check(
-    "report_json",
-    f"""SELECT i.number, 0::BIGINT AS part,
+JSON_SQL = f"""SELECT i.number, 0::BIGINT AS part,
                '{{"metadata":{{"generated_at":"{CLOCK.replace(' ', 'T')}","incident_number":"' || i.number || '"}},"incident":'
                || {_record_json()}
                || ',"analysis":' || to_json(struct_pack(root_cause := root_cause,
@@ -1242,12 +1241,32 @@ def _length(list_json: str) -> str:
                || ',"related_problems":' || {_length(_related_json('problem', 'resolved_at'))}
                || ',"related_changes":' || {_length(_related_json('change', 'closed_at'))} || '}}}}}}' AS report
         FROM incidents i JOIN root_causes USING (sys_id) JOIN factors USING (sys_id) JOIN impacts USING (sys_id)
-        JOIN durations USING (sys_id) JOIN justifications USING (sys_id)""",
-)
+        JOIN durations USING (sys_id) JOIN justifications USING (sys_id)"""
+
+
+@check("report_json", JSON_SQL)
 def report_json(spark, sf_dir):
     return reports.generate_report("json", *_tables(spark, sf_dir), as_of=_as_of())
 
 
+@check(
+    "reports_of_layout",
+    f"""SELECT 'markdown' AS format, number, part, report FROM ({_markdown_sql('report')})
+        UNION ALL SELECT 'json', number, part, report FROM ({JSON_SQL})""",
+)
+def reports_of_layout(spark, sf_dir):
+    """Both kinds of report from events and related records that were stored once by incident."""
+    tables = _tables(spark, sf_dir)
+    digest = rca.stored_digest(tables[1])
+    analysis = stored(rca.rca_analysis(*tables[:3], digest=digest), "analysis")
+    path = scratch_folder(spark, "reports")
+    with layout.incident_layout(*tables, analysis, ("timeline", *bundle.RELATED)) as laid:
+        for name in ("markdown", "json"):
+            rows = reports.generate_report(name, *tables, as_of=_as_of(), digest=digest, layout=laid)
+            rows.write.parquet(f"{path}/format={name}")
+    return spark.read.schema("number string, part bigint, report string, format string").parquet(path)
+
+
 # --- Stages -----------------------------------------------------------------------
 
 

@@ -77,7 +77,12 @@ def related_rows(incidents: DataFrame, problems: DataFrame, changes: DataFrame)
 
 def top_related(incidents: DataFrame, problems: DataFrame, changes: DataFrame, n: int = 5) -> DataFrame:
     """First n related records per sys_id and kind, in number order, cut for display."""
-    rows = related_rows(incidents, problems, changes).select(
+    return first_related(related_rows(incidents, problems, changes), n)
+
+
+def first_related(rows: DataFrame, n: int = 5) -> DataFrame:
+    """First n of related rows per sys_id and kind, in number order, cut for display."""
+    rows = rows.select(
         "sys_id",
         "kind",
         "related_number",

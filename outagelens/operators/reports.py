@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +12,13 @@ from ..functions import report_text as rt
 from ..functions.text import display_value, join_lines, text_or
 from ..functions.times import timestamp_text, to_timestamp
 from ..sources.scratch import stored
-from .bundle import RELATED, incident_bundle
+from .bundle import RELATED, incident_bundle, laid_bundle
+from .layout import Laid, Layout
 from .packing import ordered_list
 from .rca import rca_analysis, stored_digest
-from .related import top_related
+from .related import first_related, top_related
 from .skew import PIECE_ROWS
-from .timeline import optional, top_events
+from .timeline import first_events, more_events, optional, top_events
 
 TIMELINE_ROWS = 20
 RELATED_ROWS = 5
@@ -56,30 +58,47 @@ def advice() -> Column:
     )
 
 
-def _timeline_blocks(incidents: DataFrame, journal: DataFrame, digest: DataFrame | None) -> DataFrame:
-    """Table rows of the first events per sys_id; at most ``TIMELINE_ROWS`` + 1 each."""
-    line = F.concat(
+def _event_line() -> Column:
+    return F.concat(
         F.lit("| "), "timestamp", F.lit(" | "), "event_type", F.lit(" | "), "actor",
         F.lit(" | "), "description", F.lit(" |"),
     )
+
+
+def _timeline_blocks(incidents: DataFrame, journal: DataFrame, digest: DataFrame | None) -> DataFrame:
+    """Table rows of the first events per sys_id; at most ``TIMELINE_ROWS`` + 1 each."""
     return top_events(incidents, journal, TIMELINE_ROWS, digest).groupBy("sys_id").agg(
-        F.array_join(ordered_list(["position"], line), "\n").alias("timeline_block")
+        F.array_join(ordered_list(["position"], _event_line()), "\n").alias("timeline_block")
     )
 
 
+def _laid_timeline_blocks(laid: Laid, digest: DataFrame) -> DataFrame:
+    """The same of stored events: ranked and gathered where they lie."""
+    lines = F.array_join(ordered_list(["position"], _event_line()), "\n").alias("_lines")
+    first = first_events(laid.lists["timeline"], TIMELINE_ROWS).groupBy("sys_id").agg(lines)
+    more = more_events(laid.incidents, digest, TIMELINE_ROWS).select("sys_id", _event_line().alias("_more"))
+    return first.join(more, "sys_id", "left").select("sys_id", F.concat_ws("\n", "_lines", "_more").alias("timeline_block"))
+
+
+def _kind_block(kind: str) -> Column:
+    """Aggregate: the bullets of one kind's first records."""
+    line = rt.bullet(F.concat("related_number", F.lit(": "), "short_description"))
+    mine = F.when(F.col("kind") == kind, F.struct("position", line.alias("_line")))
+    lines = F.transform(F.array_sort(F.collect_list(mine)), lambda e: e["_line"])
+    text = join_lines([F.lit(f"**{RELATED_TITLES[kind]}:**"), F.array_join(lines, "\n"), F.lit("")])
+    return F.when(F.count_if(F.col("kind") == kind) > 0, text).alias(f"{kind}_block")
+
+
 def _related_blocks(incidents: DataFrame, problems: DataFrame, changes: DataFrame) -> DataFrame:
     """Bullets of related records per sys_id; at most ``RELATED_ROWS`` of each kind."""
-    line = rt.bullet(F.concat("related_number", F.lit(": "), "short_description"))
+    rows = top_related(incidents, problems, changes, RELATED_ROWS)
+    return rows.groupBy("sys_id").agg(*[_kind_block(kind) for kind in RELATED_TITLES])
 
-    def block(kind: str) -> Column:
-        mine = F.when(F.col("kind") == kind, F.struct("position", line.alias("_line")))
-        lines = F.transform(F.array_sort(F.collect_list(mine)), lambda e: e["_line"])
-        text = join_lines([F.lit(f"**{RELATED_TITLES[kind]}:**"), F.array_join(lines, "\n"), F.lit("")])
-        return F.when(F.count_if(F.col("kind") == kind) > 0, text)
 
-    return top_related(incidents, problems, changes, RELATED_ROWS).groupBy("sys_id").agg(
-        *[block(kind).alias(f"{kind}_block") for kind in RELATED_TITLES]
-    )
+def _laid_related_blocks(laid: Laid) -> list[DataFrame]:
+    """The same of stored records, a table for each kind."""
+    rows = {kind: laid.lists[f"related_{kind}s"].withColumn("kind", F.lit(kind)) for kind in RELATED_TITLES}
+    return [first_related(some, RELATED_ROWS).groupBy("sys_id").agg(_kind_block(kind)) for kind, some in rows.items()]
 
 
 def report_markdown(
@@ -92,13 +111,18 @@ def report_markdown(
     generator: str = GENERATOR,
     landed_events: DataFrame | None = None,
     digest: DataFrame | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """number, part (always 0) and the Markdown report of every incident.
 
     The analysis is stored first unless it is given: its texts appear in several sections
-    and would be built anew for each. The journal's digest serves analysis and timeline.
+    and would be built anew for each. The journal's digest serves analysis and timeline. A
+    ``layout`` with an analysis stands for all tables but the digest.
     """
     digest = stored_digest(journal) if digest is None else digest
+    if layout is not None:
+        made = [_laid_markdown(laid, digest, as_of, generator) for laid in (layout.usual, layout.long) if laid is not None]
+        return reduce(DataFrame.unionByName, made)
     if analysis is None:
         analysis = stored(rca_analysis(incidents, journal, problems, landed_events, digest=digest), "analysis")
     rows = (
@@ -106,6 +130,17 @@ def report_markdown(
         .join(_timeline_blocks(incidents, journal, digest), "sys_id", "left")
         .join(_related_blocks(incidents, problems, changes), "sys_id", "left")
     )
+    return _as_markdown(rows, as_of, generator)
+
+
+def _laid_markdown(laid: Laid, digest: DataFrame, as_of: datetime | Column | None, generator: str) -> DataFrame:
+    rows = laid.incidents.join(laid.analysis.drop("number"), "sys_id")
+    blocks = [_laid_timeline_blocks(laid, digest), *_laid_related_blocks(laid)]
+    return _as_markdown(reduce(lambda left, right: left.join(right, "sys_id", "left"), blocks, rows), as_of, generator)
+
+
+def _as_markdown(rows: DataFrame, as_of: datetime | Column | None, generator: str) -> DataFrame:
+    """The report of each row: an incident with its analysis and its blocks."""
     clock = timestamp_text(_clock(as_of))
 
     def shown(name: str) -> Column:
@@ -120,7 +155,7 @@ def report_markdown(
     factors = F.col("contributing_factors")
     impact = F.col("impact_assessment")
     duration = F.col("duration_analysis")
-    ended = F.coalesce(to_timestamp("resolved_at"), to_timestamp(optional(incidents, "closed_at")))
+    ended = F.coalesce(to_timestamp("resolved_at"), to_timestamp(optional(rows, "closed_at")))
     factor_block = F.when(
         F.size(factors) > 0,
         join_lines([
@@ -205,16 +240,26 @@ def report_json(
     piece_rows: int = PIECE_ROWS,
     landed_events: DataFrame | None = None,
     digest: DataFrame | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """number, part and one JSON document per row.
 
     Part 0 is the report. Lists too long for one document go on in documents of parts 1, 2,
     ..., see ``incident_bundle``; each of these holds entries of some list. ``lists`` tells the
-    part, how many parts there are, and in part 0 how long the lists are over all parts.
+    part, how many parts there are, and in part 0 how long the lists are over all parts. A
+    ``layout`` with an analysis stands for all tables.
     """
+    if layout is not None:
+        return _as_json(laid_bundle(layout, _results, piece_rows), as_of)
     if analysis is None:
         analysis = stored(rca_analysis(incidents, journal, problems, landed_events, piece_rows, digest), "analysis")
-    results = analysis.select(
+    bundle = incident_bundle(incidents, journal, problems, changes, piece_rows, _results(analysis), ("timeline", *RELATED))
+    return _as_json(bundle, as_of)
+
+
+def _results(analysis: DataFrame) -> DataFrame:
+    """The analysis per sys_id as it stands in the document."""
+    return analysis.select(
         "sys_id",
         F.struct(
             "root_cause",
@@ -226,7 +271,9 @@ def report_json(
             "priority_justification",
         ).alias("analysis"),
     )
-    bundle = incident_bundle(incidents, journal, problems, changes, piece_rows, results, ("timeline", *RELATED))
+
+
+def _as_json(bundle: DataFrame, as_of: datetime | Column | None) -> DataFrame:
     document = F.struct(
         F.struct(
             F.date_format(_clock(as_of), "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"),

@@ -145,13 +145,9 @@ def entry_counts(journal: DataFrame) -> DataFrame:
     return about.groupBy(F.col("element_id").alias("sys_id")).agg(F.count("*").alias("n_entries"))
 
 
-def top_events(incidents: DataFrame, journal: DataFrame, n: int = 20, counts: DataFrame | None = None) -> DataFrame:
-    """First n events per sys_id, cut for display, and one row telling how many follow.
-
-    How many there are follows from the incident and from ``counts`` (sys_id, n_entries) of its
-    journal, so the events are made once.
-    """
-    first = top_rows(event_rows(incidents, journal), ["sys_id"], list(EVENT_ORDER), n, "position").select(
+def first_events(events: DataFrame, n: int = 20) -> DataFrame:
+    """First n events per sys_id, cut for display."""
+    return top_rows(events, ["sys_id"], list(EVENT_ORDER), n, "position").select(
         "sys_id",
         "position",
         F.coalesce(timestamp_text("timestamp"), F.lit("N/A")).alias("timestamp"),
@@ -159,11 +155,20 @@ def top_events(incidents: DataFrame, journal: DataFrame, n: int = 20, counts: Da
         F.substring("actor", 1, 30).alias("actor"),
         F.substring("description", 1, 50).alias("description"),
     )
-    counts = entry_counts(journal) if counts is None else counts.select("sys_id", "n_entries")
+
+
+def more_events(incidents: DataFrame, counts: DataFrame, n: int = 20) -> DataFrame:
+    """One row per sys_id with more than n events, telling how many follow.
+
+    How many there are follows from the incident and from ``counts`` (sys_id, n_entries) of its
+    journal.
+    """
     ends = (to_timestamp(name).isNotNull().cast("int") for name in ("opened_at", "resolved_at"))
-    both = incidents.join(counts, "sys_id", "left").select("sys_id", sum(ends, F.coalesce("n_entries", F.lit(0))).alias("_events"))
+    both = incidents.join(counts.select("sys_id", "n_entries"), "sys_id", "left").select(
+        "sys_id", sum(ends, F.coalesce("n_entries", F.lit(0))).alias("_events")
+    )
     dots = F.lit("...")
-    more = both.filter(F.col("_events") > n).select(
+    return both.filter(F.col("_events") > n).select(
         "sys_id",
         F.lit(n + 1).alias("position"),
         dots.alias("timestamp"),
@@ -173,7 +178,12 @@ def top_events(incidents: DataFrame, journal: DataFrame, n: int = 20, counts: Da
             F.lit("*("), (F.col("_events") - n).cast("string"), F.lit(" more events)*")
         ).alias("description"),
     )
-    return first.unionByName(more)
+
+
+def top_events(incidents: DataFrame, journal: DataFrame, n: int = 20, counts: DataFrame | None = None) -> DataFrame:
+    """First n events per sys_id, and one row telling how many follow; the events are made once."""
+    counts = entry_counts(journal) if counts is None else counts
+    return first_events(event_rows(incidents, journal), n).unionByName(more_events(incidents, counts, n))
 
 
 def timeline_top(incidents: DataFrame, journal: DataFrame, n: int = 20) -> DataFrame:

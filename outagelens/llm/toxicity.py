@@ -325,9 +325,8 @@ def _stem_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             (toxic if label else clean).update(stems)
             if label:
                 texts.update(set(stems))
-    # Stems without a toxic text can't be learned.
-    names = list(toxic)
-    frame = pd.DataFrame({"stem": names, "toxic": [toxic[x] for x in names], "clean": [clean.get(x, 0) for x in names]})
+    names = list(toxic | clean)  # those of clean texts alone too: other parts may have them in toxic ones
+    frame = pd.DataFrame({"stem": names, "toxic": [toxic[x] for x in names], "clean": [clean[x] for x in names]})
     yield frame.assign(texts=[texts[x] for x in names]).astype(
         {"stem": "object", "toxic": "int64", "clean": "int64", "texts": "int64"}
     )
@@ -409,7 +408,7 @@ def fit(
     sample = kept(sample.withColumn("sign", _copy_sign("text")).groupBy("sign", "toxic").agg(F.min("text").alias("text")), "labelled")
     counts = sample.mapInPandas(_stem_counts, "stem string, toxic long, clean long, texts long")
     every = counts.groupBy("stem").agg(*(F.sum(x).alias(x) for x in ("toxic", "clean", "texts")))
-    every = kept(every, "stems")
+    every = kept(every.filter("toxic > 0"), "stems")  # others can't be learned
     words = every.filter("stem = ''").first()
     pure = F.col("toxic") >= PURE * (F.col("toxic") + F.col("clean"))  # others can't be chosen
     likely = every.filter((F.col("texts") >= LEAST_TEXTS) & pure & (F.col("stem") != "")).orderBy("stem")

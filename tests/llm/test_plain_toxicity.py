@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import pandas as pd
 import pytest
 
 from outagelens.llm import toxicity
@@ -142,9 +143,17 @@ def plain_stems(rows):
     return found
 
 
-@pytest.mark.parametrize("coalesced", ["true", "false"])
-def test_stems_equal_a_plain_version_however_the_sample_lies(ready, coalesced):
-    """Some beginnings stand in clean texts only in parts of the sample without a toxic text."""
+#: One text or two in each part of the sample.
+APART = {
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "64",
+    "spark.sql.files.maxPartitionBytes": "20000",
+}
+
+
+@pytest.mark.parametrize("settings", [{}, APART])
+def test_stems_equal_a_plain_version_however_the_sample_lies(ready, settings):
+    """Learned beginnings stand in clean texts too, mostly in parts of the sample without a toxic text."""
     rng = random.Random(32)
     plain = [f"{a}{b}{c}" for a in "mo ta ri lu ke so".split() for b in "na pi do ve".split() for c in "lan tor mis".split()]
     rows = []
@@ -152,22 +161,38 @@ def test_stems_equal_a_plain_version_however_the_sample_lies(ready, coalesced):
         words = [rng.choice(plain) for _ in range(30)]
         if i % 8 == 0:
             words[::10] = [f"grobul{rng.choice(['a', 'en', 'or'])}" for _ in words[::10]]
-        if i % 8 == 0 or i % 60 == 1:
+            words[5] = "halbware"
+        if i % 60 == 1:
             words[5] = "halbware"  # too often clean to be learned
+        if i == 1:
+            words[0] = "grobula"
         rows.append((i, " ".join(words), int(i % 8 == 0)))
     docs = ready.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     labels = ready.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
-    name = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = ready.conf.get(name)
-    ready.conf.set(name, coalesced)
+    before = {name: ready.conf.get(name) for name in settings}
     try:
+        for name, value in settings.items():
+            ready.conf.set(name, value)
         found = toxicity.fit(docs, labels).stems
     finally:
-        ready.conf.set(name, before)
+        for name, value in before.items():
+            ready.conf.set(name, value)
     expected = plain_stems([r[1:] for r in rows])
     assert found == pytest.approx(expected) and found and not any(s.startswith("halb") for s in found)
 
 
+def test_counts_of_parts_add_up():
+    rows = pd.DataFrame({"text": ["grobula house", "grobula tree", "grobulen", "house tree"], "toxic": [1, 0, 0, 0]})
+
+    def summed(parts):
+        made = pd.concat([frame for part in parts for frame in toxicity._stem_counts(iter([part]))])
+        return made.groupby("stem").sum().query("toxic > 0").to_dict("index")
+
+    whole = summed([rows])
+    assert summed([rows[i : i + 1] for i in range(4)]) == whole
+    assert whole["grobu"] == {"toxic": 1, "clean": 2, "texts": 1} and whole[""] == {"toxic": 2, "clean": 5, "texts": 1}
+
+
 def test_query_equals_a_plain_version(ready):
     docs = {r.doc_id: r.text or "" for r in table(ready, SF, "documents").collect()}
     labels = table(ready, SF, "labels")

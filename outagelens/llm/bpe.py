@@ -264,6 +264,14 @@ class WordBpe:
         self._forget_long(split)
         return results
 
+    def count_batch(self, texts: Sequence[str]) -> list[int]:
+        """The number of ids of each text."""
+        split = [self._split(text) for text in texts]
+        known = self._learned(split)
+        results = [sum([len(known[word][0]) for word in words]) for words in split]
+        self._forget_long(split)
+        return results
+
     def written_batch(self, texts: Sequence[str]) -> list[tuple[int, str, str]]:
         """Of each text the number of ids, the ids in decimal, and what they decode to.
 
@@ -373,6 +381,18 @@ def encode_column(path: str):
     return encode
 
 
+def count_column(path: str):
+    """Text to the number of its ids (null text: none)."""
+
+    @F.pandas_udf("long")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bpe = encoder(path)
+        for texts in batches:
+            yield pd.Series(bpe.count_batch(texts.fillna("").tolist()), dtype="int64")
+
+    return count
+
+
 def decode_column(path: str):
     """Array of ids to text (null or empty: empty text)."""
 

@@ -9,10 +9,16 @@ it. Where the corpus has enough of everything, the sample has the target shares
 
 Only cells and margins are aggregated or joined, never collected; sums combine before a shuffle,
 so a source that holds a third of all documents is no heavier than others.
+
+What a text weighs is a column function the caller may choose: the estimate by bytes, or the
+tokens some tokenizer really makes of it. The texts are weighed in one pass without a shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +26,8 @@ from .common import free_name, kept, whole_text
 
 DIMENSIONS = ("source", "lang", "topic")
 ITERATIONS = 8
+#: A sweep over all dimensions that moves no weight by more than this is the last one.
+TOLERANCE = 1e-12
 #: Targets are the corpus' own shares to this power, which lifts small ones.
 ALPHA = 0.5
 #: Share of all tokens that the sample is to have.
@@ -33,6 +41,9 @@ DIGITS = "0123456789"
 MARK_SHARE, DIGIT_SHARE, LINE_SHARE = 50, 50, 200
 
 
+Weigher = Callable[[Column], Column]
+
+
 def token_weight(text: Column) -> Column:
     """Tokens of a text, estimated from its bytes (four for each, rounded up)."""
     return F.ceil(F.octet_length(text) / 4).cast("long")
@@ -43,13 +54,14 @@ def form_topic(text: Column) -> Column:
     size = F.length(text)
 
     def count(characters: str) -> Column:
-        return size - F.length(F.translate(text, characters, ""))
+        return size - F.length(F.regexp_replace(text, f"[{characters}]+", ""))
 
+    lines = size - F.length(F.replace(text, F.lit("\n"), F.lit("")))
     return (
         F.when(size == 0, "empty")
         .when(count(MARKS) * MARK_SHARE > size, "markup")
         .when(count(DIGITS) * DIGIT_SHARE > size, "figures")
-        .when(count("\n") * LINE_SHARE > size, "lines")
+        .when(lines * LINE_SHARE > size, "lines")
         .otherwise("prose")
     )
 
@@ -67,14 +79,8 @@ def tempered_targets(cells: DataFrame, dimension: str, alpha: float = ALPHA) ->
     return sums.select(dimension, share.alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], iterations: int = ITERATIONS, most: float = 1 / SHARE) -> DataFrame:
-    """The cells with ``weight``, at most ``most``; weighted tokens approach the targets.
-
-    ``targets`` has a table (dimension, share) for each dimension. Values that have a target but
-    no tokens can't be met: the shares of the others are scaled up to add to 1. Values without a
-    target get weight 0. Cells without tokens keep the factors of their other dimensions.
-    """
-    cells = kept(cells.withColumn("weight", F.lit(1.0)), "cells")
+def _wanted(cells: DataFrame, targets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """(dimension, wanted) of each dimension: the tokens its values are to have, of those that have any."""
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     wanted = {}
     for dimension, shares in targets.items():
@@ -82,53 +88,104 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], iterations: int = ITER
         shares = kept(shares.join(present, dimension, "left_semi"), f"targets-{dimension}")
         sums = shares.agg(F.sum("share")).first()[0] or 1.0
         wanted[dimension] = shares.select(dimension, (F.col("share") / sums * total).alias("wanted"))
+    return wanted
+
+
+def _weighted(cells: DataFrame, dimension: str) -> DataFrame:
+    return cells.groupBy(dimension).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"))
+
+
+def rake(
+    cells: DataFrame,
+    targets: dict[str, DataFrame],
+    iterations: int = ITERATIONS,
+    most: float = 1 / SHARE,
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
+    """The cells with ``weight``, at most ``most``; weighted tokens approach the targets.
+
+    ``targets`` has a table (dimension, share) for each dimension. Values that have a target but
+    no tokens can't be met: the shares of the others are scaled up to add to 1. Values without a
+    target get weight 0. Cells without tokens keep the factors of their other dimensions.
+
+    Ends after so many sweeps over all dimensions, or with the one that moves no weight by more
+    than ``tolerance``. `margin_errors` tells how far the margins then are from their targets.
+    """
+    cells = kept(cells.withColumn("weight", F.lit(1.0)), "cells")
+    wanted = _wanted(cells, targets)
     for _ in range(iterations):
+        cells = cells.withColumn("before", F.col("weight"))
         for dimension in targets:
-            now = cells.groupBy(dimension).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"))
-            factors = now.join(wanted[dimension], dimension, "left")
+            factors = _weighted(cells, dimension).join(wanted[dimension], dimension, "left")
             factor = F.when(F.col("now") > 0, F.coalesce("wanted", F.lit(0.0)) / F.col("now")).otherwise(1.0)
             factors = factors.select(dimension, factor.alias("factor"))
             weight = F.least(F.col("weight") * F.col("factor"), F.lit(float(most)))
-            cells = cells.join(factors, dimension).select(*DIMENSIONS, "tokens", weight.alias("weight"))
-        cells = kept(cells, "raked")
+            cells = cells.join(factors, dimension).select(*DIMENSIONS, "tokens", "before", weight.alias("weight"))
+        swept = kept(cells, "raked")
+        cells = swept.drop("before")
+        moved = swept.agg(F.max(F.abs(F.col("weight") - F.col("before")))).first()[0]
+        if moved is None or moved <= tolerance:
+            break
     return cells
 
 
+def margin_errors(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """dimension, value, wanted, now, error: weighted tokens of raked cells against their targets.
+
+    ``error`` is now / wanted - 1. Values without tokens, or without a target, have no row, nor has
+    an empty table. Errors stay where bounded weights can't give a value what it is to have.
+    """
+    rows = []
+    for dimension, wanted in _wanted(cells, targets).items():
+        both = _weighted(cells, dimension).join(wanted, dimension)
+        error = (F.col("now") / F.col("wanted") - 1).alias("error")
+        rows.append(both.select(F.lit(dimension).alias("dimension"), F.col(dimension).alias("value"), "wanted", "now", error))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def chance(key: Column, seed: str = SEED) -> Column:
     """A number from 0 to 1 (excluded) that depends on the key and the seed only."""
     digest = F.md5(F.encode(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))), "UTF-8"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def _described(docs: DataFrame) -> DataFrame:
+def described(docs: DataFrame, weigh: Weigher = token_weight) -> DataFrame:
+    """doc_id, source, lang, topic, n_tokens of every document (a null value is ``(none)``, a null text empty)."""
     text = whole_text(docs["text"])
     return docs.select(
         docs["doc_id"],
         *(F.coalesce(docs[name].cast("string"), F.lit(NO_VALUE)).alias(name) for name in ("source", "lang")),
         form_topic(text).alias("topic"),
-        token_weight(text).alias("n_tokens"),
+        weigh(text).cast("long").alias("n_tokens"),
     )
 
 
-def calibrated(docs: DataFrame, alpha: float = ALPHA, iterations: int = ITERATIONS, share: float = SHARE) -> DataFrame:
-    """source, lang, topic, weight, probability of all cells of the documents, for tempered targets."""
-    cells = kept(cells_of(_described(docs)), "token-cells")
+def calibrated(rows: DataFrame, alpha: float = ALPHA, iterations: int = ITERATIONS, share: float = SHARE) -> DataFrame:
+    """source, lang, topic, weight, probability of all cells of `described` rows, for tempered targets."""
+    cells = kept(cells_of(rows), "token-cells")
     targets = {dimension: tempered_targets(cells, dimension, alpha) for dimension in DIMENSIONS}
     raked = rake(cells, targets, iterations, 1 / share)
     return raked.select(*DIMENSIONS, "weight", (F.col("weight") * share).alias("probability"))
 
 
 def mixture(
-    docs: DataFrame, alpha: float = ALPHA, iterations: int = ITERATIONS, share: float = SHARE, seed: str = SEED
+    docs: DataFrame,
+    alpha: float = ALPHA,
+    iterations: int = ITERATIONS,
+    share: float = SHARE,
+    seed: str = SEED,
+    weigh: Weigher = token_weight,
 ) -> DataFrame:
     """Per document: doc_id, source, lang, topic, n_tokens, weight, probability, kept.
 
+    The texts are read once; what the cells and the rows need of them is stored.
+
     Null source and lang are values of their own, ``(none)``; a null text is empty and has no
     tokens. Rows with one id share their fate within a cell; repeated rows keep a row each.
     Other columns are ignored; an empty table gives no rows.
     """
-    rates = calibrated(docs, alpha, iterations, share)
-    rows = _described(docs).join(rates, list(DIMENSIONS))
+    described_rows = kept(described(docs, weigh), "mixing-rows")
+    rows = described_rows.join(calibrated(described_rows, alpha, iterations, share), list(DIMENSIONS))
     return rows.select(
         "doc_id",
         *DIMENSIONS,
@@ -140,10 +197,18 @@ def mixture(
 
 
 def sample_to_targets(
-    docs: DataFrame, alpha: float = ALPHA, iterations: int = ITERATIONS, share: float = SHARE, seed: str = SEED
+    docs: DataFrame,
+    alpha: float = ALPHA,
+    iterations: int = ITERATIONS,
+    share: float = SHARE,
+    seed: str = SEED,
+    weigh: Weigher = token_weight,
 ) -> DataFrame:
-    """The documents that `mixture` keeps, with all their columns, whatever their names."""
-    rates = calibrated(docs, alpha, iterations, share)
+    """The documents that `mixture` keeps, with all their columns, whatever their names.
+
+    Texts are weighed once, for the cells; the rows then need their cell only.
+    """
+    rates = calibrated(described(docs, weigh), alpha, iterations, share)
     text = whole_text(docs["text"])
     cell = {"source": docs["source"], "lang": docs["lang"]}
     cell = {name: F.coalesce(value.cast("string"), F.lit(NO_VALUE)) for name, value in cell.items()}

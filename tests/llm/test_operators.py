@@ -574,6 +574,55 @@ def test_weights_meet_targets_where_they_can(ready):
             assert sum(r.tokens * r.weight for r in rows if r[d] == value) == pytest.approx(share * total, rel=0.01)
 
 
+def test_margin_errors_shrink_and_sweeps_end(ready):
+    cells = [("a", "x", "p", 600), ("a", "y", "q", 100), ("b", "x", "q", 200), ("b", "y", "p", 300), ("a", "x", "q", 150)]
+    df = ready.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    shares = {"source": {"a": 0.5, "b": 0.5}, "lang": {"x": 0.6, "y": 0.4}, "topic": {"p": 0.6, "q": 0.4}}
+    targets = {d: ready.createDataFrame(list(v.items()), f"{d} string, share double") for d, v in shares.items()}
+
+    def worst(iterations, most=10.0):
+        rows = mixing.margin_errors(mixing.rake(df, targets, iterations, most), targets).collect()
+        assert len(rows) == 6
+        for r in rows:
+            assert r.wanted == pytest.approx(shares[r.dimension][r.value] * 1350) and r.error == pytest.approx(r.now / r.wanted - 1)
+        return max(abs(r.error) for r in rows)
+
+    assert worst(1) > 3 * worst(5)
+    assert worst(2, most=1.01) > 0.05  # bounded weights can't meet these
+    # tokens as wanted from the start: the first sweep moves nothing and is the last
+    even = ready.createDataFrame([("a", "x", "p", 5), ("b", "y", "q", 5)], df.schema)
+    half = {d: ready.createDataFrame([(v[0], 0.5), (v[1], 0.5)], f"{d} string, share double") for d, v in zip(shares, ("ab", "xy", "pq"))}
+    assert {r.weight for r in mixing.rake(even, half, 1_000_000).collect()} == {1.0}
+
+
+def test_topics_by_plain_counts(ready):
+    marks, digits = set(mixing.MARKS), set(mixing.DIGITS)
+    texts = ["", "a", "a|" * 3, "x" * 49 + "|", "x" * 48 + "|", "é" * 99 + "||", "1" + "a" * 49, "1" + "a" * 48, "\n" + "a" * 199, "\n" + "a" * 198]
+    texts += ["😀" * 30 + "{}<>", "٣" * 10, "a&&b" + "c" * 300, "\r\n" * 2 + "b" * 300, "[]^-\\" * 9]
+
+    def plain(text):
+        def share(chars, least):
+            return sum(c in chars for c in text) * least > len(text)
+
+        if not text:
+            return "empty"
+        return "markup" if share(marks, 50) else "figures" if share(digits, 50) else "lines" if share({"\n"}, 200) else "prose"
+
+    df = ready.createDataFrame(list(enumerate(texts)), "n int, text string")
+    found = {r.n: r.topic for r in df.select("n", mixing.form_topic(F.col("text")).alias("topic")).collect()}
+    assert found == {n: plain(text) for n, text in enumerate(texts)}
+    assert set(found.values()) == {"empty", "markup", "figures", "lines", "prose"}
+
+
+def test_mixture_by_a_tokenizers_counts(documents):
+    library = Tokenizer.from_file(WORD_BPE)
+    found = mixing.mixture(documents, iterations=2, weigh=bpe.count_column(WORD_BPE)).collect()
+    counts = {r.doc_id: len(library.encode(r.text or "", add_special_tokens=False).ids) for r in documents.collect()}
+    assert [r.n_tokens for r in found] == [counts[r.doc_id] for r in found]
+    stay = mixing.sample_to_targets(documents, iterations=2, weigh=bpe.count_column(WORD_BPE))
+    assert Counter(r.doc_id for r in stay.collect()) == Counter(r.doc_id for r in found if r.kept)
+
+
 def test_mixture_of_odd_documents(documents, no_documents):
     found = mixing.mixture(documents, iterations=2).collect()
     assert len(found) == documents.count()

@@ -40,16 +40,24 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return golay_dedup.drop_near_duplicates(docs)
 
 
+def vocabulary() -> str:
+    """The tokenizer by whose tokens the corpus is mixed and encoded."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are sampled so that tokens meet the target shares of sources, languages and topics; null ones are values of their own."""
+    """Documents are sampled so that tokens meet the target shares of sources, languages and topics; null ones are values of their own.
+
+    Tokens are those the encoding stage makes of the whole texts, not an estimate.
+    """
     prepare(configure(spark))
-    return mixing.sample_to_targets(docs)
+    return mixing.sample_to_targets(docs, weigh=bpe.count_column(vocabulary()))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, number and digest of the ids, and digest of the text they decode to; a null text is empty."""
     prepare(configure(spark))
-    return bpe.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return bpe.round_trip(docs, vocabulary())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

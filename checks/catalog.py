@@ -1417,7 +1417,8 @@ def sink_metrics_append(spark, sf_dir):
 def sink_reports(spark, sf_dir):
     """Summaries and recommendations written as two formats, read back together."""
     path = scratch_folder(spark, "reports")
-    found = reports.summary_of(_analysis(spark, sf_dir), views.incidents(spark, sf_dir))
+    # Stored, as both formats are made of it.
+    found = stored(reports.summary_of(_analysis(spark, sf_dir), views.incidents(spark, sf_dir)), "summaries")
     for format, column in (("markdown", "summary"), ("text", "recommendations")):
         part = F.lit(0).cast("bigint").alias("part")
         files.sink_reports(found.select("number", part, F.col(column).alias("report")), path, format)

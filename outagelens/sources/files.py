@@ -99,10 +99,11 @@ def sink_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> No
 EXTENSIONS = {"json": ".json", "markdown": ".md", "text": ".txt"}
 
 
-def sink_reports(reports: DataFrame, path: str, format: str, mode: str = "overwrite") -> None:
+def sink_reports(reports: DataFrame, path: str, format: str, mode: str = "overwrite", compression: str = "gzip") -> None:
     """Reports as rows of number, part, file name and text, one folder per format.
 
-    A later run replaces the reports of its format and leaves the others. Further parts of
+    Most of a report's text stands in many reports, so the files are compressed; Spark's readers
+    see no difference. A later run replaces the reports of its format and leaves the others. Further parts of
     a report have their number in the file name.
     """
     part = F.when(F.col("part") > 0, F.concat(F.lit("-"), F.col("part").cast("string"))).otherwise("")
@@ -113,7 +114,7 @@ def sink_reports(reports: DataFrame, path: str, format: str, mode: str = "overwr
         }
     )
     writer = named.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("format").json(path)
+    writer.partitionBy("format").json(path, compression=compression)
 
 
 def scan_reports(spark: SparkSession, path: str, format: str) -> DataFrame:

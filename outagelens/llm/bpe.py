@@ -26,10 +26,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import model_of, whole_text
 
 #: Words and fragments that a Python worker remembers; the memory is emptied when it is full.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 #: Code points of a word that is not remembered beyond its batch.
 LONG_WORD = 64
 #: A word's ids, the ids in decimal, and what they decode to.
@@ -359,14 +359,9 @@ def _as_ranges(codes: list[int]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in found)
 
 
-_ENCODERS: dict[str, WordBpe] = {}
-
-
 def encoder(path: str) -> WordBpe:
     """This process's encoder of the file, made once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordBpe.from_file(path)
-    return _ENCODERS[path]
+    return model_of("bpe", path, lambda: WordBpe.from_file(path))
 
 
 def encode_column(path: str):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
+from collections.abc import Callable, Hashable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,8 @@ BATCH_ROWS = 1024
 BATCH_BYTES = 16 * 1024 * 1024
 
 
+Model = TypeVar("Model")
+
 _SHIPPED: set[str] = set()
 
 
@@ -35,6 +40,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_MODEL: dict[tuple[str, object], object] = {}
+
+
+def model_of(kind: str, definition: Hashable, make: Callable[[], Model]) -> Model:
+    """What this process works with, made once; of other kinds and definitions none is kept.
+
+    Python workers outlive a stage, and each stage works with one model: those of earlier stages
+    would only fill the memory of the machine.
+    """
+    if (kind, definition) not in _MODEL:
+        _MODEL.clear()
+        gc.collect()
+        _MODEL[kind, definition] = make()
+    return _MODEL[kind, definition]
+
+
 def kept(rows: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared scratch folder and read them back.
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, kept, whole_text
+from .common import free_name, kept, model_of, whole_text
 
 UNDETERMINED = "und"
 BLOCK = 1024
@@ -262,19 +262,13 @@ def _agreeing(pieces: dict[str, list[str]]) -> dict[str, list[str]]:
     return {name: kept_pieces.get(name) or some for name, some in pieces.items()}
 
 
-_PARSERS: dict[str, CrossParser] = {}
-
-
 def parser_of(model: LanguageModel, digest: str) -> CrossParser:
     """This process's parser, made once; of other models none is kept.
 
     A column function must reach it through this module: what it names itself is copied into
     each task.
     """
-    if digest not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[digest] = CrossParser(model)
-    return _PARSERS[digest]
+    return model_of("language", digest, lambda: CrossParser(model))
 
 
 def predict_column(model: LanguageModel):

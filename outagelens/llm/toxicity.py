@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bottom_k import Shingles
-from .common import free_name, kept, whole_text
+from .common import free_name, kept, model_of, whole_text
 
 THRESHOLD = 0.3
 #: Bounds of the labelled sample: rows with label 1 and rows with label 0.
@@ -43,7 +43,9 @@ STEM_LENGTHS = (4, 5, 6, 7, 8)
 PURE = 0.97
 #: Least number of toxic texts with a stem.
 LEAST_TEXTS = 3
-REMEMBERED = 200_000
+REMEMBERED = 50_000
+#: Beginnings of words that a task counts before it hands the counts on.
+COUNTED = 100_000
 
 # Words of the grammar, in four languages.
 INSULTS = frozenset(
@@ -276,18 +278,13 @@ class Scorer:
         return min(1.0, max(0.0, 1.0 - clean))
 
 
-_SCORERS: list[tuple[ToxicLexicon, Scorer]] = []
-
-
 def scorer_of(lexicon: ToxicLexicon) -> Scorer:
     """This process's scorer, made once; of other lexicons none is kept.
 
     A column function must reach it through this module: what it names itself is copied into
     each task.
     """
-    if not _SCORERS or _SCORERS[0][0] != lexicon:
-        _SCORERS[:] = [(lexicon, Scorer(lexicon))]
-    return _SCORERS[0][1]
+    return model_of("toxicity", tuple(sorted(lexicon.stems.items())), lambda: Scorer(lexicon))
 
 
 def score_column(lexicon: ToxicLexicon) -> Callable[[Column], Column]:
@@ -313,7 +310,8 @@ def held_out(key: Column, folds: int = 4, fold: int = 2) -> Column:
 def _stem_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Beginnings of words: with how many words of toxic and clean texts each goes on, and in how many toxic texts.
 
-    A word counts once in each text. The empty beginning counts all words.
+    A word counts once in each text. The empty beginning counts all words. Counts are handed on
+    as soon as they are `COUNTED`, so a beginning may come several times, to be summed.
     """
     toxic: Counter = Counter()
     clean: Counter = Counter()
@@ -325,9 +323,17 @@ def _stem_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             (toxic if label else clean).update(stems)
             if label:
                 texts.update(set(stems))
-    names = list(toxic | clean)  # those of clean texts alone too: other parts may have them in toxic ones
+            if len(toxic) + len(clean) >= COUNTED:
+                yield _counted(toxic, clean, texts)
+                for counter in (toxic, clean, texts):
+                    counter.clear()
+    yield _counted(toxic, clean, texts)
+
+
+def _counted(toxic: Counter, clean: Counter, texts: Counter) -> pd.DataFrame:
+    names = list(toxic.keys() | clean.keys())  # those of clean texts alone too: other parts may have them in toxic ones
     frame = pd.DataFrame({"stem": names, "toxic": [toxic[x] for x in names], "clean": [clean[x] for x in names]})
-    yield frame.assign(texts=[texts[x] for x in names]).astype(
+    return frame.assign(texts=[texts[x] for x in names]).astype(
         {"stem": "object", "toxic": "int64", "clean": "int64", "texts": "int64"}
     )
 

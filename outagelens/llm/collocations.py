@@ -39,7 +39,7 @@ SCALE = 2_000_000
 COVERED = 80
 #: Bounds of one broadcast part: frequent words, phrases of a trie, buckets (a bit each).
 PART_WORDS = 500_000
-PART_PHRASES = 300_000
+PART_PHRASES = 150_000
 MOST_BUCKETS = 1 << 26
 #: Buckets and phrases are summed in blocks of this many.
 BLOCK = 1 << 16
@@ -112,7 +112,8 @@ class DoubleArray:
 
     Numbers are spelled in digits of `DIGIT` bits, so that a state has few children and these
     find room among each other. State s goes with digit c to t = base[s] + c if check[t] = s.
-    ``accept`` holds the row of the sequence that ends in a state, else -1. State 0 is the root.
+    A state in which a sequence ends has no children; its base is the sequence's row. State 0 is
+    the root.
     """
 
     DIGIT = 6
@@ -139,8 +140,7 @@ class DoubleArray:
             old, new = np.flatnonzero(fresh[level]), np.flatnonzero(fresh[level + 1])
             states = self._placed(above[old], np.searchsorted(new, old), digits[new])
             above = states[np.cumsum(fresh[level + 1]) - 1]
-        self.accept = np.full(size, -1, dtype=np.int32)
-        self.accept[above] = np.arange(n)
+        self.base[above] = np.arange(n)
 
     def _digit(self, numbers: np.ndarray, shift: int) -> np.ndarray:
         return numbers >> shift & (1 << self.DIGIT) - 1
@@ -183,7 +183,7 @@ class DoubleArray:
                 following = self.base[state] + self._digit(ids[places + word], shift)
                 alive = self.check[following] == state
                 places, state = places[alive], following[alive]
-        found[places] = self.accept[state]
+        found[places] = self.base[state]
         return found
 
 

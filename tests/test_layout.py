@@ -113,3 +113,27 @@ def test_an_empty_table_has_an_empty_layout(spark, tables):
     analysis = rca.stored(rca.rca_analysis(*none[:3]), "analysis")
     with incident_layout(*none, analysis, LISTS) as layout:
         assert layout.long is None and made(none, "json", layout=layout) == [] == made(none, "markdown", layout=layout)
+
+
+def test_a_bundle_without_long_lists_deals_each_list_once(spark, tables):
+    """Lists go to their incident once and are gathered in one pass; part is no key of a join."""
+    names = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in zip(names, ("false", "-1"), strict=True):
+            spark.conf.set(name, value)
+        plan = plan_of(bundle.incident_bundle(*tables, lists=LISTS))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert plan.count("Exchange") == 1 + len(LISTS) and "ObjectHashAggregate" not in plan
+
+
+@pytest.mark.parametrize("piece_rows", [10_000, 8])
+def test_usual_and_long_bundles_hold_the_same(tables, piece_rows):
+    rows = bundle.incident_bundle(*tables, piece_rows=piece_rows).collect()
+    assert sorted(r.number for r in rows if r.part == 0) == [f"INC{i:03d}" for i in range(40)]
+    for list_name in bundle.LISTS:
+        assert sum(len(r[list_name]) for r in rows) == sum(r.totals[list_name] for r in rows if r.part == 0)
+    timeline = {r.number: r.totals.timeline for r in rows if r.part == 0}
+    assert timeline["INC000"] == 1 + 53 and timeline["INC039"] == 0

@@ -137,3 +137,15 @@ def test_usual_and_long_bundles_hold_the_same(tables, piece_rows):
         assert sum(len(r[list_name]) for r in rows) == sum(r.totals[list_name] for r in rows if r.part == 0)
     timeline = {r.number: r.totals.timeline for r in rows if r.part == 0}
     assert timeline["INC000"] == 1 + 53 and timeline["INC039"] == 0
+
+
+def test_first_events_are_the_same_with_and_without_long_incidents(tables, monkeypatch):
+    found = {}
+    for long in (True, False):
+        monkeypatch.setattr(reports, "any_long", lambda digest, long=long: long)
+        found[long] = made(tables, "markdown")
+        frame = reports.report_markdown(*tables, as_of=AT)
+        assert plan_of(reports._timeline_blocks(*tables[:2], rca.stored_digest(tables[1]))).count("WindowGroupLimit") == 2 * long
+        assert frame.columns == ["number", "part", "report"]
+    assert found[True] == found[False]
+    assert "*(34 more events)*" in next(report for number, _, report in found[False] if number == "INC000")

@@ -112,21 +112,30 @@ def rake(
     than ``tolerance``. `margin_errors` tells how far the margins then are from their targets.
     """
     cells = kept(cells.withColumn("weight", F.lit(1.0)), "cells")
-    wanted = _wanted(cells, targets)
+    goals = {dimension: f"wanted_{dimension}" for dimension in targets}
+    for dimension, wanted in _wanted(cells, targets).items():
+        cells = cells.join(wanted.withColumnRenamed("wanted", goals[dimension]), dimension, "left")
+    cells = kept(cells, "cells-wanted")
     for _ in range(iterations):
         cells = cells.withColumn("before", F.col("weight"))
-        for dimension in targets:
-            factors = _weighted(cells, dimension).join(wanted[dimension], dimension, "left")
-            factor = F.when(F.col("now") > 0, F.coalesce("wanted", F.lit(0.0)) / F.col("now")).otherwise(1.0)
-            factors = factors.select(dimension, factor.alias("factor"))
-            weight = F.least(F.col("weight") * F.col("factor"), F.lit(float(most)))
-            cells = cells.join(factors, dimension).select(*DIMENSIONS, "tokens", "before", weight.alias("weight"))
-        swept = kept(cells, "raked")
-        cells = swept.drop("before")
-        moved = swept.agg(F.max(F.abs(F.col("weight") - F.col("before")))).first()[0]
+        for dimension, goal in goals.items():
+            # Stored after each step: else a step's plan holds those before it twice, and all of them weigh on the driver.
+            cells = kept(_scaled(cells, dimension, goal, most), "raked")
+        moved = cells.agg(F.max(F.abs(F.col("weight") - F.col("before")))).first()[0]
+        cells = cells.drop("before")
         if moved is None or moved <= tolerance:
             break
-    return cells
+    return cells.drop(*goals.values())
+
+
+def _scaled(cells: DataFrame, dimension: str, goal: str, most: float) -> DataFrame:
+    """The cells with weights, at most ``most``, that meet the dimension's wanted tokens, which the column ``goal`` has."""
+    now = F.sum(F.col("tokens") * F.col("weight"))
+    sums = cells.groupBy(dimension).agg(now.alias("_now"), F.max(goal).alias("_goal"))
+    factor = F.when(F.col("_now") > 0, F.coalesce("_goal", F.lit(0.0)) / F.col("_now")).otherwise(1.0)
+    weight = F.least(F.col("weight") * F.col("_factor"), F.lit(float(most)))
+    scaled = cells.join(sums.select(dimension, factor.alias("_factor")), dimension).withColumn("weight", weight)
+    return scaled.select(*cells.columns)
 
 
 def margin_errors(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:

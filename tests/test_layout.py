@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from outagelens.operators import bundle, rca, reports
+from outagelens.operators import bundle, packing, rca, reports
 from outagelens.operators.layout import incident_layout
 from outagelens.plans import rca_job
 from outagelens.sources import schemas
@@ -149,3 +149,49 @@ def test_first_events_are_the_same_with_and_without_long_incidents(tables, monke
         assert frame.columns == ["number", "part", "report"]
     assert found[True] == found[False]
     assert "*(34 more events)*" in next(report for number, _, report in found[False] if number == "INC000")
+
+
+@pytest.fixture
+def plain_plans(spark):
+    """Plans as they are made, without adaptive changes and broadcasts."""
+    names = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in zip(names, ("false", "-1"), strict=True):
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_all_lists_of_the_journal_move_once(plain_plans, tables):
+    """Events and notes go to their incident together: one exchange next to those of incidents and related records."""
+    assert plan_of(bundle.incident_bundle(*tables)).count("Exchange") == 2 + len(bundle.RELATED)
+
+
+def test_an_analysed_incident_does_not_move_again(plain_plans, tables):
+    """In the last step of a report neither incidents nor analysis move."""
+    assert plan_of(reports.report_json(*tables, as_of=AT)).count("Exchange") == 1 + len(bundle.RELATED)
+    # Events, related records (to be ranked, to be gathered), entry counts and the incidents that these are for.
+    for kind in ("markdown", "text"):
+        assert plan_of(reports.generate_report(kind, *tables, as_of=AT)).count("Exchange") == 5
+
+
+def test_what_was_shuffled_goes_with_its_query(spark):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {name for name in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+    before = shuffled()
+    rca.stored(spark.range(1000).repartition(4, "id"), "shuffled")
+    assert shuffled() <= before
+
+
+def test_ids_travel_short_and_arrive_whole(spark):
+    ids = ["0" * 32, "0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "f" * 31, "f" * 32 + "\n", "g" * 32, "", " ", "ä", None] * 3
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "n int, sys_id string")
+    moved = packing.dealt(rows, "sys_id")
+    assert moved.columns == rows.columns and sorted(map(tuple, moved.collect())) == list(enumerate(ids))
+    met = moved.groupBy("sys_id").count()
+    assert {(r.sys_id, r["count"]) for r in met.collect()} == {(x, 3) for x in ids}
+    assert plan_of(met).count("Exchange ") == 1

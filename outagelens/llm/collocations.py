@@ -11,8 +11,9 @@ zero for rare words and for the ends of pieces. Then for each length:
    texts; Spark sums these counts.
 
 Tries, words and bucket marks are broadcast in parts of a stated size. More of them than one
-part holds make more parts, over which a task goes one after another, or more passes; nothing
-is left out.
+part holds make more parts, over which a task goes one after another; nothing is left out.
+Phrases are dealt to the tries by a hash, and a position walks only the trie that its own words
+belong to, so more tries make no more passes and no more steps.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import BATCH_BYTES, kept
 
 UNKNOWN = "und"
 #: Occurrences a phrase needs, its most words, and how many each language reports.
@@ -40,9 +41,14 @@ COVERED = 80
 #: Bounds of one broadcast part: frequent words, phrases of a trie, buckets (a bit each).
 PART_WORDS = 500_000
 PART_PHRASES = 150_000
-MOST_BUCKETS = 1 << 26
+MOST_BUCKETS = 1 << 30
 #: Buckets and phrases are summed in blocks of this many.
 BLOCK = 1 << 16
+#: Bits of a block's number within its trie.
+TRIE_BLOCKS = 12
+#: Numbers of words that are worked on at once, and that a task holds for all tries and word parts.
+ARRAY = 1 << 20
+HELD = 1 << 22
 #: Parts in which a language's phrases are ranked before they meet.
 PARTS = 32
 _BLOCK_ROW = "block int, places binary, counts binary"
@@ -86,11 +92,24 @@ def _let_go(part: Broadcast, parts: list[Broadcast]) -> None:
         vars(part).pop("_value", None)
 
 
+def _texts_held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches of ``BATCH_BYTES`` of text where they are smaller, so that parts are read less often."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += int(batch["text"].str.len().sum())
+        if size >= BATCH_BYTES:
+            yield pd.concat(held)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held)
+
+
 def _encoder(parts: list[Broadcast]):
     """A function of batches that writes texts as arrays of numbers, each text with a zero before it."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _texts_held(batches) if len(parts) > 1 else batches:
             found = np.zeros(1, dtype=np.int32)
             for part in parts:  # a text's words are held by one text at a time
                 numbers, none = part.value, _Numbers()
@@ -174,7 +193,12 @@ class DoubleArray:
     def accepted(self, ids: np.ndarray) -> np.ndarray:
         """By position, the row of the sequence that starts there, -1 where none does."""
         found = np.full(len(ids), -1, dtype=np.int64)
-        places = np.arange(max(0, len(ids) - self.length + 1))
+        places, rows = self.walked(ids, np.arange(max(0, len(ids) - self.length + 1)))
+        found[places] = rows
+        return found
+
+    def walked(self, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of these positions, those where a sequence starts, and its row."""
         state = np.zeros(len(places), dtype=np.int64)
         for word in range(self.length):
             known = ids[places + word] > 0
@@ -183,16 +207,32 @@ class DoubleArray:
                 following = self.base[state] + self._digit(ids[places + word], shift)
                 alive = self.check[following] == state
                 places, state = places[alive], following[alive]
-        found[places] = self.base[state]
-        return found
+        return places, self.base[state]
 
 
-def _hits(tries: list[Broadcast], ids: np.ndarray) -> np.ndarray:
-    """Whether a sequence of one of the tries starts at each position."""
-    found = np.zeros(len(ids), dtype=bool)
-    for part in tries:
-        found |= part.value.accepted(ids) >= 0
+def _walks(tries: list[Broadcast], arrays: list[np.ndarray], length: int) -> Iterator[tuple[int, DoubleArray, list[tuple[np.ndarray, np.ndarray]]]]:
+    """For each trie its place, itself, and by array the positions where one of its sequences starts, and their rows.
+
+    With several tries a position is walked in the one that its words are dealt to.
+    """
+    known = [np.arange(max(0, len(ids) - length + 1)) for ids in arrays]
+    if len(tries) > 1:
+        for word in range(length):
+            known = [places[ids[places + word] > 0] for ids, places in zip(arrays, known, strict=True)]
+        owners = [_owner(_windows(ids, places, length), len(tries)) for ids, places in zip(arrays, known, strict=True)]
+    for place, part in enumerate(tries):
+        trie = part.value
+        mine = [places[own == place] for places, own in zip(known, owners, strict=True)] if len(tries) > 1 else known
+        yield place, trie, [trie.walked(ids, places) for ids, places in zip(arrays, mine, strict=True)]
         _let_go(part, tries)
+
+
+def _hits(tries: list[Broadcast], arrays: list[np.ndarray], length: int) -> list[np.ndarray]:
+    """By array, whether a sequence of one of the tries starts at each position."""
+    found = [np.zeros(len(ids), dtype=bool) for ids in arrays]
+    for _, _, walked in _walks(tries, arrays, length):
+        for hits, (places, _) in zip(found, walked, strict=True):
+            hits[places] = True
     return found
 
 
@@ -200,27 +240,68 @@ def _hits(tries: list[Broadcast], ids: np.ndarray) -> np.ndarray:
 
 
 def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+    """The encoded texts, each with a zero before it, in arrays of ``ARRAY`` numbers where they are smaller."""
+    some: list[np.ndarray] = []
     for batch in batches:
         for ids in batch["ids"]:
-            yield np.frombuffer(ids, dtype=np.int32)
-
-
-def _safe_places(ids: np.ndarray, length: int, shorter: list[Broadcast]) -> np.ndarray:
-    """Positions where both parts of one word less are frequent."""
-    good = _hits(shorter, ids) if length > 2 else ids > 0
-    return np.flatnonzero(good[:-1] & good[1:])
+            some.append(np.frombuffer(ids, dtype=np.int32))
+            if sum(map(len, some)) >= ARRAY:
+                yield np.concatenate(some)
+                some = []
+    if some:
+        yield np.concatenate(some)
+
+
+def _held(batches: Iterator[pd.DataFrame], tries: list[Broadcast]) -> Iterator[list[np.ndarray]]:
+    """Arrays to be worked on together: with several tries about ``HELD`` numbers, so that these are read less often."""
+    some: list[np.ndarray] = []
+    for ids in _arrays(batches):
+        some.append(ids)
+        if len(tries) < 2 or sum(map(len, some)) >= HELD:
+            yield some
+            some = []
+    if some:
+        yield some
+
+
+def _safe_places(batches: Iterator[pd.DataFrame], length: int, shorter: list[Broadcast]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """By array, it and its positions where both parts of one word less are frequent."""
+    for arrays in _held(batches, shorter):
+        good = _hits(shorter, arrays, length - 1) if length > 2 else [ids > 0 for ids in arrays]
+        for ids, frequent in zip(arrays, good, strict=True):
+            yield ids, np.flatnonzero(frequent[:-1] & frequent[1:])
 
 
 def _windows(ids: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    return ids[places[:, None] + np.arange(length)]
+    windows = np.empty((len(places), length), dtype=np.int32)
+    for word in range(length):
+        windows[:, word] = ids[places + word]
+    return windows
 
 
-def _bucket(windows: np.ndarray, buckets: int) -> np.ndarray:
+def _mixed(windows: np.ndarray) -> np.ndarray:
     mixed = np.zeros(len(windows), dtype=np.uint64)
     for column in windows.T:
         mixed = (mixed ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
-    return (mixed % np.uint64(buckets)).astype(np.int64)
+    return mixed
+
+
+def _bucket(windows: np.ndarray, buckets: int) -> np.ndarray:
+    return (_mixed(windows) % np.uint64(buckets)).astype(np.int64)
+
+
+def _owner(windows: np.ndarray, tries: int) -> np.ndarray:
+    """The trie that each sequence is dealt to; of the hash, bits that tell no bucket."""
+    return ((_mixed(windows) >> np.uint64(32)) * np.uint64(tries) >> np.uint64(32)).astype(np.int32)
+
+
+def _dealer(length: int, tries: int):
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(part=_owner(batch.to_numpy(dtype=np.int32).reshape(-1, length), tries))
+
+    return deal
 
 
 def _in_blocks(places: np.ndarray, counts: np.ndarray, kind: str) -> pd.DataFrame:
@@ -249,8 +330,7 @@ def _bucket_counter(length: int, buckets: int, shorter: list[Broadcast], least:
     """Occurrences by bucket, up to ``least`` of each array only: more would not tell more."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids in _arrays(batches):
-            places = _safe_places(ids, length, shorter)
+        for ids, places in _safe_places(batches, length, shorter):
             found, n = np.unique(_bucket(_windows(ids, places, length), buckets), return_counts=True)
             yield _in_blocks(found, np.minimum(n, least), "<u2")
 
@@ -268,39 +348,67 @@ def _block_marker(least: int):
 
 
 def _candidate_finder(length: int, buckets: int, shorter: list[Broadcast], marks: Broadcast):
+    """A task's candidates, each once as long as no more than ``ARRAY`` different ones are held."""
+    row = np.dtype((np.void, 4 * length))
+
+    def spelled(found: np.ndarray) -> pd.DataFrame:
+        words = found.view(np.int32).reshape(-1, length)
+        return pd.DataFrame({f"w{i}": words[:, i] for i in range(length)})
+
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = marks.value
-        for ids in _arrays(batches):
-            windows = _windows(ids, _safe_places(ids, length, shorter), length)
+        bits, found = marks.value, np.empty(0, dtype=row)
+        for ids, places in _safe_places(batches, length, shorter):
+            windows = _windows(ids, places, length)
             at = _bucket(windows, buckets)
             windows = np.ascontiguousarray(windows[bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 > 0])
-            row = np.dtype((np.void, 4 * length))
-            found = np.unique(windows.view(row).ravel()).view(np.int32).reshape(-1, length)
-            yield pd.DataFrame({f"w{i}": found[:, i] for i in range(length)})
+            found = np.unique(np.concatenate([found, windows.view(row).ravel()]))
+            if len(found) > ARRAY:
+                yield spelled(found)
+                found = found[:0]
+        yield spelled(found)
 
     return find
 
 
-def _phrase_counter(trie: Broadcast):
-    """Accepting states of a task's arrays, counted."""
+def _phrase_counter(length: int, tries: list[Broadcast]):
+    """Accepting states of a task's arrays, counted: of one trie over the whole task, of several over what is held."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(trie.value.rows) + 1, dtype=np.int64)
-        for ids in _arrays(batches):
-            total += np.bincount(trie.value.accepted(ids) + 1, minlength=len(total))
-        found = np.flatnonzero(total[1:])
-        yield _in_blocks(found, total[1:][found], "<i8")
+        whole = None
+        for arrays in _held(batches, tries):
+            for place, trie, walked in _walks(tries, arrays, length):
+                total = np.zeros(len(trie.rows), dtype=np.int64)
+                for _, rows in walked:
+                    total += np.bincount(rows, minlength=len(total))
+                if len(tries) > 1:
+                    yield _counted(total, place)
+                else:
+                    whole = total if whole is None else whole + total
+        if whole is not None:
+            yield _counted(whole, 0)
 
     return count
 
 
-def _phrase_totals(trie: Broadcast, least: int):
-    """The trie's sequences that all tasks together counted ``least`` times."""
+def _counted(total: np.ndarray, place: int) -> pd.DataFrame:
+    """The counts of a trie's rows; its blocks are numbered after those of the tries before."""
+    found = np.flatnonzero(total)
+    rows = _in_blocks(found, total[found], "<i8")
+    return rows.assign(block=(place << TRIE_BLOCKS) + rows["block"])
+
+
+def _phrase_totals(tries: list[Broadcast], least: int):
+    """The tries' sequences that all tasks together counted ``least`` times; rows come trie by trie."""
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for block, total in _block_totals(batches, "<i8"):
+            place, block = block >> TRIE_BLOCKS, block & (1 << TRIE_BLOCKS) - 1
+            if held is not None and held != place:
+                _let_go(tries[held], tries)
+            held = place
             found = np.flatnonzero(total >= least)
-            words = trie.value.rows[block * BLOCK + found]
+            words = tries[place].value.rows[block * BLOCK + found]
             yield pd.DataFrame({f"w{i}": words[:, i] for i in range(words.shape[1])} | {"f": total[found]})
 
     return sums
@@ -334,15 +442,17 @@ def _word_parts(spark: SparkSession, numbered: DataFrame, count: int, size: int)
 
 
 def _trie_parts(spark: SparkSession, phrases: DataFrame, length: int, size: int) -> Iterator[Broadcast]:
-    """Phrases as tries of bounded size, dealt by hash; the next is made when it is asked for."""
+    """Phrases as tries of bounded size, dealt by ``_owner``; the driver holds one at a time."""
     names = [f"w{i}" for i in range(length)]
-    parts = max(1, -(-phrases.count() // size))
+    count = phrases.count()
+    parts = -(-count // size)
+    if parts > 1:  # stored trie by trie, so that each is read alone
+        dealt = phrases.select(*names).mapInPandas(_dealer(length, parts), ", ".join(f"{x} int" for x in (*names, "part")))
+        phrases = kept(dealt.repartitionByRange(parts, "part").sortWithinPartitions("part"), f"dealt-phrases-{length}")
     for part in range(parts):
-        some = phrases.filter(F.pmod(F.xxhash64(*names), F.lit(parts)) == part) if parts > 1 else phrases
+        some = phrases.filter(F.col("part") == part) if parts > 1 else phrases
         rows = some.select(*names).toPandas().to_numpy(dtype=np.int32).reshape(-1, length)
-        if len(rows):
-            rows = rows[np.lexsort(rows.T[::-1])]
-            yield spark.sparkContext.broadcast(DoubleArray(rows))
+        yield spark.sparkContext.broadcast(DoubleArray(rows[np.lexsort(rows.T[::-1])]))
 
 
 def _level(spark: SparkSession, encoded: DataFrame, length: int, shorter: list[Broadcast], total: int, least: int, size: int) -> DataFrame:
@@ -358,16 +468,19 @@ def _level(spark: SparkSession, encoded: DataFrame, length: int, shorter: list[B
     row = ", ".join(f"{x} int" for x in names)
     candidates = kept(encoded.mapInPandas(_candidate_finder(length, buckets, shorter, marks), row).distinct(), f"candidates-{length}")
     marks.unpersist()
-    counts = []
-    for trie in _trie_parts(spark, candidates, length, size):
-        sums = _by_block(encoded.mapInPandas(_phrase_counter(trie), _BLOCK_ROW))
-        counts.append(kept(sums.mapInPandas(_phrase_totals(trie, least), f"{row}, f long"), f"phrases-{length}"))
+    tries = list(_trie_parts(spark, candidates, length, size))
+    if not tries:
+        return spark.createDataFrame([], f"{row}, f long")
+    dealt_by = "block" if len(tries) == 1 else f"block >> {TRIE_BLOCKS}"  # several tries each to one task
+    counts = _by_block(encoded.mapInPandas(_phrase_counter(length, tries), _BLOCK_ROW), dealt_by)
+    phrases = kept(counts.mapInPandas(_phrase_totals(tries, least), f"{row}, f long"), f"phrases-{length}")
+    for trie in tries:
         trie.unpersist()
-    return reduce(DataFrame.unionByName, counts, spark.createDataFrame([], f"{row}, f long"))
+    return phrases
 
 
-def _by_block(rows: DataFrame) -> DataFrame:
-    return rows.repartition("block").sortWithinPartitions("block")
+def _by_block(rows: DataFrame, dealt_by: str = "block") -> DataFrame:
+    return rows.repartition(F.expr(dealt_by)).sortWithinPartitions("block")
 
 
 def collocations(

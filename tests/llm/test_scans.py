@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from outagelens.llm import collocations, license_scan, prefix_trie
@@ -210,3 +211,52 @@ def test_a_double_array_accepts_its_sequences_only():
     expected = [place.get(tuple(ids[i : i + 3].tolist()), -1) if i + 3 <= len(ids) else -1 for i in range(len(ids))]
     assert trie.accepted(ids).tolist() == expected
     assert collocations.DoubleArray(rows[:1]).accepted(rows[0]).tolist() == [0, -1, -1]
+
+
+class Part:
+    """A broadcast that counts how often it is read."""
+
+    def __init__(self, trie):
+        self.trie, self.reads = trie, 0
+
+    @property
+    def value(self):
+        self.reads += 1
+        return self.trie
+
+
+def test_a_position_walks_one_trie_of_many(monkeypatch):
+    """The steps don't grow with the number of tries, and each is read once for all arrays held."""
+    rng = np.random.default_rng(5)
+    rows = np.unique(rng.integers(1, 60, (4000, 3)).astype(np.int32), axis=0)
+    owners = collocations._owner(rows, 8)
+    tries = [Part(collocations.DoubleArray(rows[owners == part])) for part in range(8)]
+    arrays = [rng.integers(0, 61, n).astype(np.int32) for n in (20_000, 1, 0, 500)]
+    walked = []
+    whole = collocations.DoubleArray.walked
+    monkeypatch.setattr(collocations.DoubleArray, "walked", lambda self, ids, places: walked.append(len(places)) or whole(self, ids, places))
+    found = collocations._hits(tries, arrays, 3)
+    assert sum(walked) <= sum(map(len, arrays)) and [part.reads for part in tries] == [1] * 8
+    one = collocations.DoubleArray(rows)
+    assert [hits.tolist() for hits in found] == [(one.accepted(ids) >= 0).tolist() for ids in arrays]
+
+
+def test_many_tries_are_counted_in_one_pass(ready, monkeypatch):
+    rows = phrase_texts()
+    docs = ready.createDataFrame([(lang, text) for lang, text in rows], "lang string, text string")
+    passes = []
+    counter = collocations._phrase_counter
+    monkeypatch.setattr(collocations, "_phrase_counter", lambda length, tries: passes.append(len(tries)) or counter(length, tries))
+    found = collocations.collocations(docs, least=8, part_phrases=11).collect()
+    assert len(passes) == 3 and max(passes) > 10 and found
+
+
+def test_a_task_tells_each_candidate_once(monkeypatch):
+    """However many arrays a task has, while few different phrases occur in them."""
+    monkeypatch.setattr(collocations, "ARRAY", 500)
+    rng = np.random.default_rng(6)
+    texts = [pd.DataFrame({"ids": [np.append(np.int32(0), rng.integers(1, 6, 600).astype(np.int32)).tobytes()]}) for _ in range(9)]
+    marks = Part(np.full(1 << 13, 255, dtype=np.uint8))
+    found = pd.concat(collocations._candidate_finder(2, 1 << 16, [], marks)(iter(texts)))
+    assert sorted(map(tuple, found.to_numpy().tolist())) == [(a, b) for a in range(1, 6) for b in range(1, 6)]
+    assert found.dtypes.tolist() == [np.int32] * 2
